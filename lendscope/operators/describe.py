@@ -254,8 +254,8 @@ def density_2d(df: DataFrame, x: str, y: str, gridsize: int = 30) -> DataFrame:
                       F.least(F.floor((v - F.col(lo)) / ((F.col(hi) - F.col(lo)) / gridsize)),
                               F.lit(gridsize - 1))).otherwise(F.lit(0)).cast("int")
     base = (df.filter(xv.isNotNull() & yv.isNotNull()).crossJoin(F.broadcast(rng))  # one-row side
-            .select(cell(xv, "_x0", "_x1").alias("bx"), cell(yv, "_y0", "_y1").alias("by")))
-    return base.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("count"))
+            .select(cell(xv, "_x0", "_x1").alias("bin_x"), cell(yv, "_y0", "_y1").alias("bin_y")))
+    return base.groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("count"))
 
 
 # A18

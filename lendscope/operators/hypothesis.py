@@ -1,0 +1,237 @@
+"""Hypothesis tests and association measures.
+
+Each family reduces the data to grouped sufficient statistics in one Spark
+job (n, mean, variance, contingency counts, correlations) for *all* tested
+variables at once; the statistic and effect size are column arithmetic on
+those few rows.  p-values need distribution CDFs, which SQL lacks, so
+``with_p_values`` evaluates them on the result rows (one per test) with the
+commons-math3 distributions that ship with Spark.
+"""
+
+from __future__ import annotations
+
+import math
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from lendscope import roles as R
+from lendscope.operators.ordered import average_ranks, join_null_safe, unpivot_numeric
+
+
+def _strength(r: Column) -> Column:
+    a = F.abs(r)
+    return (F.when(a >= 0.5, "strong").when(a >= 0.3, "moderate").when(a >= 0.1, "weak")
+            .otherwise("negligible"))
+
+
+# T1 / T2
+def welch_t_tests(df: DataFrame, columns: Sequence[str], group: str = R.TARGET_COLUMN,
+                  labels: tuple = (0, 1)) -> DataFrame:
+    """Welch t statistic, Welch-Satterthwaite df and Cohen's d (pooled SD,
+    sign a - b with a = first label) for every column in one job."""
+    a_lab, b_lab = labels
+    long = (unpivot_numeric(df.filter(F.col(group).isin([a_lab, b_lab])), columns, keep=[group]))
+    s = long.groupBy("column").agg(
+        *[x for lab, tag in ((a_lab, "a"), (b_lab, "b")) for x in (
+            F.count(F.when(F.col(group) == lab, 1)).alias(f"n_{tag}"),
+            F.avg(F.when(F.col(group) == lab, F.col("value"))).alias(f"mean_{tag}"),
+            F.var_samp(F.when(F.col(group) == lab, F.col("value"))).alias(f"var_{tag}"))])
+    na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
+    va, vb = F.col("var_a"), F.col("var_b")
+    se2 = va / na + vb / nb
+    t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2)
+    dfree = se2 * se2 / (F.pow(va / na, 2) / (na - 1) + F.pow(vb / nb, 2) / (nb - 1))
+    pooled = F.sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2))
+    d = F.when(pooled > 0, (F.col("mean_a") - F.col("mean_b")) / pooled)
+    return s.select(F.lit("welch_t").alias("test"), F.col("column").alias("var_a"),
+                    F.lit(group).alias("var_b"), "n_a", "n_b", "mean_a", "mean_b",
+                    t.alias("statistic"), dfree.alias("df1"), F.lit(None).cast("double").alias("df2"),
+                    d.alias("effect_size"), F.lit("Cohen's d").alias("effect_label"))
+
+
+# T3
+def anova_tests(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
+    """One-way ANOVA F (groups with <= 1 value dropped) and eta-squared
+    (grand mean over all non-NULL values of the column, as the reference)."""
+    long = unpivot_numeric(df, columns, keep=[group])
+    g = (long.filter(F.col(group).isNotNull()).groupBy("column", group)
+         .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
+              (F.var_pop("value") * F.count(F.lit(1))).alias("m2")))
+    grand_all = long.groupBy("column").agg(F.avg("value").alias("grand_all"))
+    gk = g.filter(F.col("n") > 1).join(grand_all, "column")
+    # grand mean of the retained groups (what the F statistic uses)
+    gr = gk.groupBy("column").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand_r"))
+    agg = gk.join(gr, "column").groupBy("column").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"), F.sum("m2").alias("ssw"),
+        F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand_all"), 2)).alias("ssb_all"),
+        F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand_r"), 2)).alias("ssb"))
+    ssb = F.col("ssb")
+    k, N = F.col("k").cast("double"), F.col("N").cast("double")
+    fstat = F.when((k > 1) & (N > k), (ssb / (k - 1)) / (F.col("ssw") / (N - k)))
+    eta = F.when(F.col("ssw") + F.col("ssb_all") > 0,
+                 F.col("ssb_all") / (F.col("ssw") + F.col("ssb_all")))
+    return agg.select(F.lit("anova").alias("test"), F.col("column").alias("var_a"), F.lit(group).alias("var_b"),
+                      F.col("k").cast("long").alias("n_groups"), F.col("N").cast("long").alias("n"),
+                      fstat.alias("statistic"), (k - 1).alias("df1"), (N - k).alias("df2"),
+                      eta.alias("effect_size"), F.lit("eta-squared").alias("effect_label"))
+
+
+# T4 / T5
+def chi_square_tests(df: DataFrame, columns: Sequence[str], other: str = R.TARGET_COLUMN) -> DataFrame:
+    """Chi-square independence of each column vs ``other`` over the full
+    observed-levels grid, Yates-corrected when dof = 1; Cramer's V."""
+    long = (df.select(F.col(other).cast("string").alias("_b"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_a")) for c in columns])))
+        .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull()))
+    obs = long.groupBy("column", "_a", "_b").agg(F.count(F.lit(1)).alias("o"))  # #levels^2 rows
+    ra = obs.groupBy("column", "_a").agg(F.sum("o").alias("ra"))
+    cb = obs.groupBy("column", "_b").agg(F.sum("o").alias("cb"))
+    # full grid of observed levels (bounded: levels_a x levels_b per column)
+    grid = ra.join(cb, "column").join(obs, ["column", "_a", "_b"], "left").fillna(0, ["o"])
+    dims = grid.groupBy("column").agg(F.countDistinct("_a").alias("r"), F.countDistinct("_b").alias("kk"),
+                                      F.sum("o").alias("n"))
+    j = grid.join(dims, "column")
+    e = F.col("ra") * F.col("cb") / F.col("n").cast("double")
+    dof = (F.col("r") - 1) * (F.col("kk") - 1)
+    diff = F.abs(F.col("o") - e)
+    adj = F.when(dof == 1, F.least(F.lit(0.5), diff)).otherwise(0.0)
+    cell = F.pow(diff - adj, 2) / e
+    chi = j.groupBy("column", "r", "kk", "n").agg(F.sum(cell).alias("chi2"))
+    mdim = F.least(F.col("r"), F.col("kk")) - 1
+    v = F.when(mdim > 0, F.sqrt((F.col("chi2") / F.col("n")) / mdim))
+    return chi.select(F.lit("chi_square").alias("test"), F.col("column").alias("var_a"),
+                      F.lit(other).alias("var_b"), F.col("n").cast("long").alias("n"),
+                      F.col("chi2").alias("statistic"),
+                      ((F.col("r") - 1) * (F.col("kk") - 1)).cast("double").alias("df1"),
+                      F.lit(None).cast("double").alias("df2"),
+                      v.alias("effect_size"), F.lit("Cramer's V").alias("effect_label"))
+
+
+# T6
+def correlation_tests(df: DataFrame, pairs: Sequence[tuple], method: str = "pearson") -> DataFrame:
+    """Pearson or Spearman (average ranks of pairwise-complete rows) r per pair."""
+    rows = None
+    for a, b in pairs:
+        x = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
+              .filter(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+        x = x.withColumn("pair", F.lit(f"{a}|{b}"))
+        rows = x if rows is None else rows.unionByName(x)
+    if method == "spearman":
+        rows = spearman_ranks(rows, ["pair"])
+    s = rows.groupBy("pair").agg(F.corr("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
+    return s.select(F.lit(method).alias("test"),
+                    F.split("pair", r"\|").getItem(0).alias("var_a"), F.split("pair", r"\|").getItem(1).alias("var_b"),
+                    F.col("n").cast("long").alias("n"), F.col("r").alias("statistic"),
+                    (F.col("n") - 2).cast("double").alias("df1"), F.lit(None).cast("double").alias("df2"),
+                    F.col("r").alias("effect_size"),
+                    F.lit("Pearson r" if method == "pearson" else "Spearman rho").alias("effect_label"))
+
+
+def spearman_ranks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Replace x and y by their average ranks within ``keys`` (exact, distributed)."""
+    keys = list(keys)
+    rx = average_ranks(rows.select(*keys, F.col("x").alias("value")), keys)
+    ry = average_ranks(rows.select(*keys, F.col("y").alias("value")), keys)
+    rx = rx.select(*keys, F.col("value").alias("x"), F.col("rank").alias("rx"))
+    ry = ry.select(*keys, F.col("value").alias("y"), F.col("rank").alias("ry"))
+    j = rows.join(rx, keys + ["x"]).join(ry, keys + ["y"])
+    return j.select(*keys, F.col("rx").alias("x"), F.col("ry").alias("y"))
+
+
+# T7 / T8
+def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
+    """Long upper triangle ``(var_a, var_b, r)`` with pairwise deletion;
+    Pearson in a single aggregate of k(k-1)/2 ``corr`` expressions."""
+    cols = list(columns)
+    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if method == "spearman":
+        t = correlation_tests(df, pairs, "spearman")
+        return t.select("var_a", "var_b", F.col("statistic").alias("r"))
+    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
+                    for i, (a, b) in enumerate(pairs)])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(f"c{i}").alias("r"))
+        for i, (a, b) in enumerate(pairs)])))
+
+
+def high_correlation_pairs(matrix: DataFrame, threshold: float = 0.6) -> DataFrame:
+    return (matrix.filter(F.abs("r") >= threshold).withColumn("abs_r", F.abs("r"))
+            .orderBy(F.desc("abs_r")))
+
+
+# T9
+def variance_inflation_factors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """VIF = diag of the inverse correlation matrix of listwise-complete rows.
+    Only the k x k matrix reaches the driver."""
+    import numpy as np
+    cols = list(columns)
+    comp = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    m = correlation_matrix(comp, cols).collect()
+    k = len(cols)
+    idx = {c: i for i, c in enumerate(cols)}
+    mat = np.eye(k)
+    for r in m:
+        i, j = idx[r["var_a"]], idx[r["var_b"]]
+        mat[i, j] = mat[j, i] = r["r"] if r["r"] is not None else 0.0
+    try:
+        inv = np.linalg.inv(mat)
+        vif = [float(inv[i, i]) for i in range(k)]
+    except np.linalg.LinAlgError:
+        vif = [float("inf")] * k
+    return df.sparkSession.createDataFrame(list(zip(cols, vif)), "variable string, vif double")
+
+
+# T10
+def target_correlation_ranking(df: DataFrame, columns: Sequence[str], target: str = R.TARGET_COLUMN,
+                               min_pairs: int = 10) -> DataFrame:
+    tv = F.col(target).cast("double")
+    wide = df.agg(*[x for i, c in enumerate(columns) for x in (
+        F.corr(F.col(c).cast("double"), tv).alias(f"r{i}"),
+        F.count(F.when(F.col(c).isNotNull() & tv.isNotNull(), 1)).alias(f"n{i}"))])
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n_pairs"))
+        for i, c in enumerate(columns)])))
+    return (long.filter((F.col("n_pairs") >= min_pairs) & F.col("r").isNotNull())
+            .withColumn("abs_r", F.abs("r")).orderBy(F.desc("abs_r")))
+
+
+# p-values -------------------------------------------------------------------
+def _pvalue(jvm, test: str, stat, df1, df2):
+    if stat is None or (isinstance(stat, float) and math.isnan(stat)):
+        return None
+    dist = jvm.org.apache.commons.math3.distribution
+    if test == "welch_t":
+        if df1 is None or not df1 > 0:
+            return None
+        return 2 * dist.TDistribution(float(df1)).cumulativeProbability(-abs(stat))
+    if test == "anova":
+        return 1 - dist.FDistribution(float(df1), float(df2)).cumulativeProbability(float(stat))
+    if test == "chi_square":
+        return 1 - dist.ChiSquaredDistribution(float(df1)).cumulativeProbability(float(stat))
+    if test in ("pearson", "spearman"):
+        n2 = df1
+        if n2 is None or n2 <= 0:
+            return None
+        if abs(stat) >= 1:
+            return 0.0
+        t = stat * math.sqrt(n2 / (1 - stat * stat))
+        return 2 * dist.TDistribution(float(n2)).cumulativeProbability(-abs(t))
+    return None
+
+
+def with_p_values(results: DataFrame, alpha: float = R.SIGNIFICANCE_LEVEL) -> DataFrame:
+    """Attach p_value and significance to a (small: one row per test) result table."""
+    spark = results.sparkSession
+    jvm = spark.sparkContext._jvm
+    rows = results.collect()
+    out = []
+    for r in rows:
+        d = r.asDict()
+        p = _pvalue(jvm, d["test"], d.get("statistic"), d.get("df1"), d.get("df2"))
+        d["p_value"] = p
+        d["significant"] = (p is not None and p < alpha)
+        out.append(d)
+    schema = results.schema.add("p_value", "double").add("significant", "boolean")
+    return spark.createDataFrame([tuple(d[f.name] for f in schema.fields) for d in out], schema)

@@ -12,6 +12,7 @@ NUM = R.NUMERIC_FEATURES
 
 def _r(x: str, digits: int = 8) -> str:
     """8 significant digits, the same rule as ``inputs.sig_round``."""
+    x = f"CAST({x} AS DOUBLE)"
     e = f"power(10.0, floor(log10(abs({x}))))"
     return (f"(CASE WHEN ({x}) IS NULL OR ({x}) = 0 OR isnan({x}) OR isinf({x}) THEN ({x}) "
             f"ELSE floor(({x}) / {e} * {float(10 ** (digits - 1))} + 0.5) / {float(10 ** (digits - 1))} * {e} END)")
@@ -61,3 +62,8 @@ SELECT s.cname AS variable, {_r("mean")} AS mean, {_r("median")} AS median,
   {_r("CASE WHEN m2 = 0 THEN NULL ELSE m3 / power(m2, 1.5) END")} AS skewness,
   {_r("CASE WHEN m2 = 0 THEN NULL ELSE m4 / (m2 * m2) - 3 END")} AS excess_kurtosis, n
 FROM s JOIN mom USING (cname)""")
+
+
+from lendscope.plans.oracles_more import O as _MORE  # noqa: E402
+
+ORACLES.update(_MORE)
