@@ -470,3 +470,6 @@ def q_p8(spark, sf):
 @register("p10_tier_distribution")
 def q_p10(spark, sf):
     return rounded(P.tier_distribution(P.score_loans(scored(spark, sf))))
+
+
+from lendscope.plans import catalog_ml  # noqa: E402,F401  (registers the ML queries)

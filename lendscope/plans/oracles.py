@@ -67,3 +67,7 @@ FROM s JOIN mom USING (cname)""")
 from lendscope.plans.oracles_more import O as _MORE  # noqa: E402
 
 ORACLES.update(_MORE)
+
+from lendscope.plans.oracles_ml import O as _ML  # noqa: E402
+
+ORACLES.update(_ML)

@@ -84,8 +84,8 @@ BASE_INTEREST_RATE = 10.0
 
 # columns profiled per segment
 PROFILE_NUMERIC_COLUMNS = [
-    "loan_amnt", "int_rate", "annual_inc", "dti", "revol_util", "open_acc",
-    "total_acc", "emp_length_years", "installment", "revol_bal",
+    "annual_inc", "dti", "loan_amnt", "int_rate", "emp_length_years",
+    "revol_util", "revol_bal", "open_acc", "total_acc", "mort_acc",
 ]
 PROFILE_CATEGORICAL_COLUMNS = ["grade", "home_ownership", "purpose"]
 
