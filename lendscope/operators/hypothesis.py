@@ -197,6 +197,29 @@ def target_correlation_ranking(df: DataFrame, columns: Sequence[str], target: st
             .withColumn("abs_r", F.abs("r")).orderBy(F.desc("abs_r")))
 
 
+# T12
+def score_correlations(wide: DataFrame, score_cols: Sequence[str], cluster: str | None = None,
+                       target: str = R.TARGET_COLUMN) -> DataFrame:
+    """Agreement between models' probabilities: row-level Pearson r for every
+    pair of score columns, and (with ``cluster``) r between per-cluster means
+    and of each model's cluster means with the cluster default rate."""
+    cols = list(score_cols)
+    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    rows = wide.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).select(F.inline(F.array(*[
+        F.struct(F.lit("rows").alias("level"), F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
+                 F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)])))
+    if cluster is None:
+        return rows
+    means = wide.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in cols],
+                                      F.avg(F.col(target).cast("double")).alias("_rate"))  # #clusters rows
+    allp = pairs + [(c, "_rate") for c in cols]
+    cm = means.agg(*[F.corr(a, b).alias(f"m{i}") for i, (a, b) in enumerate(allp)]).select(F.inline(F.array(*[
+        F.struct(F.lit("cluster_means").alias("level"), F.lit(a).alias("var_a"),
+                 F.lit("default_rate" if b == "_rate" else b).alias("var_b"), F.col(f"m{i}").alias("r"))
+        for i, (a, b) in enumerate(allp)])))
+    return rows.unionByName(cm)
+
+
 # p-values -------------------------------------------------------------------
 def _pvalue(jvm, test: str, stat, df1, df2):
     if stat is None or (isinstance(stat, float) and math.isnan(stat)):

@@ -7,9 +7,9 @@ results with bounded per-task state instead:
 
 1. collapse rows to distinct ``(key, value)`` with counts (partial aggregation
    before the shuffle, so a value holding a third of all rows is one row);
-2. cut each key's value range into ``buckets`` contiguous ranges using
-   approximate quantiles of the distinct values (collected: #keys x buckets
-   numbers) so every bucket holds a similar number of distinct values;
+2. cut the value range of every key with more distinct values than one task
+   should hold into contiguous buckets, using approximate quantiles of the
+   distinct values (collected: bounded by #distinct / rows-per-bucket);
 3. a window partitioned by ``(key, bucket)`` gives the running count inside a
    bucket, and a tiny per-bucket total table gives each bucket's offset.
 
@@ -26,9 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def default_buckets(spark) -> int:
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(4 * n, 16384))
+ROWS_PER_BUCKET = 2_000_000   # distinct values one window task handles comfortably
+MAX_CUT_POINTS = 4_000_000    # total cut points ever collected to the driver
 
 
 def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -44,27 +43,42 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
     return out
 
 
-def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets: int) -> DataFrame:
-    """Approximate cut points per key, frozen as a local table.
+def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets: int | None,
+                   rows_per_bucket: int) -> DataFrame | None:
+    """Approximate cut points for the keys too large for one window task,
+    frozen as a local table.
 
-    Collected on purpose: the table is #keys x buckets numbers, and freezing it
-    keeps bucket assignment identical if a stage is recomputed after an
-    executor loss.
+    Only keys with more than ``rows_per_bucket`` distinct values get cut
+    points, so the collected table holds at most
+    ``#distinct / rows_per_bucket`` keys and ``MAX_CUT_POINTS`` numbers, and
+    freezing it keeps bucket assignment identical if a stage is recomputed
+    after an executor loss.  ``buckets`` forces a fixed count for every key.
     """
-    if buckets <= 1:
-        return None
-    probs = [i / buckets for i in range(1, buckets)]
-    acc = max(10000, buckets * 50)
-    b = distinct.groupBy(*keys).agg(
-        F.percentile_approx(F.col(value), F.array(*[F.lit(p) for p in probs]), acc)
-        .alias("_bounds"))
-    rows = b.collect()
-    schema = b.schema
-    return spark.createDataFrame(rows, schema)
+    if buckets is not None:
+        if buckets <= 1:
+            return None
+        big = distinct.select(*keys).distinct()
+        n_cut = buckets
+        sel = distinct
+    else:
+        sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows = sizes.filter(F.col("_n") > rows_per_bucket).collect()  # <= #distinct / rows_per_bucket
+        if not rows:
+            return None
+        need = max(-(-r["_n"] // rows_per_bucket) for r in rows)
+        n_cut = max(2, min(need, MAX_CUT_POINTS // len(rows)))
+        big = spark.createDataFrame([tuple(r[k] for k in keys) for r in rows], sizes.select(*keys).schema)
+        sel = join_null_safe(distinct, F.broadcast(big), keys)  # big-key list is size-bounded
+    probs = [i / n_cut for i in range(1, n_cut)]
+    acc = max(10000, n_cut * 50)
+    b = sel.groupBy(*keys).agg(
+        F.percentile_approx(F.col(value), F.array(*[F.lit(p) for p in probs]), acc).alias("_bounds"))
+    return spark.createDataFrame(b.collect(), b.schema)
 
 
 def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
-                   sums: dict | None = None, buckets: int | None = None) -> DataFrame:
+                   sums: dict | None = None, buckets: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Distinct ``(keys, value)`` rows with ``c`` (row count), optional weight
     sums, and ``c_before`` / ``<sum>_before``: totals over strictly smaller
     values within the same key.
@@ -74,12 +88,11 @@ def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     sums = dict(sums or {})
     spark = long_df.sparkSession
-    buckets = buckets or default_buckets(spark)
     aggs = [F.count(F.lit(1)).alias("c")] + [F.sum(e).alias(n) for n, e in sums.items()]
     d = long_df.groupBy(*keys, value).agg(*aggs)
     measures = ["c"] + list(sums)
 
-    bounds = _bucket_bounds(spark, d.select(*keys, value), keys, value, buckets)
+    bounds = _bucket_bounds(spark, d.select(*keys, value), keys, value, buckets, rows_per_bucket)
     if bounds is None:
         d2 = d.withColumn("_bucket", F.lit(0))
     else:
@@ -124,7 +137,7 @@ def key_totals(counts: DataFrame, keys: Sequence[str], measures: Iterable[str] =
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), buckets: int | None = None,
-                    long_df: DataFrame | None = None) -> DataFrame:
+                    long_df: DataFrame | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default), exact.
 
     Returns ``(group_cols..., column, prob, value)``; NULL/NaN skipped.
@@ -132,7 +145,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
     long = long_df if long_df is not None else unpivot_numeric(df, cols, keep=group_cols)
-    cnt = ordered_counts(long, keys, "value", buckets=buckets)
+    cnt = ordered_counts(long, keys, "value", buckets=buckets, rows_per_bucket=rows_per_bucket)
     n = key_totals(cnt, keys)
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     targets = (n.select(*keys, F.col("c_total").alias("n"), F.explode(probs_arr).alias("prob"))

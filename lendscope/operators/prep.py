@@ -180,8 +180,10 @@ def build_preprocessing_pipeline(roles: R.ColumnRoles = R.LOAN_ROLES, features_c
     if nom:
         stages.append(StringIndexer(inputCols=[f"{c}__imp" for c in nom], outputCols=[f"{c}__idx" for c in nom],
                                     stringOrderType="alphabetAsc", handleInvalid="keep"))
+        # the indexer's "keep" slot (unknown/NULL) is the last category and
+        # dropLast removes it: unknown -> all zeros, every real level kept
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in nom], outputCols=[f"{c}__oh" for c in nom],
-                                    dropLast=True, handleInvalid="keep"))
+                                    dropLast=True))
         assembled += [f"{c}__oh" for c in nom]
     assembled += [f"ordinal_categorical__{c}" for c in ordc]
     stages.append(VectorAssembler(inputCols=assembled, outputCol=features_col, handleInvalid="keep"))

@@ -22,8 +22,10 @@ from lendscope.sources.tables import loan_book, read_table
 
 
 def split_loans(spark, sf):
-    df = loans(spark, sf)
-    return FP.stratified_folds(FP.stratified_split(df), R.CV_FOLDS)
+    """Cleaned loans with split and fold ids, persisted: the fits, transforms
+    and evaluations of one query all read it (recomputable from lineage)."""
+    df = loans(spark, sf).persist()
+    return FP.stratified_folds(FP.stratified_split(df), R.CV_FOLDS).persist()
 
 
 # ------------------------------------------------------------------ prep
@@ -155,9 +157,9 @@ def q_p1(spark, sf):
 
 # ------------------------------------------------------------------ segmentation
 def _cluster_features(spark, sf):
-    df = loans(spark, sf)
+    df = loans(spark, sf).persist()
     prep = FP.build_clustering_preprocessor().fit(df)
-    return prep.transform(df).withColumnRenamed("id", "row_id")
+    return prep.transform(df).withColumnRenamed("id", "row_id").persist()
 
 
 @register("g1_kmeans_segments")
@@ -383,6 +385,54 @@ def q_s1(spark, sf):
     return spark.read.parquet(f"{root}/sink")
 
 
+@register("x3_split_statistics")
+def q_x3(spark, sf):
+    from lendscope.operators.trees import split_statistics
+    model, _ = _fit_eval(spark, sf, "gradient_boosting", {"n_estimators": 50, "max_depth": 4, "learning_rate": 0.1})
+    return split_statistics(model.stages[-1], FP.feature_names(model), spark)
+
+
+@register("x6_tree_attribution")
+def q_x6(spark, sf):
+    """Boosted-tree attributions for every test row (margin space)."""
+    from lendscope.operators.trees import tree_attribution
+    model, _ = _fit_eval(spark, sf, "gradient_boosting", {"n_estimators": 50, "max_depth": 4, "learning_rate": 0.1})
+    test = split_loans(spark, sf).filter(F.col("split") == "test")
+    contrib, _ = tree_attribution(model, test, FP.feature_names(model))
+    return contrib
+
+
+@register("t9_variance_inflation")
+def q_t9(spark, sf):
+    from lendscope.operators.hypothesis import variance_inflation_factors
+    return variance_inflation_factors(loans(spark, sf), R.NUMERIC_FEATURES)
+
+
+@register("t12_score_correlations")
+def q_t12(spark, sf):
+    from lendscope.operators.hypothesis import score_correlations
+    d = _grade_segments(spark, sf).select(
+        "cluster", R.TARGET_COLUMN, F.col("p").alias("score_a"),
+        (((F.col("id") * 16807) % 1000) / 1000.0 * 0.5 + F.col(R.TARGET_COLUMN) * 0.3).alias("score_b"))
+    return rounded(score_correlations(d, ["score_a", "score_b"], cluster="cluster"))
+
+
+@register("g13_segmentation_engine")
+def q_g13(spark, sf):
+    from lendscope.plans.segmentation import SegmentationEngine
+    df = loans(spark, sf).persist()
+    eng = SegmentationEngine(n_clusters=4, restarts=3).fit(df)
+    return eng.assign_segment(df).select("id", "cluster_id", "segment_name")
+
+
+@register("m17_training_job")
+def q_m17(spark, sf):
+    from lendscope.plans.training import run_training
+    out = run_training(loan_book(spark, sf), models=("logistic_regression",),
+                       candidates={"logistic_regression": [{"C": 1.0, "penalty": "l2"}]})
+    return out["comparison"]
+
+
 @register("io4_split_roundtrip")
 def q_io4(spark, sf):
     from lendscope.sources.files import load_split, save_splits

@@ -119,6 +119,15 @@ O["g24_probability_by_cluster"] = with_scored(_SEG + f"""
 SELECT cluster, model, {r('avg(p)')} AS mean_p, {r('stddev_samp(p)')} AS std_p,
   {r('avg(CAST(default_flag AS DOUBLE))')} AS default_rate FROM two GROUP BY cluster, model""")
 
+O["t12_score_correlations"] = with_scored(_SEG + f"""
+, w AS (SELECT cluster, default_flag, p AS score_a,
+          CAST((id * 16807) % 1000 AS DOUBLE) / 1000.0 * 0.5 + default_flag * 0.3 AS score_b FROM seg)
+, cm AS (SELECT cluster, avg(score_a) AS a, avg(score_b) AS b, avg(CAST(default_flag AS DOUBLE)) AS rate FROM w GROUP BY cluster)
+SELECT 'rows' AS level, 'score_a' AS var_a, 'score_b' AS var_b, {r('corr(score_a, score_b)')} AS r FROM w
+UNION ALL SELECT 'cluster_means', 'score_a', 'score_b', {r('corr(a, b)')} FROM cm
+UNION ALL SELECT 'cluster_means', 'score_a', 'default_rate', {r('corr(a, rate)')} FROM cm
+UNION ALL SELECT 'cluster_means', 'score_b', 'default_rate', {r('corr(b, rate)')} FROM cm""")
+
 O["x13_interaction_table"] = with_scored(f"""
 , e AS (SELECT {_qbin('dti').replace('FROM loans', 'FROM scored')} AS e_dti)
 , lab AS (SELECT scored.*, {_qlabel('dti', 'e.e_dti')} AS dti_bin FROM scored, e)
