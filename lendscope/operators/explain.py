@@ -54,14 +54,19 @@ def impurity_importance(model: PipelineModel, roles: R.ColumnRoles = R.LOAN_ROLE
 
 # X4
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequence[str], repeats: int = 10,
-                           seed: int = R.RANDOM_STATE, id_col: str = "id", target: str = R.TARGET_COLUMN) -> DataFrame:
+                           seed: int = R.RANDOM_STATE, id_col: str = "id", target: str = R.TARGET_COLUMN,
+                           sample_n: int | None = None) -> DataFrame:
     """AUC drop when one raw column is permuted (mean and std over repeats).
 
     A permutation of column c: rank rows by xxhash64(id, seed) and by
     xxhash64(id, seed, c, r); row at hash-rank i receives the value of the row
     at permutation-rank i (exact ranks from prefix counts, joined on rank).
     All permutations are unioned with (feature, repeat) keys and scored by one
-    ROC-AUC job."""
+    ROC-AUC job.  The work is #rows x #columns x repeats scorings; ``sample_n``
+    (a deterministic hash sample) bounds it on very large evaluation sets."""
+    if sample_n is not None:
+        from lendscope.operators.clean import deterministic_sample
+        df = deterministic_sample(df, sample_n, seed, id_col)
     cols = list(df.columns)
     keys = F.explode(F.array(*[F.struct(F.lit(c).alias("_feature"), F.lit(r).alias("_repeat"))
                                for c in columns for r in range(repeats)])).alias("_key")
@@ -184,6 +189,19 @@ def decision_paths(contrib: DataFrame, glob: DataFrame, base_value: float) -> Da
     return j.withColumn("cumulative_margin", F.lit(base_value) + F.sum("contribution").over(w))
 
 
+# X12
+def dependence_data(contrib: DataFrame, feature: str, interacting: str | None = None) -> DataFrame:
+    """(row_id, value, contribution, interaction_value) for one model input;
+    a one-hot slot name raises (dependence needs a single numeric input)."""
+    if feature.startswith("onehot_categorical__"):
+        raise ValueError("dependence data needs a numeric or ordinal feature, not a one-hot slot")
+    f = contrib.filter(F.col("feature") == feature).select("row_id", "value", "contribution")
+    if interacting is None:
+        return f
+    g = contrib.filter(F.col("feature") == interacting).select("row_id", F.col("value").alias("interaction_value"))
+    return f.join(g, "row_id", "left")
+
+
 # X13
 def interaction_table(df: DataFrame, a: str, b: str, p: str = "p", numeric: Sequence[str] = (),
                       q: int = 4) -> DataFrame:

@@ -433,6 +433,53 @@ def q_m17(spark, sf):
     return out["comparison"]
 
 
+@register("x12_dependence_data")
+def q_x12(spark, sf):
+    _, (contrib, _) = _linear(spark, sf)
+    return X.dependence_data(contrib, "numeric__int_rate", "numeric__dti")
+
+
+@register("c15_deterministic_sample")
+def q_c15(spark, sf):
+    from lendscope.operators.clean import deterministic_sample
+    return deterministic_sample(loans(spark, sf), 500)
+
+
+@register("g12_algorithm_comparison")
+def q_g12(spark, sf):
+    feats = _cluster_features(spark, sf)
+    km, _ = G.fit_kmeans(feats, 4, restarts=3)
+    hier, _ = G.fit_hierarchical(feats, 4)
+    gmm = G.fit_gmm(feats, 4)
+    parts = [(name, G.evaluate_clustering(lab)) for name, lab in
+             (("kmeans", km.transform(feats)), ("hierarchical", hier), ("gmm", gmm.transform(feats)))]
+    out = None
+    for name, ev in parts:
+        ev = ev.withColumn("algorithm", F.lit(name))
+        out = ev if out is None else out.unionByName(ev)
+    return out
+
+
+@register("g25_cleaned_vs_winsorized_segments")
+def q_g25(spark, sf):
+    """Segment the cleaned and the winsorized table, align segments by name,
+    and correlate their profiles."""
+    from lendscope.operators.clean import winsorize_columns
+    from lendscope.plans.segmentation import SegmentationEngine
+    base = loans(spark, sf).persist()
+    wins = winsorize_columns(base, R.NUMERIC_FEATURES).persist()
+    a = SegmentationEngine(n_clusters=4, restarts=3).fit(base).state["comparison"].withColumn("dataset", F.lit("cleaned"))
+    b = SegmentationEngine(n_clusters=4, restarts=3).fit(wins).state["comparison"].withColumn("dataset", F.lit("winsorized"))
+    u = a.unionByName(b)
+    c, w = u.filter(F.col("dataset") == "cleaned").alias("c"), u.filter(F.col("dataset") == "winsorized").alias("w")
+    j = c.join(w, F.col("c.segment_name") == F.col("w.segment_name"), "full_outer")  # <= 2k rows
+    return j.select(F.coalesce("c.segment_name", "w.segment_name").alias("segment_name"),
+                    F.col("c.n_borrowers").alias("n_cleaned"), F.col("w.n_borrowers").alias("n_winsorized"),
+                    F.col("c.average_default_rate").alias("rate_cleaned"),
+                    F.col("w.average_default_rate").alias("rate_winsorized"),
+                    F.col("c.typical_income").alias("income_cleaned"), F.col("w.typical_income").alias("income_winsorized"))
+
+
 @register("io4_split_roundtrip")
 def q_io4(spark, sf):
     from lendscope.sources.files import load_split, save_splits
