@@ -45,8 +45,8 @@ def default_rate_by_group(df: DataFrame, group: str, target: str = R.TARGET_COLU
          .groupBy(group)
          .agg(F.count(target).alias("loan_count"),
               F.sum(F.col(target).cast("long")).alias("default_count")))
-    return (g.withColumn("default_rate", F.bround(F.col("default_count") / F.col("loan_count"), decimals))
-            .orderBy(F.desc("default_rate")))
+    rate = F.when(F.col("loan_count") > 0, F.col("default_count") / F.col("loan_count"))
+    return g.withColumn("default_rate", F.bround(rate, decimals)).orderBy(F.desc("default_rate"))
 
 
 # A2
@@ -282,7 +282,8 @@ def kde_curve(df: DataFrame, column: str, grid_points: int = 200, bins: int = 51
     pts = hist.select(*keys, "_x", "_c", "_lo", "_hi", "_sd", "_n", grid)  # bins x grid rows
     h = F.col("_sd") * F.pow(F.col("_n"), -0.2)
     gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("gi") / (grid_points - 1)
-    k = F.col("_c") * F.exp(-0.5 * F.pow((gx - F.col("_x")) / h, 2)) / (h * F.sqrt(F.lit(2 * 3.141592653589793)))
+    k = F.when(h > 0, F.col("_c") * F.exp(-0.5 * F.pow((gx - F.col("_x")) / h, 2))
+               / (h * F.sqrt(F.lit(2 * 3.141592653589793))))  # zero spread -> no density
     return (pts.withColumn("x", gx).withColumn("_k", k)
             .groupBy(*keys, "gi", "x", "_n").agg(F.sum("_k").alias("_s"))
             .select(*keys, "gi", "x", (F.col("_s") / F.col("_n")).alias("density")))

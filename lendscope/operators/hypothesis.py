@@ -40,10 +40,11 @@ def welch_t_tests(df: DataFrame, columns: Sequence[str], group: str = R.TARGET_C
             F.var_samp(F.when(F.col(group) == lab, F.col("value"))).alias(f"var_{tag}"))])
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     va, vb = F.col("var_a"), F.col("var_b")
-    se2 = va / na + vb / nb
-    t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2)
-    dfree = se2 * se2 / (F.pow(va / na, 2) / (na - 1) + F.pow(vb / nb, 2) / (nb - 1))
-    pooled = F.sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2))
+    ok = (na > 1) & (nb > 1)  # both groups need a variance
+    se2 = F.when(ok, va / na + vb / nb)
+    t = F.when(se2 > 0, (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2))
+    dfree = F.when(se2 > 0, se2 * se2 / (F.pow(va / na, 2) / (na - 1) + F.pow(vb / nb, 2) / (nb - 1)))
+    pooled = F.when(ok, F.sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)))
     d = F.when(pooled > 0, (F.col("mean_a") - F.col("mean_b")) / pooled)
     return s.select(F.lit("welch_t").alias("test"), F.col("column").alias("var_a"),
                     F.lit(group).alias("var_b"), "n_a", "n_b", "mean_a", "mean_b",

@@ -62,7 +62,7 @@ def logistic_classifier(C: float = 1.0, penalty: str = "l2", n_rows: int = 1, we
     """sklearn's C maps to regParam = 1 / (C n); L1 -> elasticNet 1, L2 -> 0."""
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=1.0 / (C * max(n_rows, 1)),
                             elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-6)
+                            maxIter=max_iter, tol=1e-4)  # liblinear's default tolerance
     if weighted:
         lr.setWeightCol("weight")
     return lr
@@ -141,7 +141,7 @@ def random_draws(space: dict, n_iter: int, seed: int = R.RANDOM_STATE) -> list:
 
 
 def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col: str = "fold",
-                   k: int = R.CV_FOLDS, parallelism: int = 4, target: str = R.TARGET_COLUMN) -> tuple:
+                   k: int = R.CV_FOLDS, parallelism: int | None = None, target: str = R.TARGET_COLUMN) -> tuple:
     """Fit every (candidate, fold) pair; score all held-out predictions in one
     job.  Returns (per-fold table, summary table sorted by mean AUC)."""
     base = with_label(df, target)
@@ -167,7 +167,8 @@ def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col
             return positive_probability(m.transform(te)).select(
                 F.lit(ci).alias("candidate"), F.lit(fold).alias("fold"), F.col(LABEL).cast("int").alias("y"), "p")
 
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        workers = parallelism or max(4, min(16, base.sparkSession.sparkContext.defaultParallelism))
+        with ThreadPoolExecutor(max_workers=workers) as ex:  # concurrent MLlib fits, as CrossValidator
             preds += list(ex.map(run, range(len(candidates))))
     allp = preds[0]
     for x in preds[1:]:
@@ -184,7 +185,7 @@ def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col
 
 
 def tune_model(df: DataFrame, key: str, fold_col: str = "fold", search: str = "grid", n_iter: int | None = None,
-               parallelism: int = 4, seed: int = R.RANDOM_STATE, candidates: Sequence[dict] | None = None) -> dict:
+               parallelism: int | None = None, seed: int = R.RANDOM_STATE, candidates: Sequence[dict] | None = None) -> dict:
     """M7 dispatch of the reference searches: exhaustive logistic grid,
     randomised forest / boosting draws.  Returns best params + tables."""
     if candidates is None:
@@ -250,7 +251,7 @@ def evaluate_splits(scored: DataFrame, y: str = "y", p: str = "p", split: str =
 
 
 def train_and_evaluate(df_split: DataFrame, key: str, fold_col: str = "fold", calibrate: str | None = "sigmoid",
-                       parallelism: int = 4, candidates: Sequence[dict] | None = None, n_iter: int | None = None) -> dict:
+                       parallelism: int | None = None, candidates: Sequence[dict] | None = None, n_iter: int | None = None) -> dict:
     """Tune on train (CV) -> refit on train -> threshold on val -> calibrate
     on val (frozen base) -> metrics on every split.  Test never tunes anything."""
     train = df_split.filter(F.col("split") == "train")

@@ -97,7 +97,10 @@ def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
 
     bounds = _bucket_bounds(spark, d.select(*keys, value), keys, value, buckets, rows_per_bucket)
     if bounds is None:
-        d2 = d.withColumn("_bucket", F.lit(0))
+        # every key fits one window task: prefix sums directly, no offsets
+        w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return d.select(*keys, value, *measures,
+                        *[F.coalesce(F.sum(m).over(w), F.lit(0)).alias(f"{m}_before") for m in measures])
     else:
         d2 = (join_null_safe(d, bounds, keys, "left")
               .withColumn("_bucket", F.coalesce(
@@ -148,6 +151,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
     long = long_df if long_df is not None else unpivot_numeric(df, cols, keep=group_cols)
+    if buckets is None:
+        biggest = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if biggest is None or biggest <= rows_per_bucket:
+            return _quantiles_sorted_arrays(long, keys, probs)
     cnt = ordered_counts(long, keys, "value", buckets=buckets, rows_per_bucket=rows_per_bucket)
     n = key_totals(cnt, keys)
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
@@ -176,6 +183,20 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                       .alias("value"))
 
 
+def _quantiles_sorted_arrays(long: DataFrame, keys: list, probs: Sequence[float]) -> DataFrame:
+    """Small-key path, used only after checking every key has at most
+    ``rows_per_bucket`` rows: one sorted array per key, order statistics read
+    by position (same interpolation as the bucketed path)."""
+    g = long.groupBy(*keys).agg(F.array_sort(F.collect_list("value")).alias("_v"))
+    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
+    t = (g.select(*keys, "_v", F.explode(probs_arr).alias("prob"))
+         .withColumn("h", (F.size("_v") - 1) * F.col("prob"))
+         .withColumn("lo", F.floor("h")).withColumn("hi", F.ceil("h")))
+    v_lo = F.element_at("_v", (F.col("lo") + 1).cast("int"))
+    v_hi = F.element_at("_v", (F.col("hi") + 1).cast("int"))
+    return t.select(*keys, "prob", (v_lo + (v_hi - v_lo) * (F.col("h") - F.col("lo"))).alias("value"))
+
+
 def quantile_table_wide(q: DataFrame, keys: Sequence[str], probs: Sequence[float],
                         names: Sequence[str]) -> DataFrame:
     """Pivot ``exact_quantiles`` output to one column per probability."""

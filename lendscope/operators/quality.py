@@ -35,7 +35,8 @@ def missing_summary(df: DataFrame, decimals: int = 2, only_missing: bool = True)
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count"))
         for i, c in enumerate(df.columns)])))
     out = long.select("column", "missing_count",
-                      F.bround(F.col("missing_count") / F.col("__n") * 100, decimals).alias("missing_pct"))
+                      F.bround(F.when(F.col("__n") > 0, F.col("missing_count") / F.col("__n") * 100), decimals)
+                      .alias("missing_pct"))
     if only_missing:
         out = out.filter(F.col("missing_count") > 0)
     return out.orderBy(F.desc("missing_count"))

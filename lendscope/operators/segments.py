@@ -198,7 +198,8 @@ def davies_bouldin(long: DataFrame) -> DataFrame:
             .agg(F.sqrt(F.sum(F.pow(F.col("a.c") - F.col("b.c"), 2))).alias("dij")))  # k x k rows
     si, sj = s.select(F.col("cluster").alias("ci"), F.col("s").alias("si")), \
         s.select(F.col("cluster").alias("cj"), F.col("s").alias("sj"))
-    r = pair.join(si, "ci").join(sj, "cj").withColumn("rij", (F.col("si") + F.col("sj")) / F.col("dij"))
+    r = pair.join(si, "ci").join(sj, "cj").withColumn(
+        "rij", F.when(F.col("dij") > 0, (F.col("si") + F.col("sj")) / F.col("dij")))
     return r.groupBy("ci").agg(F.max("rij").alias("m")).agg(F.avg("m").alias("davies_bouldin"))
 
 

@@ -57,12 +57,14 @@ def test_single_row_scoring_guard(spark):
     assert P.score_single(two.limit(1)).count() == 1
 
 
-def test_segmentation_engine(spark):
+def test_segmentation_engine(spark, tmp_path):
     df = loans(spark, SF)
     eng = SegmentationEngine(n_clusters=3, restarts=2).fit(df)
     a = eng.assign_segment(df)
     assert a.count() == df.count() and a.filter(F.col("segment_name").isNull()).count() == 0
     assert eng.predict_cluster(df.limit(5)).count() == 5
+    eng.save(str(tmp_path / "seg"))
+    assert spark.read.parquet(str(tmp_path / "seg" / "tables" / "profile")).count() == 3
     h = SegmentationEngine(n_clusters=3, algorithm="hierarchical").fit(df)
     with pytest.raises(NotImplementedError):
         h.predict_cluster(df)
