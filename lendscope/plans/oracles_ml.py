@@ -113,6 +113,42 @@ O["g20_segment_actions"] = with_scored(_PROFILE + f"""
 SELECT cluster_id, {r('average_default_rate')} AS average_default_rate, mean_predicted_probability, risk_tier, {_ACTIONS}
 FROM t""")
 
+def _z(col: str) -> str:
+    return (f"CASE WHEN stddev_pop({col}) OVER () > 0 THEN ({col} - avg({col}) OVER ()) / stddev_pop({col}) OVER () "
+            f"ELSE 0.0 END")
+
+
+_NAMES = _PROFILE + f"""
+, z AS (SELECT cluster_id, {_z('average_default_rate')} AS risk, {_z('annual_inc')} AS inc, {_z('dti')} AS dz,
+          {_z('emp_length_years')} AS emp, {_z('revol_util')} AS util FROM prof)
+, p1 AS (SELECT cluster_id AS c FROM (SELECT * FROM z ORDER BY risk DESC, cluster_id LIMIT 1) WHERE risk > 0.5)
+, p2 AS (SELECT cluster_id AS c FROM (SELECT * FROM z WHERE cluster_id NOT IN (SELECT c FROM p1)
+           ORDER BY -risk + inc DESC, cluster_id LIMIT 1) WHERE risk < 0 AND inc > 0)
+, p3 AS (SELECT cluster_id AS c FROM (SELECT * FROM z WHERE cluster_id NOT IN (SELECT c FROM p1 UNION ALL SELECT c FROM p2)
+           ORDER BY dz DESC, cluster_id LIMIT 1) WHERE dz > 0.5)
+, p4 AS (SELECT cluster_id AS c FROM (SELECT * FROM z WHERE cluster_id NOT IN
+           (SELECT c FROM p1 UNION ALL SELECT c FROM p2 UNION ALL SELECT c FROM p3)
+           ORDER BY -util DESC, cluster_id LIMIT 1) WHERE util < -0.3 AND risk <= 0.5)
+, p5 AS (SELECT cluster_id AS c FROM (SELECT * FROM z WHERE cluster_id NOT IN
+           (SELECT c FROM p1 UNION ALL SELECT c FROM p2 UNION ALL SELECT c FROM p3 UNION ALL SELECT c FROM p4)
+           ORDER BY -emp + inc DESC, cluster_id LIMIT 1) WHERE emp < 0 AND inc > 0)
+, named AS (SELECT c, 'High Risk Borrowers' AS nm FROM p1 UNION ALL SELECT c, 'Prime Borrowers' FROM p2
+            UNION ALL SELECT c, 'High Debt Borrowers' FROM p3 UNION ALL SELECT c, 'Credit Rebuilders' FROM p4
+            UNION ALL SELECT c, 'Young Professionals' FROM p5)
+, rest AS (SELECT cluster_id AS c, row_number() OVER (ORDER BY risk, cluster_id) AS i, count(*) OVER () AS m
+           FROM z WHERE cluster_id NOT IN (SELECT c FROM named))
+, names AS (SELECT c AS cluster_id, nm AS segment_name FROM named UNION ALL
+            SELECT c, 'Moderate Risk Borrowers' || CASE WHEN m > 1 THEN ' (' || CAST(i AS VARCHAR) || ')' ELSE '' END FROM rest)
+"""
+
+O["g18_segment_names"] = with_scored(_NAMES + "SELECT cluster_id, segment_name FROM names")
+
+O["g23_compare_with_supervised"] = with_scored(_NAMES + f"""
+, mp AS (SELECT cluster AS cluster_id, avg(p) AS mpp FROM seg GROUP BY cluster)
+SELECT prof.cluster_id, coalesce(names.segment_name, 'Cluster ' || CAST(prof.cluster_id AS VARCHAR)) AS segment_name,
+  {r('prof.average_default_rate')} AS average_default_rate, {r('mp.mpp')} AS mean_predicted_probability
+FROM prof LEFT JOIN names USING (cluster_id) LEFT JOIN mp USING (cluster_id)""")
+
 O["g24_probability_by_cluster"] = with_scored(_SEG + f"""
 , two AS (SELECT cluster, 'score_a' AS model, p, default_flag FROM seg UNION ALL
           SELECT cluster, 'score_b', CAST((id * 16807) % 1000 AS DOUBLE) / 1000.0 * 0.5 + default_flag * 0.3, default_flag FROM seg)

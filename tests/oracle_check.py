@@ -48,6 +48,24 @@ def _rows(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+def _exact(v):
+    if v is None or (isinstance(v, float) and math.isnan(v)):
+        return None
+    if hasattr(v, "item"):
+        return _exact(v.item())
+    if isinstance(v, (list, tuple)):
+        return tuple(_exact(x) for x in v)
+    if hasattr(v, "as_tuple"):  # Decimal
+        return float(v)
+    return v
+
+
+def _rows_exact(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_exact(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
+
+
 def _close(a, b):
     if len(a) != len(b):
         return False
@@ -75,8 +93,9 @@ def compare(spark, name, qfn, sql, sf_dir, con):
         out["status"] = f"COLUMNS {sorted(scols)} vs {sorted(dcols)}"
         return out
     a, b = _rows(scols, srows), _rows(dcols, drows)
+    exact = _rows_exact(scols, srows) == _rows_exact(dcols, drows)
     if a == b:
-        out["status"] = "OK"
+        out["status"] = "OK" if exact else "OK(6dp)"
     elif _close(a, b):
         out["status"] = "CLOSE"
     else:
@@ -111,7 +130,7 @@ def main():
             r = compare(spark, name, qs[name], orc[name], sf_dir, con)
         except Exception as e:  # noqa: BLE001
             r = {"name": name, "status": f"ERROR {type(e).__name__}: {str(e)[:600]}"}
-        if r["status"] not in ("OK", "CLOSE"):
+        if r["status"] not in ("OK", "OK(6dp)", "CLOSE"):
             bad += 1
         print(r, flush=True)
     print("bad:", bad)
