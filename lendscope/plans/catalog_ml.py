@@ -382,7 +382,7 @@ def q_s1(spark, sf):
     raw.write.mode("overwrite").parquet(f"{root}/src")
     score = lambda d: d.withColumn("p", ((F.col("id") * 48271) % 1000) / 1000.0 * 0.6 + F.col("default_flag") * 0.2)
     score_stream(spark, f"{root}/src", raw.schema, f"{root}/sink", score, name=f"s1-{uuid.uuid4().hex}")
-    return spark.read.parquet(f"{root}/sink")
+    return rounded(spark.read.parquet(f"{root}/sink"))
 
 
 @register("x3_split_statistics")

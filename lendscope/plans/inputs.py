@@ -30,11 +30,16 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sig_round(c, digits: int = 8):
     """Round to ``digits`` significant digits (0, NULL, NaN and inf unchanged)."""
-    e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
-    k = float(10 ** (digits - 1))
+    ex = F.floor(F.log10(F.abs(c)))
+    up = F.pow(F.lit(10.0), ex)          # exact power of ten for ex >= 0
+    down = F.pow(F.lit(10.0), -ex)       # exact power of ten for ex < 0
+    k = F.lit(float(10 ** (digits - 1)))
     ok = c.isNotNull() & (c != 0) & ~F.isnan(c) & (F.abs(c) != float("inf"))
-    # explicit floor(t + 0.5): plain IEEE arithmetic, identical in every engine
-    return F.when(ok, F.floor(c / e * F.lit(k) + F.lit(0.5)) / F.lit(k) * e).otherwise(c)
+    # explicit floor(t + 0.5) and scaling only by exact powers of ten: plain
+    # IEEE arithmetic that every engine evaluates to the same double
+    big = F.floor(c / up * k + F.lit(0.5)) / k * up
+    small = F.floor(c * down * k + F.lit(0.5)) / k / down
+    return F.when(ok, F.when(ex >= 0, big).otherwise(small)).otherwise(c)
 
 
 def rounded(df: DataFrame, digits: int = 8) -> DataFrame:

@@ -12,10 +12,8 @@ NUM = R.NUMERIC_FEATURES
 
 def _r(x: str, digits: int = 8) -> str:
     """8 significant digits, the same rule as ``inputs.sig_round``."""
-    x = f"CAST({x} AS DOUBLE)"
-    e = f"power(10.0, floor(log10(abs({x}))))"
-    return (f"(CASE WHEN ({x}) IS NULL OR ({x}) = 0 OR isnan({x}) OR isinf({x}) THEN ({x}) "
-            f"ELSE floor(({x}) / {e} * {float(10 ** (digits - 1))} + 0.5) / {float(10 ** (digits - 1))} * {e} END)")
+    from lendscope.plans.oracles_more import r
+    return r(x, digits)
 
 
 def _unpivot_values(cols, alias="value", name="column") -> str:
@@ -71,3 +69,6 @@ ORACLES.update(_MORE)
 from lendscope.plans.oracles_ml import O as _ML  # noqa: E402
 
 ORACLES.update(_ML)
+
+# the streaming scorer must produce exactly the batch scoring of the same rows
+ORACLES["s1_streaming_policy_scoring"] = ORACLES["p8_batch_scoring"]

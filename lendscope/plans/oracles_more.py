@@ -19,11 +19,15 @@ LOAN_COLS = (["id", "addr_state"] + NUM + R.ONEHOT_FEATURES + ["grade", "default
 
 
 def r(x: str, digits: int = 8) -> str:
+    """8 significant digits, the same IEEE steps as ``inputs.sig_round``."""
     x = f"CAST({x} AS DOUBLE)"
-    e = f"power(10.0, floor(log10(abs({x}))))"
-    k = float(10 ** (digits - 1))
+    ex = f"floor(log10(abs({x})))"
+    up = f"power(10.0, {ex})"
+    down = f"power(10.0, -{ex})"
+    k = repr(float(10 ** (digits - 1)))
     return (f"(CASE WHEN ({x}) IS NULL OR ({x}) = 0 OR isnan({x}) OR isinf({x}) THEN ({x}) "
-            f"ELSE floor(({x}) / {e} * {k} + 0.5) / {k} * {e} END)")
+            f"WHEN {ex} >= 0 THEN floor(({x}) / {up} * CAST({k} AS DOUBLE) + 0.5) / CAST({k} AS DOUBLE) * {up} "
+            f"ELSE floor(({x}) * {down} * CAST({k} AS DOUBLE) + 0.5) / CAST({k} AS DOUBLE) / {down} END)")
 
 
 def q(s: str) -> str:
@@ -251,7 +255,7 @@ O["b3_policy_bands"] = with_scored(f"SELECT id, {TIER} AS risk_tier, {GRADE} AS
 # ------------------------------------------------------------------ descriptive
 O["a2_default_rate_summary"] = with_loans(f"""
 SELECT grade, count(default_flag) AS loan_count, CAST(sum(default_flag) AS BIGINT) AS default_count,
-  round_even(sum(default_flag) / count(default_flag), 4) AS default_rate,
+  {r('round_even(sum(default_flag) / count(default_flag), 4)')} AS default_rate,
   (SELECT {r('avg(CAST(default_flag AS DOUBLE))')} FROM loans) AS portfolio_rate,
   count(default_flag) >= 5 AS in_plot,
   CAST(list_position(['A','B','C','D','E','F','G'], grade) - 1 AS BIGINT) AS sort_index
@@ -598,7 +602,7 @@ def _threshold_cols() -> str:
     rc = "CASE WHEN tp + fn <> 0 THEN tp / CAST(tp + fn AS DOUBLE) END"
     f1 = f"CASE WHEN ({pr}) > 0 AND ({rc}) > 0 THEN 2 * ({pr}) * ({rc}) / (({pr}) + ({rc})) ELSE 0.0 END"
     n = "CAST(tp + fp + tn + fn AS DOUBLE)"
-    return (f"threshold, {r(pr)} AS precision, {r(rc)} AS recall, {r('CASE WHEN tn + fp <> 0 THEN tn / CAST(tn + fp AS DOUBLE) END')} AS specificity, "
+    return (f"{r('threshold')} AS threshold, {r(pr)} AS precision, {r(rc)} AS recall, {r('CASE WHEN tn + fp <> 0 THEN tn / CAST(tn + fp AS DOUBLE) END')} AS specificity, "
             f"{r(f1)} AS f1_score, {r(f'(tp + tn) / {n}')} AS accuracy, {r(f'(fn * 5.0 + fp * 1.0) / {n}')} AS expected_cost_per_loan, "
             f"tp + fp AS n_flagged_as_risky, {r(f'(tn + fn) / {n}')} AS approval_rate, "
             f"{r('CASE WHEN fp + tn <> 0 THEN fp / CAST(fp + tn AS DOUBLE) END')} AS false_positive_rate, "
@@ -637,8 +641,10 @@ _FAIR = with_scored(_YP + _FAIR_LONG + f"""
   FROM sizes s JOIN base USING ({_FK}) JOIN rk USING ({_FK}) JOIN pr USING ({_FK}) JOIN ec USING ({_FK}) WHERE s.n >= 10)
 """)
 O["n1_fairness_report"] = _FAIR + "SELECT * FROM rep"
-O["n2_fairness_disparities"] = _FAIR + f"""SELECT group_column, min(recall) AS min_value, max(recall) AS max_value,
-  {r('max(recall) - min(recall)')} AS spread, 'recall' AS metric FROM rep GROUP BY group_column"""
+O["n2_fairness_disparities"] = _FAIR + f""", rraw AS (SELECT group_column,
+    coalesce(CASE WHEN tp + fn <> 0 THEN tp / CAST(tp + fn AS DOUBLE) END, 0.0) AS rc FROM ({_conf('el', 0.5, _FK)}))
+SELECT group_column, {r('min(rc)')} AS min_value, {r('max(rc)')} AS max_value,
+  {r('max(rc) - min(rc)')} AS spread, 'recall' AS metric FROM rraw GROUP BY group_column"""
 
 # ------------------------------------------------------------------ policy
 O["p2_predict_labels"] = with_scored("SELECT id, CAST(p >= 0.35 AS INTEGER) AS predicted_default FROM scored")
