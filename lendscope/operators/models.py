@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from lendscope import roles as R
 from lendscope.operators import evaluate as E
 from lendscope.operators.prep import build_preprocessing_pipeline, class_weights
+from lendscope.session import right_size
 
 LABEL = "_label"
 
@@ -157,10 +158,11 @@ def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col
         train = base.filter(F.col(fold_col) != fold)
         test = base.filter(F.col(fold_col) == fold)
         prep = build_preprocessing_pipeline().fit(train)
-        tr = prep.transform(train).select("features", *keep).persist()
-        te = prep.transform(test).select("features", LABEL).persist()
-        cached += [tr, te]
         n_tr = n_total - n_by_fold.get(fold, 0)
+        # right-sized partitions: every optimizer iteration is one task per partition
+        tr = right_size(prep.transform(train).select("features", *keep), n_tr).persist()
+        te = right_size(prep.transform(test).select("features", LABEL), n_by_fold.get(fold, 0)).persist()
+        cached += [tr, te]
 
         def run(ci, tr=tr, te=te, fold=fold, n_tr=n_tr):
             m = make_classifier(key, candidates[ci], n_tr).fit(tr)
@@ -261,7 +263,7 @@ def train_and_evaluate(df_split: DataFrame, key: str, fold_col: str = "fold", ca
     if params.get("class_weight") or params.get("scale_pos_weight", 1) != 1:
         base = class_weights(base, R.TARGET_COLUMN, "balanced")
     n_train = base.count()
-    model = make_estimator(key, params, n_train).fit(base)
+    model = make_estimator(key, params, n_train).fit(right_size(base, n_train))
     scored = raw_score(model, with_label(df_split), key).withColumn("y", F.col(LABEL).cast("int"))
     scored = positive_probability(scored, "p_raw")
     cal = None
@@ -332,7 +334,8 @@ def learning_curve(df: DataFrame, key: str, params: dict, sizes: Sequence[float]
         for fold in range(k):
             tr = base.filter((F.col(fold_col) != fold) & (F.col("_u") < frac))
             te = base.filter(F.col(fold_col) == fold)
-            m = make_estimator(key, params, max(tr.count(), 1)).fit(tr)
+            n_tr = max(tr.count(), 1)
+            m = make_estimator(key, params, n_tr).fit(right_size(tr, n_tr))
             for part, d in (("train", tr), ("validation", te)):
                 out.append(positive_probability(m.transform(d)).select(
                     F.lit(float(frac)).alias("size"), F.lit(fold).alias("fold"), F.lit(part).alias("part"),

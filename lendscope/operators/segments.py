@@ -83,8 +83,9 @@ def fit_kmeans(df: DataFrame, k: int, features: str = "features", restarts: int
     restarts are independent MLlib jobs submitted concurrently."""
     from concurrent.futures import ThreadPoolExecutor
     from pyspark import StorageLevel
-    # only the vector column, cached once and shared by every restart
-    vec = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    from lendscope.session import right_size
+    # only the vector column, right-sized, cached once and shared by every restart
+    vec = right_size(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(i):
         m = KMeans(k=k, featuresCol=features, predictionCol="cluster", seed=seed + i, maxIter=max_iter,

@@ -17,7 +17,7 @@ from lendscope.operators import segments as G
 from lendscope.operators.describe import order_index
 from lendscope.plans.catalog import register
 from lendscope.plans.inputs import loans, rounded, scored
-from lendscope.session import checkpoint_dir
+from lendscope.session import checkpoint_dir, right_size
 from lendscope.sources.tables import loan_book, read_table
 
 
@@ -63,7 +63,8 @@ def _fit_eval(spark, sf, key, params):
     tr = M.with_label(df.filter(F.col("split") == "train"))
     if params.get("class_weight"):
         tr = FP.class_weights(tr)
-    model = M.make_estimator(key, params, tr.count()).fit(tr)
+    n = tr.count()
+    model = M.make_estimator(key, params, n).fit(right_size(tr, n))
     sc = M.predict_probability(model, df).select("id", "split", F.col(R.TARGET_COLUMN).alias("y"), "p")
     return model, sc
 

@@ -55,6 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def right_size(df: DataFrame, n_rows: int | None = None, rows_per_partition: int = 500_000) -> DataFrame:
+    """Coalesce (no shuffle) to about ``rows_per_partition`` rows per partition
+    for iterative MLlib fits, where every iteration schedules one task per
+    partition; never increases the partition count, so large inputs keep
+    their parallelism."""
+    n = df.count() if n_rows is None else n_rows
+    want = max(1, -(-n // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
