@@ -16,6 +16,12 @@ results with bounded per-task state instead:
 Result: for every distinct value, the exact number (and weight) of rows with
 a strictly smaller value.  Exact quantiles, average ranks, ROC-AUC, average
 precision and ROC/PR curves are all read off that table.
+
+Bounded fast paths: the size of every key is measured first (one aggregate
+returning only oversized keys); when no key exceeds ``ROWS_PER_BUCKET`` the
+prefix sums are a window partitioned by key (each partition within the bound)
+and quantiles read positions from one sorted array per key (again within the
+bound).  Larger keys always take the bucketed path.
 """
 
 from __future__ import annotations
@@ -81,13 +87,14 @@ def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets:
 
 def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
                    sums: dict | None = None, buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   rows_per_bucket: int | None = None) -> DataFrame:
     """Distinct ``(keys, value)`` rows with ``c`` (row count), optional weight
     sums, and ``c_before`` / ``<sum>_before``: totals over strictly smaller
     values within the same key.
 
     ``sums`` maps output name -> Column evaluated on ``long_df`` rows.
     """
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     keys = list(keys)
     sums = dict(sums or {})
     spark = long_df.sparkSession
@@ -143,11 +150,12 @@ def key_totals(counts: DataFrame, keys: Sequence[str], measures: Iterable[str] =
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), buckets: int | None = None,
-                    long_df: DataFrame | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                    long_df: DataFrame | None = None, rows_per_bucket: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default), exact.
 
     Returns ``(group_cols..., column, prob, value)``; NULL/NaN skipped.
     """
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
     long = long_df if long_df is not None else unpivot_numeric(df, cols, keep=group_cols)

@@ -11,7 +11,8 @@ Custom ``pyspark.ml`` stages (persistable with the standard ML writers):
 
 Splits and folds rank rows by ``xxhash64(id, seed)`` inside each class with
 exact per-class quotas; the quota cut points are found by rank selection
-(no window over a whole class), so assigning a split is a narrow projection.
+(a sorted array for classes within ``ROWS_PER_BUCKET`` rows, bucketed prefix
+counts beyond), so assigning a split is a narrow projection.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from lendscope import roles as R
 from pyspark.sql import Window
 
-from lendscope.operators.ordered import ROWS_PER_BUCKET, exact_quantiles, join_null_safe, ordered_counts
+from lendscope.operators import ordered as _ordered
+from lendscope.operators.ordered import exact_quantiles, join_null_safe, ordered_counts
 
 
 class _HasValues(Params):
@@ -258,12 +260,13 @@ def split_quotas(class_counts: dict, test_size: float = R.TEST_SIZE,
 
 
 def _hash_rank_cuts(df: DataFrame, target: str, hcol: str, cuts: dict, class_sizes: dict | None = None,
-                    small: int = ROWS_PER_BUCKET) -> DataFrame:
+                    small: int | None = None) -> DataFrame:
     """For each class and rank r in ``cuts[class]``, the hash value at 0-based
     rank r (exact rank selection; absent when r >= class size).  Classes of at
     most ``small`` rows read it from one sorted array; larger classes use the
     bucketed prefix counts."""
     spark = df.sparkSession
+    small = small or _ordered.ROWS_PER_BUCKET
     if class_sizes and max(class_sizes.values()) <= small:
         arr = df.groupBy(F.col(target).alias("_cls")).agg(F.array_sort(F.collect_list(hcol)).alias("_a"))
         want = F.explode(F.array(*[F.struct(F.lit(int(k)).alias("_k"), F.lit(int(i)).alias("_which"),
@@ -314,12 +317,14 @@ def stratified_split(df: DataFrame, target: str = R.TARGET_COLUMN, id_col: str =
 def stratified_folds(df: DataFrame, k: int = R.CV_FOLDS, target: str = R.TARGET_COLUMN, id_col: str = "id",
                      seed: int = R.RANDOM_STATE, out: str = "fold") -> DataFrame:
     """Fold id = (rank of xxhash64(id, seed) within the class) mod k: exactly
-    balanced folds per class.  Ranks come from the distinct-hash prefix
-    counts joined back on (class, hash) -- a shuffle join, no class-wide window."""
+    balanced folds per class.  Classes of at most ``ROWS_PER_BUCKET`` rows are
+    ranked by a window per class; larger classes take the distinct-hash
+    prefix counts joined back on (class, hash) -- a shuffle join, no
+    class-wide window."""
     h = F.xxhash64(F.col(id_col), F.lit(seed + 1))
     d = df.withColumn("_h", h)
     sizes = [r[0] for r in d.groupBy(target).count().select("count").collect()]  # #classes rows
-    if sizes and max(sizes) <= ROWS_PER_BUCKET:
+    if sizes and max(sizes) <= _ordered.ROWS_PER_BUCKET:
         # every class fits one window task
         w = Window.partitionBy(target).orderBy("_h", F.col(id_col))
         return d.withColumn(out, ((F.row_number().over(w) - 1) % k).cast("int")).drop("_h")
