@@ -52,6 +52,32 @@ def q_f6(spark, sf):
     return out.select("id", "split", *[arr[i].alias(f"f{i}") for i in range(len(names))])
 
 
+def _long_features(model, df, names):
+    """(id, feature, value) for every slot of the assembled vector."""
+    from pyspark.ml.functions import vector_to_array
+    names_arr = F.array(*[F.lit(n) for n in names])  # #features literals
+    out = model.transform(df).select("id", F.inline(F.arrays_zip(names_arr.alias("feature"),
+                                                                  vector_to_array("features").alias("value"))))
+    return rounded(out)
+
+
+@register("f6_preprocessing_fit_all")
+def q_f6_all(spark, sf):
+    """Model preprocessing (exact median impute + population scaling, mode
+    impute + alphabetical one-hot, ordinal grade) fitted on the whole table."""
+    df = loans(spark, sf)
+    prep = FP.build_preprocessing_pipeline().fit(df)
+    return _long_features(prep, df, FP.feature_names(prep))
+
+
+@register("f8_clustering_features")
+def q_f8(spark, sf):
+    """Clustering preprocessing (15 dims: scaled numerics + scaled grade)."""
+    df = loans(spark, sf)
+    prep = FP.build_clustering_preprocessor().fit(df)
+    return _long_features(prep, df, FP.feature_names(prep))
+
+
 @register("m6_class_weights")
 def q_m6(spark, sf):
     return FP.class_weights(loans(spark, sf)).groupBy(R.TARGET_COLUMN, "weight").count()

@@ -46,6 +46,43 @@ O["m6_class_weights"] = with_loans("""
 , cc AS (SELECT default_flag, count(*) AS c FROM loans GROUP BY default_flag)
 SELECT default_flag, CAST((SELECT sum(c) FROM cc) AS DOUBLE) / (2 * c) AS weight, c AS count FROM cc""")
 
+_NUMF = R.NUMERIC_FEATURES
+_NOMF = R.ONEHOT_FEATURES
+
+
+def _mode_sql(c: str) -> str:
+    return (f"(SELECT CAST({c} AS VARCHAR) FROM loans WHERE {c} IS NOT NULL GROUP BY {c} "
+            f"ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1)")
+
+
+_IMPUTED = (", med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in _NUMF) + " FROM loans)"
+            ", imp AS (SELECT id, " + ", ".join(f"coalesce({c}, (SELECT {c} FROM med)) AS {c}" for c in _NUMF)
+            + ", " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), {_mode_sql(c)}) AS {c}" for c in _NOMF + ['grade'])
+            + " FROM loans)"
+            ", st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _NUMF) + " FROM imp)"
+            ", ordv AS (SELECT id, CAST(coalesce(list_position(['A','B','C','D','E','F','G'], grade) - 1, -1) AS DOUBLE)"
+            " AS g FROM imp)")
+
+
+def _scaled(c: str, mean: str, sd: str) -> str:
+    return f"({c} - {mean}) / CASE WHEN {sd} > 0 THEN {sd} ELSE 1.0 END"
+
+
+_NUM_LONG = " UNION ALL ".join(
+    f"SELECT id, 'numeric__{c}' AS feature, {_scaled(c, f'm_{c}', f's_{c}')} AS value FROM imp, st" for c in _NUMF)
+
+O["f6_preprocessing_fit_all"] = with_loans(_IMPUTED + ", fl AS (" + _NUM_LONG + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT id, 'onehot_categorical__{c}_' || lab, CASE WHEN imp.{c} = lab THEN 1.0 ELSE 0.0 END "
+    f"FROM imp, (SELECT DISTINCT {c} AS lab FROM imp) labs" for c in _NOMF)
+    + " UNION ALL SELECT id, 'ordinal_categorical__grade', g FROM ordv)\n"
+    f"SELECT id, feature, {r('value')} AS value FROM fl")
+
+O["f8_clustering_features"] = with_loans(
+    _IMPUTED + ", gst AS (SELECT avg(g) AS gm, stddev_pop(g) AS gs FROM ordv)"
+    ", fl AS (" + _NUM_LONG + f" UNION ALL SELECT id, 'ordinal_categorical__grade', {_scaled('g', 'gm', 'gs')} "
+    "FROM ordv, gst)\n"
+    f"SELECT id, feature, {r('value')} AS value FROM fl")
+
 _EMB_LONG = """WITH long AS (
   SELECT vec_id AS row_id, label AS cluster, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
          CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
