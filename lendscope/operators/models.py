@@ -153,7 +153,8 @@ def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col
     n_total = sum(n_by_fold.values())
     keep = [LABEL] + (["weight"] if "weight" in base.columns else [])
     preds, cached = [], [base]
-    for fold in range(k):
+    folds_present = sorted(f for f in n_by_fold if f is not None)
+    for fold in (folds_present if folds_present else range(k)):
         # preprocessing is refit on the training folds only (no leakage)
         train = base.filter(F.col(fold_col) != fold)
         test = base.filter(F.col(fold_col) == fold)

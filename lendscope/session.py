@@ -62,7 +62,11 @@ def right_size(df: DataFrame, n_rows: int | None = None, rows_per_partition: int
     their parallelism."""
     n = df.count() if n_rows is None else n_rows
     want = max(1, -(-n // rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access keep the partitioning
+        return df
+    return df.coalesce(want) if want < current else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -104,6 +104,16 @@ def test_planted_segments_named(spark):
     assert names[1] == "High Risk Borrowers" and names[0] == "Prime Borrowers"
 
 
+def test_random_search_draws_and_cv(spark):
+    d1 = M.random_draws(M.FOREST_SPACE, 5, seed=7)
+    assert d1 == M.random_draws(M.FOREST_SPACE, 5, seed=7)
+    assert all(set(d) == set(M.FOREST_SPACE) and all(d[k] in M.FOREST_SPACE[k] for k in d) for d in d1)
+    df = FP.stratified_folds(_planted(spark, 300), 3)
+    out = M.tune_model(df, "logistic_regression", candidates=[{"C": 0.01, "penalty": "l2"}, {"C": 1.0, "penalty": "l1"}])
+    assert out["summary"].count() == 2 and out["folds"].count() == 3
+    assert out["best_params"] in out["candidates"]
+
+
 def test_assign_nearest_ties_to_lowest(spark):
     df = spark.createDataFrame([([0.5, 0.0],), ([2.0, 0.0],)], "v array<double>")
     out = [r.c for r in G.assign_nearest(df, F.col("v"), {0: [0.0, 0.0], 1: [1.0, 0.0], 2: [2.0, 0.0]}, "c").collect()]
