@@ -69,7 +69,8 @@ def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets:
         sel = distinct
     else:
         sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        rows = sizes.filter(F.col("_n") > rows_per_bucket).collect()  # <= #distinct / rows_per_bucket
+        # at most #distinct / rows_per_bucket keys can be oversized
+        rows = collect_small(sizes.filter(F.col("_n") > rows_per_bucket), MAX_CUT_POINTS // 2)
         if not rows:
             return None
         need = max(-(-r["_n"] // rows_per_bucket) for r in rows)
@@ -82,7 +83,7 @@ def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets:
     acc = max(10000, n_cut * 4)
     b = sel.groupBy(*keys).agg(
         F.percentile_approx(F.col(value), F.array(*[F.lit(p) for p in probs]), acc).alias("_bounds"))
-    return spark.createDataFrame(b.collect(), b.schema)
+    return spark.createDataFrame(collect_small(b, MAX_CUT_POINTS // 2), b.schema)
 
 
 def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
