@@ -222,18 +222,22 @@ def score_correlations(wide: DataFrame, score_cols: Sequence[str], cluster: str
 
 
 # p-values -------------------------------------------------------------------
-def _pvalue(jvm, test: str, stat, df1, df2):
+def _pvalue(test: str, stat, df1, df2):
+    from lendscope.functions import distributions as D
     if stat is None or (isinstance(stat, float) and math.isnan(stat)):
         return None
-    dist = jvm.org.apache.commons.math3.distribution
     if test == "welch_t":
         if df1 is None or not df1 > 0:
             return None
-        return 2 * dist.TDistribution(float(df1)).cumulativeProbability(-abs(stat))
+        return D.t_two_sided(float(stat), float(df1))
     if test == "anova":
-        return 1 - dist.FDistribution(float(df1), float(df2)).cumulativeProbability(float(stat))
+        if df1 is None or df2 is None or df1 <= 0 or df2 <= 0:
+            return None
+        return D.f_upper(float(stat), float(df1), float(df2))
     if test == "chi_square":
-        return 1 - dist.ChiSquaredDistribution(float(df1)).cumulativeProbability(float(stat))
+        if df1 is None or df1 <= 0:
+            return None
+        return D.chi2_upper(float(stat), float(df1))
     if test in ("pearson", "spearman"):
         n2 = df1
         if n2 is None or n2 <= 0:
@@ -241,19 +245,18 @@ def _pvalue(jvm, test: str, stat, df1, df2):
         if abs(stat) >= 1:
             return 0.0
         t = stat * math.sqrt(n2 / (1 - stat * stat))
-        return 2 * dist.TDistribution(float(n2)).cumulativeProbability(-abs(t))
+        return D.t_two_sided(t, float(n2))
     return None
 
 
 def with_p_values(results: DataFrame, alpha: float = R.SIGNIFICANCE_LEVEL) -> DataFrame:
     """Attach p_value and significance to a (small: one row per test) result table."""
     spark = results.sparkSession
-    jvm = spark.sparkContext._jvm
     rows = results.collect()
     out = []
     for r in rows:
         d = r.asDict()
-        p = _pvalue(jvm, d["test"], d.get("statistic"), d.get("df1"), d.get("df2"))
+        p = _pvalue(d["test"], d.get("statistic"), d.get("df1"), d.get("df2"))
         d["p_value"] = p
         d["significant"] = (p is not None and p < alpha)
         out.append(d)
