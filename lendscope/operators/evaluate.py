@@ -93,7 +93,7 @@ def rank_metrics(df: DataFrame, y: str = "y", p: str = "p", keys: Sequence[str]
     d, k = _keys(df, keys)
     yy = F.col(y).cast("int")
     cnt = ordered_counts(d.select(*k, F.col(p).cast("double").alias("_s"), yy.alias("_y")), k, "_s",
-                         sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")})
+                         sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")}, keyless=(k == ["_all"]))
     tot = cnt.groupBy(*k).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"), F.sum("c").alias("_T"))
     j = join_null_safe(cnt, tot, k)
     auc_term = F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))
@@ -158,7 +158,7 @@ def roc_points(df: DataFrame, y: str = "y", p: str = "p", keys: Sequence[str] =
     d, k = _keys(df, keys)
     yy = F.col(y).cast("int")
     cnt = ordered_counts(d.select(*k, F.col(p).cast("double").alias("threshold"), yy.alias("_y")), k,
-                         "threshold", sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")})
+                         "threshold", sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")}, keyless=(k == ["_all"]))
     tot = cnt.groupBy(*k).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     j = join_null_safe(cnt, tot, k)
     tp = F.col("_P") - F.col("pos_before")

@@ -30,6 +30,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 ROWS_PER_BUCKET = 2_000_000   # distinct values one window task handles comfortably
@@ -51,7 +52,7 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
 
 
 def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets: int | None,
-                   rows_per_bucket: int) -> DataFrame | None:
+                   rows_per_bucket: int, min_buckets: int = 1) -> DataFrame | None:
     """Approximate cut points for the keys too large for one window task,
     frozen as a local table.
 
@@ -59,7 +60,10 @@ def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets:
     points, so the collected table holds at most
     ``#distinct / rows_per_bucket`` keys and ``MAX_CUT_POINTS`` numbers, and
     freezing it keeps bucket assignment identical if a stage is recomputed
-    after an executor loss.  ``buckets`` forces a fixed count for every key.
+    after an executor loss.  ``buckets`` forces a fixed count for every key;
+    ``min_buckets > 1`` cuts every key into at least that many buckets (used
+    when there is no real grouping key, so the window still spreads over
+    tasks).
     """
     if buckets is not None:
         if buckets <= 1:
@@ -70,11 +74,12 @@ def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets:
     else:
         sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         # at most #distinct / rows_per_bucket keys can be oversized
-        rows = collect_small(sizes.filter(F.col("_n") > rows_per_bucket), MAX_CUT_POINTS // 2)
+        floor_n = rows_per_bucket if min_buckets <= 1 else 0
+        rows = collect_small(sizes.filter(F.col("_n") > floor_n), MAX_CUT_POINTS // 2)
         if not rows:
             return None
         need = max(-(-r["_n"] // rows_per_bucket) for r in rows)
-        n_cut = max(2, min(need, MAX_CUTS_PER_KEY, MAX_CUT_POINTS // len(rows)))
+        n_cut = max(2, min_buckets, min(need, MAX_CUTS_PER_KEY, MAX_CUT_POINTS // len(rows)))
         big = spark.createDataFrame([tuple(r[k] for k in keys) for r in rows], sizes.select(*keys).schema)
         sel = join_null_safe(distinct, F.broadcast(big), keys)  # big-key list is size-bounded
     probs = [i / n_cut for i in range(1, n_cut)]
@@ -88,12 +93,15 @@ def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets:
 
 def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
                    sums: dict | None = None, buckets: int | None = None,
-                   rows_per_bucket: int | None = None) -> DataFrame:
+                   rows_per_bucket: int | None = None, keyless: bool = False) -> DataFrame:
     """Distinct ``(keys, value)`` rows with ``c`` (row count), optional weight
     sums, and ``c_before`` / ``<sum>_before``: totals over strictly smaller
     values within the same key.
 
     ``sums`` maps output name -> Column evaluated on ``long_df`` rows.
+    ``keyless=True`` marks a constant key column: the value range is then
+    always cut into at least ``spark.sql.shuffle.partitions`` buckets so the
+    running sums never sit in a single task.
     """
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     keys = list(keys)
@@ -103,7 +111,10 @@ def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
     d = long_df.groupBy(*keys, value).agg(*aggs)
     measures = ["c"] + list(sums)
 
-    bounds = _bucket_bounds(spark, d.select(*keys, value), keys, value, buckets, rows_per_bucket)
+    min_buckets = 1
+    if keyless:
+        min_buckets = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 4096))
+    bounds = _bucket_bounds(spark, d.select(*keys, value), keys, value, buckets, rows_per_bucket, min_buckets)
     if bounds is None:
         # every key fits one window task: prefix sums directly, no offsets
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
@@ -124,11 +135,24 @@ def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
 
     # bucket offsets from the small per-bucket table
     tot = d2.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_{m}_tot") for m in measures])
-    w_b = (Window.partitionBy(*keys).orderBy("_bucket")
-           .rowsBetween(Window.unboundedPreceding, -1))
-    offs = tot.select(*keys, "_bucket",
-                      *[F.coalesce(F.sum(f"_{m}_tot").over(w_b), F.lit(0)).alias(f"_{m}_off")
-                        for m in measures])
+    if keyless:
+        # one key: its <= #buckets totals are prefix-summed on the driver
+        rows = sorted(collect_small(tot, MAX_CUT_POINTS), key=lambda r: r["_bucket"])
+        run = {m: 0 for m in measures}
+        offs_rows = []
+        for r in rows:
+            offs_rows.append(tuple(r[k] for k in keys) + (r["_bucket"],) + tuple(run[m] for m in measures))
+            for m in measures:
+                run[m] += r[f"_{m}_tot"] or 0
+        fields = [tot.schema[k] for k in keys] + [tot.schema["_bucket"]] + [
+            T.StructField(f"_{m}_off", tot.schema[f"_{m}_tot"].dataType) for m in measures]
+        offs = spark.createDataFrame(offs_rows, T.StructType(fields))
+    else:
+        w_b = (Window.partitionBy(*keys).orderBy("_bucket")
+               .rowsBetween(Window.unboundedPreceding, -1))
+        offs = tot.select(*keys, "_bucket",
+                          *[F.coalesce(F.sum(f"_{m}_tot").over(w_b), F.lit(0)).alias(f"_{m}_off")
+                            for m in measures])
     out = join_null_safe(local, offs, keys + ["_bucket"])
     return out.select(*keys, value, *measures,
                       *[(F.col(f"_{m}_off") + F.col(f"_{m}_local")).alias(f"{m}_before")

@@ -1,3 +1,5 @@
+import pytest
+
 import __spark_entry__ as E
 
 
@@ -20,6 +22,21 @@ def test_quantile_plan_has_no_single_partition_window(spark):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("name", ["a4_numeric_descriptive_stats", "c8_winsorize", "b1_quartile_bins",
+                                  "e2_classification_metrics", "e3_rank_metrics_by_grade", "e9_roc_pr_points",
+                                  "e11_threshold_table", "t6_spearman", "n1_fairness_report", "p8_batch_scoring",
+                                  "f10_stratified_fold_counts", "a16_box_stats_by_group"])
+def test_row_level_plans_have_no_single_partition_window(spark, name):
+    """No Window operator reads a single-partition exchange (global
+    aggregates with partial aggregation are fine: one row per task)."""
+    df = E.queries()[name](spark, "/root/testdata/sf0.001")
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "Window [" in line:
+            child_exchanges = [ln for ln in lines[i + 1:i + 4] if "Exchange" in ln]
+            assert not (child_exchanges and "SinglePartition" in child_exchanges[0]), (name, line[:120])
+
+
 def test_small_queries_run_at_smoke_scale(spark):
     q = E.queries()
     for name in ["a1_default_rate_by_grade", "e11_threshold_table", "p8_batch_scoring", "g17_cluster_profile"]:
