@@ -72,18 +72,38 @@ def classification_metrics(df: DataFrame, y: str = "y", p: str = "p", threshold:
                            keys: Sequence[str] = (), n_bins: int = R.CALIBRATION_BINS) -> DataFrame:
     """The full metric suite at one cutoff: E2 + ROC-AUC, AP, log loss, Brier, ECE."""
     keys = list(keys)
-    cc = confusion_counts(df, y, p, threshold, keys)
+    pm = point_metrics(df, y, p, threshold, keys)  # confusion + log loss + Brier: one pass
     m = threshold_metrics(F.col("tp"), F.col("fp"), F.col("tn"), F.col("fn"))
-    base = cc.select(*keys, "tp", "fp", "tn", "fn", "n", *[v.alias(k) for k, v in m.items()])
-    prob = probability_scores(df, y, p, keys)
+    base = pm.select(*keys, "tp", "fp", "tn", "fn", "n", *[v.alias(k) for k, v in m.items()],
+                     "log_loss", "brier_score", "mean_probability")
     rank = rank_metrics(df, y, p, keys)
     ece = expected_calibration_error(df, y, p, n_bins, keys)
     out = base
-    for t in (prob, rank, ece):
+    for t in (rank, ece):
         out = join_null_safe(out, t, keys) if keys else out.crossJoin(t)
     return out
 
 
+def point_metrics(df: DataFrame, y: str = "y", p: str = "p", threshold: float = 0.5,
+                  keys: Sequence[str] = ()) -> DataFrame:
+    """Confusion counts at the cutoff together with log loss, Brier score and
+    mean probability, in a single grouped aggregation."""
+    d, k = _keys(df, keys)
+    yi, yd, pp = F.col(y).cast("int"), F.col(y).cast("double"), F.col(p).cast("double")
+    pred = pp >= threshold
+    pc = F.least(F.greatest(pp, F.lit(EPS)), F.lit(1 - EPS))
+    out = d.groupBy(*k).agg(
+        F.count(F.when(pred & (yi == 1), 1)).alias("tp"),
+        F.count(F.when(pred & (yi == 0), 1)).alias("fp"),
+        F.count(F.when(~pred & (yi == 0), 1)).alias("tn"),
+        F.count(F.when(~pred & (yi == 1), 1)).alias("fn"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg(-(yd * F.log(pc) + (1 - yd) * F.log(1 - pc))).alias("log_loss"),
+        F.avg(F.pow(pp - yd, 2)).alias("brier_score"),
+        F.avg(pp).alias("mean_probability"))
+    return _drop_all(out, k)
+
+
 # E3 / E4
 def rank_metrics(df: DataFrame, y: str = "y", p: str = "p", keys: Sequence[str] = ()) -> DataFrame:
     """Exact ROC-AUC (ties count one half) and average precision per group.

@@ -38,14 +38,13 @@ def fairness_report(df: DataFrame, group_columns: Sequence[str], y: str = "y", p
                                     F.avg(F.col(p).cast("double")).alias("mean_predicted_probability"))
     big = sizes.filter(F.col("n") >= min_group_size)
     eligible = join_null_safe(long, big.select(*keys), keys)
-    cc = E.confusion_counts(eligible, y, p, threshold, keys)
+    pm = E.point_metrics(eligible, y, p, threshold, keys)  # confusion + log loss + Brier: one pass
     m = E.threshold_metrics(F.col("tp"), F.col("fp"), F.col("tn"), F.col("fn"))
-    base = cc.select(*keys, *[v.alias(k) for k, v in m.items()])
+    base = pm.select(*keys, *[v.alias(k) for k, v in m.items()], "log_loss", "brier_score")
     rank = E.rank_metrics(eligible, y, p, keys)
-    prob = E.probability_scores(eligible, y, p, keys).drop("mean_probability")
     ece = E.expected_calibration_error(eligible, y, p, keys=keys)
     out = join_null_safe(big, base, keys)
-    for t in (rank, prob, ece):
+    for t in (rank, ece):
         out = join_null_safe(out, t, keys)
     return out
 

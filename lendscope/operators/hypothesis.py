@@ -133,10 +133,12 @@ def correlation_tests(df: DataFrame, pairs: Sequence[tuple], method: str = "pear
 def spearman_ranks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace x and y by their average ranks within ``keys`` (exact, distributed)."""
     keys = list(keys)
-    rx = average_ranks(rows.select(*keys, F.col("x").alias("value")), keys)
-    ry = average_ranks(rows.select(*keys, F.col("y").alias("value")), keys)
-    rx = rx.select(*keys, F.col("value").alias("x"), F.col("rank").alias("rx"))
-    ry = ry.select(*keys, F.col("value").alias("y"), F.col("rank").alias("ry"))
+    # both variables ranked in one pass, keyed by axis
+    both = (rows.select(*keys, F.lit("x").alias("_axis"), F.col("x").alias("value"))
+            .unionByName(rows.select(*keys, F.lit("y").alias("_axis"), F.col("y").alias("value"))))
+    rk = average_ranks(both, keys + ["_axis"])
+    rx = rk.filter(F.col("_axis") == "x").select(*keys, F.col("value").alias("x"), F.col("rank").alias("rx"))
+    ry = rk.filter(F.col("_axis") == "y").select(*keys, F.col("value").alias("y"), F.col("rank").alias("ry"))
     j = rows.join(rx, keys + ["x"]).join(ry, keys + ["y"])
     return j.select(*keys, F.col("rx").alias("x"), F.col("ry").alias("y"))
 
