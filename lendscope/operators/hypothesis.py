@@ -1,11 +1,11 @@
-"""Hypothesis tests and association measures.
+"""Hypothesis tests and association measures.
 
 Each family reduces the data to grouped sufficient statistics in one Spark
 job (n, mean, variance, contingency counts, correlations) for *all* tested
 variables at once; the statistic and effect size are column arithmetic on
-those few rows.  p-values need distribution CDFs, which SQL lacks, so
+those few rows.  p-values need distribution tails, which SQL lacks, so
 ``with_p_values`` evaluates them on the result rows (one per test) with the
-commons-math3 distributions that ship with Spark.
+incomplete beta/gamma functions of ``functions.distributions``.
 """
 
 from __future__ import annotations
@@ -13,11 +13,11 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope import roles as R
-from lendscope.operators.ordered import average_ranks, join_null_safe, unpivot_numeric
+from lendscope.operators.ordered import average_ranks, unpivot_numeric
 
 
 def _strength(r: Column) -> Column:

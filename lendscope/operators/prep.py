@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import math
-from typing import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
@@ -34,7 +33,7 @@ from lendscope import roles as R
 from pyspark.sql import Window
 
 from lendscope.operators import ordered as _ordered
-from lendscope.operators.ordered import exact_quantiles, join_null_safe, ordered_counts
+from lendscope.operators.ordered import exact_quantiles, ordered_counts
 
 
 class _HasValues(Params):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lendscope import roles as R
-from lendscope.plans.oracles_base import with_loans, with_raw, with_scored
+from lendscope.plans.oracles_base import with_loans
 
 ORACLES: dict = {}
 

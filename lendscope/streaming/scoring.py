@@ -10,9 +10,7 @@ checkpoint folder so a restarted query resumes exactly once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lendscope import roles as R
 from lendscope.operators.clean import (clean_percentage_columns, create_target_variable, cast_numeric,
                                        parse_emp_length)
 from lendscope.operators.policy import RiskPolicy, score_loans
