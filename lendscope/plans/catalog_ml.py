@@ -24,8 +24,12 @@ from lendscope.sources.tables import loan_book, read_table
 def split_loans(spark, sf):
     """Cleaned loans with split and fold ids, persisted: the fits, transforms
     and evaluations of one query all read it (recomputable from lineage)."""
-    df = loans(spark, sf).persist()
-    return FP.stratified_folds(FP.stratified_split(df), R.CV_FOLDS).persist()
+    return FP.stratified_folds(split_only(spark, sf), R.CV_FOLDS).persist()
+
+
+def split_only(spark, sf):
+    """Cleaned loans with the train/val/test split (no CV folds), persisted."""
+    return FP.stratified_split(loans(spark, sf)).persist()
 
 
 # ------------------------------------------------------------------ prep
@@ -43,7 +47,7 @@ def q_f10(spark, sf):
 
 @register("f6_preprocessed_features")
 def q_f6(spark, sf):
-    df = split_loans(spark, sf)
+    df = split_only(spark, sf)
     prep = FP.build_preprocessing_pipeline().fit(df.filter(F.col("split") == "train"))
     out = prep.transform(df)
     names = FP.feature_names(prep)
@@ -85,7 +89,7 @@ def q_m6(spark, sf):
 
 # ------------------------------------------------------------------ models
 def _fit_eval(spark, sf, key, params):
-    df = split_loans(spark, sf)
+    df = split_only(spark, sf)
     tr = M.with_label(df.filter(F.col("split") == "train"))
     if params.get("class_weight"):
         tr = FP.class_weights(tr)
@@ -131,7 +135,7 @@ def q_m8(spark, sf):
 @register("m9_platt_calibration")
 def q_m9(spark, sf):
     model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
-    s = M.raw_score(model, M.with_label(split_loans(spark, sf)), "logistic_regression") \
+    s = M.raw_score(model, M.with_label(split_only(spark, sf)), "logistic_regression") \
         .withColumn("y", F.col(M.LABEL).cast("int"))
     a, b = M.platt_calibrator(s.filter(F.col("split") == "val"))
     return M.evaluate_splits(M.apply_platt(s, a, b).select("split", "y", "p"))
@@ -140,7 +144,7 @@ def q_m9(spark, sf):
 @register("m9_isotonic_calibration")
 def q_m9i(spark, sf):
     model, _ = _fit_eval(spark, sf, "random_forest", {"n_estimators": 100, "max_depth": 6})
-    s = M.raw_score(model, M.with_label(split_loans(spark, sf)), "random_forest") \
+    s = M.raw_score(model, M.with_label(split_only(spark, sf)), "random_forest") \
         .withColumn("y", F.col(M.LABEL).cast("int"))
     iso = M.isotonic_calibrator(s.filter(F.col("split") == "val"))
     from pyspark.ml.feature import VectorAssembler
@@ -329,13 +333,13 @@ def q_x2(spark, sf):
 @register("x4_permutation_importance")
 def q_x4(spark, sf):
     model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
-    test = split_loans(spark, sf).filter(F.col("split") == "test")
+    test = split_only(spark, sf).filter(F.col("split") == "test")
     return X.permutation_importance(model, test, R.LOAN_ROLES.features, repeats=10)
 
 
 def _linear(spark, sf):
     model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
-    df = split_loans(spark, sf)
+    df = split_only(spark, sf)
     bg = df.filter(F.col("split") == "train")
     return model, X.linear_attribution(model, df.filter(F.col("split") == "test"), bg)
 
@@ -381,7 +385,7 @@ def q_x13(spark, sf):
 @register("x14_partial_dependence")
 def q_x14(spark, sf):
     model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
-    test = split_loans(spark, sf).filter(F.col("split") == "test")
+    test = split_only(spark, sf).filter(F.col("split") == "test")
     return X.partial_dependence(model, test, "int_rate", 100)
 
 
@@ -389,7 +393,7 @@ def q_x14(spark, sf):
 def q_p12(spark, sf):
     model, (contrib, _) = _linear(spark, sf)
     loc = X.local_explanations(contrib)
-    test = split_loans(spark, sf).filter(F.col("split") == "test")
+    test = split_only(spark, sf).filter(F.col("split") == "test")
     sc = P.score_loans(M.predict_probability(model, test), threshold=0.5)
     j = sc.join(loc.withColumnRenamed("row_id", "id"), "id", "left")
     emp = F.array().cast("array<string>")
@@ -425,7 +429,7 @@ def q_x6(spark, sf):
     """Boosted-tree attributions for every test row (margin space)."""
     from lendscope.operators.trees import tree_attribution
     model, _ = _fit_eval(spark, sf, "gradient_boosting", {"n_estimators": 50, "max_depth": 4, "learning_rate": 0.1})
-    test = split_loans(spark, sf).filter(F.col("split") == "test")
+    test = split_only(spark, sf).filter(F.col("split") == "test")
     contrib, _ = tree_attribution(model, test, FP.feature_names(model))
     return contrib
 
