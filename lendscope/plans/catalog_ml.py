@@ -164,7 +164,7 @@ def q_m12(spark, sf):
 
 @register("m14_learning_curve")
 def q_m14(spark, sf):
-    train = split_loans(spark, sf).filter(F.col("split") == "train")
+    train = FP.stratified_folds(split_only(spark, sf).filter(F.col("split") == "train"), 3).persist()
     return M.learning_curve(train, "logistic_regression", {"C": 1.0, "penalty": "l2"},
                             sizes=(0.2, 0.4, 0.6, 0.8, 1.0), k=3)
 
