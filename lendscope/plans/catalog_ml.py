@@ -95,7 +95,8 @@ def _fit_eval(spark, sf, key, params):
         tr = FP.class_weights(tr)
     n = tr.count()
     model = M.make_estimator(key, params, n).fit(right_size(tr, n))
-    sc = M.predict_probability(model, df).select("id", "split", F.col(R.TARGET_COLUMN).alias("y"), "p")
+    # scored once: the per-split metric jobs (counts, ranks, calibration) all read it
+    sc = M.predict_probability(model, df).select("id", "split", F.col(R.TARGET_COLUMN).alias("y"), "p").persist()
     return model, sc
 
 
@@ -198,7 +199,7 @@ def _cluster_features(spark, sf):
 def q_g1(spark, sf):
     feats = _cluster_features(spark, sf).persist()
     m, _ = G.fit_kmeans(feats, 4)
-    lab = m.transform(feats)
+    lab = m.transform(feats).persist()  # read by the profile, mode and share jobs
     prof = G.cluster_profile(lab)
     names = G.assign_segment_names(prof)
     tiers = G.risk_tier_lookup(None, prof)
