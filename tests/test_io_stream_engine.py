@@ -50,6 +50,29 @@ def test_streaming_scoring_matches_batch(spark, tmp_path):
     assert got.select("id", "risk_tier").exceptAll(batch.select("id", "risk_tier")).count() == 0
 
 
+def test_winsorize_job_roundtrip(spark, tmp_path):
+    from lendscope.operators.clean import fit_bounds
+    src, dst = str(tmp_path / "clean"), str(tmp_path / "wins")
+    loans(spark, SF).write.parquet(src)
+    IO.winsorize_job(spark, src, dst, ["annual_inc", "revol_bal"], k=1.5)
+    out = spark.read.parquet(dst)
+    b = fit_bounds(spark.read.parquet(src), ["annual_inc", "revol_bal"], 1.5).bounds
+    r = out.agg(F.min("revol_bal"), F.max("revol_bal")).first()
+    assert b["revol_bal"][0] <= r[0] and r[1] <= b["revol_bal"][1]
+    assert out.count() == spark.read.parquet(src).count()
+
+
+def test_training_job_writes_artifacts(spark, tmp_path):
+    from lendscope.plans.training import run_training
+    out = run_training(loan_book(spark, SF), out_dir=str(tmp_path / "run"), models=("logistic_regression",),
+                       candidates={"logistic_regression": [{"C": 1.0, "penalty": "l2"}]})
+    assert out["comparison"].count() == 1 and out["production_model"] in ("logistic_regression", "gradient_boosting")
+    assert spark.read.parquet(str(tmp_path / "run" / "reports" / "comparison")).count() == 1
+    model = IO.load_model(str(tmp_path / "run" / "models" / "logistic_regression"))
+    from lendscope.operators.models import predict_probability
+    assert predict_probability(model, out["data"].limit(3)).count() == 3
+
+
 def test_single_row_scoring_guard(spark):
     two = spark.createDataFrame([(1, 0.1), (2, 0.2)], "id long, p double")
     with pytest.raises(ValueError):
