@@ -100,6 +100,24 @@ def test_policy_band_edges(spark):
     assert tiers == ["Low Risk", "Moderate Risk", "High Risk", "Very High Risk", "Very High Risk", "Very High Risk"]
 
 
+def test_dtype_report_and_variable_descriptions(spark):
+    df = spark.createDataFrame([(1.0, "A", 3)], "dti double, grade string, mystery int")
+    assert {r["column"]: r["dtype"] for r in DQ.dtype_report(df).collect()} == {
+        "dti": "double", "grade": "string", "mystery": "int"}
+    d = {r.variable: r.description for r in DQ.variable_description_table(df).collect()}
+    assert d["dti"].startswith("Debt-to-income ratio") and d["mystery"] == "See project data dictionary."
+
+
+def test_importance_merge_is_full_outer(spark):
+    from lendscope.operators.explain import importance_merge
+    native = spark.createDataFrame([("numeric__dti", 0.3), ("onehot_categorical__term_ 36 months", 0.1)],
+                                   "feature string, importance double")
+    perm = spark.createDataFrame([("dti", 0.02), ("grade", 0.01)], "feature string, importance_mean double")
+    rows = {r.feature: r for r in importance_merge(native, perm).collect()}
+    assert rows["dti"].importance == 0.3 and rows["dti"].importance_mean == 0.02
+    assert rows["grade"].importance is None and rows["onehot_categorical__term_ 36 months"].importance_mean is None
+
+
 def test_duplicates_and_missing(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None)], "k int, v string")
     assert DQ.duplicate_row_count(df).first()[0] == 3
