@@ -207,18 +207,35 @@ def cluster_zscore_profile(df: DataFrame, cluster: str, columns: Sequence[str])
 
 
 # A15
-def histogram(df: DataFrame, column: str, bins: int = 40, by: str | None = None) -> DataFrame:
-    """Equal-width bins between min and max, last bin closed; optional split column."""
+def histogram(df: DataFrame, column: str, bins: int = 40, by: str | None = None,
+              per_group_range: bool = False, density: bool = False) -> DataFrame:
+    """Equal-width bins between min and max, last bin closed; optional split
+    column.  ``per_group_range`` bins every group over its own min/max (one
+    histogram per group, as overlaid per-outcome histograms are drawn);
+    ``density`` adds count / (group rows x bin width)."""
     v = F.col(column).cast("double")
-    rng = df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
     b = F.least(F.floor((v - F.col("_lo")) / ((F.col("_hi") - F.col("_lo")) / bins)), F.lit(bins - 1))
     keys = [by] if by else []
-    base = (df.filter(v.isNotNull()).crossJoin(F.broadcast(rng))  # one-row side
-            .withColumn("bin", F.when(F.col("_hi") > F.col("_lo"), b).otherwise(F.lit(0)).cast("int")))
-    g = base.groupBy(*keys, "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+    if by and per_group_range:
+        data = df.filter(v.isNotNull() & F.col(by).isNotNull())
+        rng = data.groupBy(by).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"),
+                                   F.count(F.lit(1)).alias("_n"))  # one row per group
+        base = join_null_safe(data, rng, [by])
+    else:
+        rng = df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+        base = df.filter(v.isNotNull()).crossJoin(F.broadcast(rng))  # one-row side
+        if density:
+            n = df.filter(v.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            base = join_null_safe(base, n, keys) if keys else base.crossJoin(F.broadcast(n))
+    base = base.withColumn("bin", F.when(F.col("_hi") > F.col("_lo"), b).otherwise(F.lit(0)).cast("int"))
+    extra = ["_n"] if density else []
+    g = base.groupBy(*keys, "bin", "_lo", "_hi", *extra).agg(F.count(F.lit(1)).alias("count"))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    return g.select(*keys, "bin", (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
-                    (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"), "count")
+    cols = [*keys, "bin", (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
+            (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"), "count"]
+    if density:
+        cols.append(F.when(width > 0, F.col("count") / (F.col("_n") * width)).alias("density"))
+    return g.select(*cols)
 
 
 # A16

@@ -289,6 +289,14 @@ def q_a15b(spark, sf):
     return rounded(A.histogram(loans(spark, sf), "int_rate", 30, by="default_flag"))
 
 
+@register("a15_score_density_by_outcome")
+def q_a15s(spark, sf):
+    """Predicted-score histograms per actual outcome: 30 bins over each
+    outcome's own range, as densities."""
+    d = scored(spark, sf).select("default_flag", "p")
+    return rounded(A.histogram(d, "p", 30, by="default_flag", per_group_range=True, density=True))
+
+
 @register("a16_box_stats_by_group")
 def q_a16(spark, sf):
     return rounded(A.box_stats(read_table(spark, sf, "events"), ["value"], group="event_type"))

@@ -337,6 +337,14 @@ SELECT {keys}bin, {r(f'lo + bin * ((hi - lo) / {bins})')} AS bin_start, {r(f'lo
 O["a15_histogram"] = "WITH ev AS (SELECT * FROM events)" + _hist("ev", "value", 40)
 O["a15_histogram_by_outcome"] = with_loans(_hist("loans", "int_rate", 30, by="default_flag"))
 
+O["a15_score_density_by_outcome"] = with_scored(f"""
+, rng AS (SELECT default_flag, min(p) AS lo, max(p) AS hi, count(*) AS n FROM scored WHERE p IS NOT NULL GROUP BY default_flag)
+, b AS (SELECT s.default_flag, CAST(CASE WHEN hi > lo THEN least(floor((p - lo) / ((hi - lo) / 30)), 29) ELSE 0 END AS INTEGER) AS bin,
+          lo, hi, n FROM scored s JOIN rng USING (default_flag) WHERE p IS NOT NULL)
+SELECT default_flag, bin, {r('lo + bin * ((hi - lo) / 30)')} AS bin_start, {r('lo + (bin + 1) * ((hi - lo) / 30)')} AS bin_end,
+  count(*) AS count, {r('CASE WHEN (hi - lo) / 30 > 0 THEN count(*) / (n * ((hi - lo) / 30)) END')} AS density
+FROM b GROUP BY default_flag, bin, lo, hi, n""")
+
 O["a16_box_stats_by_group"] = f"""
 WITH ev AS (SELECT event_type, CAST(value AS DOUBLE) AS value FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL)
 , q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
