@@ -228,16 +228,35 @@ def policy_violations(tables: dict) -> DataFrame:
 # P12
 def borrower_sentence(tier: Column, p: Column, risk_factors: Column, protective: Column,
                       action: Column) -> Column:
-    """Plain-language sentence from tier, whole-percent p, the top 3 risk and
-    top 2 protective factor labels (arrays) and the recommended action."""
-    pct = F.format_string("%d%%", F.round(p * 100).cast("int"))
-    risks = F.array_join(F.slice(risk_factors, 1, 3), ", ")
-    prot = F.array_join(F.slice(protective, 1, 2), ", ")
+    """Plain-language paragraph from tier, whole-percent p (half-even), the
+    top 3 risk and top 2 protective factor labels (arrays, strongest first)
+    and the recommended action; labels are lower-cased at the first letter
+    for mid-sentence use unless they start with an acronym or brand name."""
+    pct = F.bround(p * 100, 0).cast("int").cast("string")
+    risks = _join_with_and(F.transform(F.slice(risk_factors, 1, 3), _factor_phrase))
+    prot = _join_with_and(F.transform(F.slice(protective, 1, 2), _factor_phrase))
     return F.concat_ws(" ",
-                       F.concat(F.lit("This borrower is assessed as "), tier,
-                                F.lit(" with an estimated "), pct, F.lit(" probability of default.")),
+                       F.concat(F.lit("This borrower is classified as "), tier, F.lit(" (estimated "), pct,
+                                F.lit("% likelihood of default).")),
                        F.when(F.size(risk_factors) > 0,
-                              F.concat(F.lit("The main factors increasing risk are: "), risks, F.lit("."))),
+                              F.concat(F.lit("This is primarily driven by "), risks, F.lit("."))),
                        F.when(F.size(protective) > 0,
-                              F.concat(F.lit("Factors reducing risk: "), prot, F.lit("."))),
+                              F.concat(F.lit("On the positive side, "), prot,
+                                       F.lit(" help offset some of this risk."))),
                        F.concat(F.lit("Recommended action: "), action, F.lit(".")))
+
+
+def _factor_phrase(c: Column) -> Column:
+    head = F.substring(c, 1, 2)
+    acronym = (F.upper(head) == head) & (F.lower(head) != head)  # first two chars upper-case
+    keep = acronym | c.startswith("LendingClub")
+    return F.when(keep, c).otherwise(F.concat(F.lower(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30)))
+
+
+def _join_with_and(arr: Column) -> Column:
+    """'a', 'a and b', 'a, b, and c'."""
+    n = F.size(arr)
+    return (F.when(n == 1, arr[0])
+            .when(n == 2, F.concat(arr[0], F.lit(" and "), arr[1]))
+            .when(n >= 3, F.concat(F.array_join(F.slice(arr, 1, n - 1), ", "), F.lit(", and "),
+                                   F.element_at(arr, -1))))

@@ -119,6 +119,16 @@ def test_scoring_and_tier_distribution(spark):
     assert dist["High Risk"] == 0 and sum(dist.values()) == 3
 
 
+def test_borrower_sentence(spark):
+    df = spark.createDataFrame(
+        [("High Risk", 0.425, ["Debt-to-income ratio", "Interest rate", "LendingClub credit grade", "X"],
+          ["Annual income"], "Manual Review")], "t string, p double, r array<string>, q array<string>, a string")
+    s = df.select(P.borrower_sentence(F.col("t"), F.col("p"), F.col("r"), F.col("q"), F.col("a"))).first()[0]
+    assert s == ("This borrower is classified as High Risk (estimated 42% likelihood of default). This is primarily "
+                 "driven by debt-to-income ratio, interest rate, and LendingClub credit grade. On the positive side, "
+                 "annual income help offset some of this risk. Recommended action: Manual Review.")
+
+
 def test_policy_round_trip_and_violations(spark, tmp_path):
     pol = P.RiskPolicy()
     path = str(tmp_path / "policy.json")
