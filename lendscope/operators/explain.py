@@ -203,6 +203,17 @@ def dependence_data(contrib: DataFrame, feature: str, interacting: str | None =
 
 
 # X13
+# Fixed values (must stay exactly as listed): default (primary, interacting) pairs
+DEFAULT_INTERACTION_PAIRS = [
+    ("annual_inc", "dti"),
+    ("grade", "int_rate"),
+    ("emp_length_years", "annual_inc"),
+    ("purpose", "grade"),
+    ("home_ownership", "dti"),
+]
+INTERACTION_NUMERIC = ["annual_inc", "dti", "int_rate", "emp_length_years"]
+
+
 def interaction_table(df: DataFrame, a: str, b: str, p: str = "p", numeric: Sequence[str] = (),
                       q: int = 4) -> DataFrame:
     """Mean score by (a, b); numeric sides quartile-binned; NULL keys dropped."""

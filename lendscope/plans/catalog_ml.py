@@ -383,6 +383,17 @@ def q_x13(spark, sf):
     return rounded(a.unionByName(b))
 
 
+@register("x13_default_interaction_pairs")
+def q_x13d(spark, sf):
+    """Mean score for the five default feature pairs; numeric sides in quartiles."""
+    d = scored(spark, sf)
+    parts = [X.interaction_table(d, a, b, numeric=X.INTERACTION_NUMERIC) for a, b in X.DEFAULT_INTERACTION_PAIRS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out)
+
+
 @register("x14_partial_dependence")
 def q_x14(spark, sf):
     model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})

@@ -201,6 +201,22 @@ UNION ALL SELECT 'cluster_means', 'score_a', 'score_b', {r('corr(a, b)')} FROM c
 UNION ALL SELECT 'cluster_means', 'score_a', 'default_rate', {r('corr(a, rate)')} FROM cm
 UNION ALL SELECT 'cluster_means', 'score_b', 'default_rate', {r('corr(b, rate)')} FROM cm""")
 
+def _x13_default() -> str:
+    from lendscope.operators.explain import DEFAULT_INTERACTION_PAIRS, INTERACTION_NUMERIC
+    edges = ", ".join(f"{_qbin(c).replace('FROM loans', 'FROM scored')} AS e_{c}" for c in INTERACTION_NUMERIC)
+    labels = ", ".join(f"{_qlabel(c, f'e.e_{c}')} AS {c}_bin" for c in INTERACTION_NUMERIC)
+
+    def key(c):
+        return f"{c}_bin" if c in INTERACTION_NUMERIC else f"CAST({c} AS VARCHAR)"
+    parts = [f"""SELECT {key(a)} AS a_value, {key(b)} AS b_value, {r('avg(p)')} AS mean_score, count(*) AS n,
+      {q(a)} AS feature_a, {q(b)} AS feature_b FROM lab WHERE {key(a)} IS NOT NULL AND {key(b)} IS NOT NULL
+      GROUP BY {key(a)}, {key(b)}""" for a, b in DEFAULT_INTERACTION_PAIRS]
+    return with_scored(f", e AS (SELECT {edges}), lab AS (SELECT scored.*, {labels} FROM scored, e)\n"
+                       + "\nUNION ALL\n".join(parts))
+
+
+O["x13_default_interaction_pairs"] = _x13_default()
+
 O["x13_interaction_table"] = with_scored(f"""
 , e AS (SELECT {_qbin('dti').replace('FROM loans', 'FROM scored')} AS e_dti)
 , lab AS (SELECT scored.*, {_qlabel('dti', 'e.e_dti')} AS dti_bin FROM scored, e)
