@@ -382,7 +382,8 @@ def segment_comparison_table(profile: DataFrame, names: DataFrame, tiers: DataFr
                  "average_default_rate", "risk_tier",
                  F.col("loan_amnt").alias("typical_loan_amount"), F.col("home_ownership").alias("typical_home_ownership"),
                  F.col("purpose").alias("typical_loan_purpose"))
-    return t.orderBy(F.desc_nulls_last("average_default_rate"))
+    # by default rate; when no segment has one, the interest rate decides
+    return t.orderBy(F.desc_nulls_last("average_default_rate"), F.desc_nulls_last("typical_interest_rate"))
 
 
 def segment_description(t: DataFrame) -> DataFrame:
