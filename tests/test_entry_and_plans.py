@@ -37,6 +37,16 @@ def test_row_level_plans_have_no_single_partition_window(spark, name):
             assert not (child_exchanges and "SinglePartition" in child_exchanges[0]), (name, line[:120])
 
 
+def test_filter_pushdown_and_column_pruning(spark):
+    df = E.queries()["c1_filter_to_state"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    nation = [ln for ln in scans if "nation.parquet" in ln]
+    assert nation and "NATION_17" in nation[0]                      # filter reached the nation scan
+    line = [ln for ln in scans if "lineitem.parquet" in ln]
+    assert line and "l_shipdate" not in line[0] and "l_suppkey" not in line[0]   # unused columns pruned
+
+
 def test_small_queries_run_at_smoke_scale(spark):
     q = E.queries()
     for name in ["a1_default_rate_by_grade", "e11_threshold_table", "p8_batch_scoring", "g17_cluster_profile"]:
