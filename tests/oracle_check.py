@@ -2,8 +2,10 @@
 
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
 Comparison: same column names, same row count, same multiset of rows after
-sorting columns by name (floats compared after rounding to 6 decimals and
-with a relative tolerance check reported separately).
+sorting columns by name.  Status ``OK`` = values equal exactly; ``OK(6dp)`` =
+equal after rounding floats to 6 decimals; ``CLOSE`` = within 1e-9
+relative; anything else is a mismatch.  Queries without an oracle are run
+and their row count reported (``NO-ORACLE``).
 """
 
 from __future__ import annotations
