@@ -29,3 +29,9 @@ def q_token_counts(spark, sf_dir):
     from lendscope.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         public_tokenizers.PATTERN)
+
+
+@register("op2_compression_toxicity")
+def q_toxicity(spark, sf_dir):
+    from lendscope.llm.toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
