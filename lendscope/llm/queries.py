@@ -35,3 +35,34 @@ def q_token_counts(spark, sf_dir):
 def q_toxicity(spark, sf_dir):
     from lendscope.llm.toxicity import score_toxicity
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op4_line_site_spread")
+def q_line_dedup(spark, sf_dir):
+    from lendscope.llm.line_dedup import remove_boilerplate
+    out = remove_boilerplate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", F.col("_n_gone").alias("n_removed"))
+
+
+ORACLES["op4_line_site_spread"] = """
+WITH lines AS (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents),
+boilerplate AS (
+    SELECT trim(line, ' ') AS body, min(doc_id) AS keeper
+    FROM lines WHERE trim(line, ' ') <> ''
+    GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+marked AS (
+    SELECT l.doc_id, l.line, l.pos, (b.keeper IS NOT NULL AND b.keeper <> l.doc_id) AS gone
+    FROM lines l LEFT JOIN boilerplate b ON trim(l.line, ' ') = b.body)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
+       CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed
+FROM marked GROUP BY doc_id
+"""
+
+
+@register("op5_simhash_tiles")
+def q_simhash(spark, sf_dir):
+    from lendscope.llm.simhash_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
