@@ -66,3 +66,9 @@ FROM marked GROUP BY doc_id
 def q_simhash(spark, sf_dir):
     from lendscope.llm.simhash_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op6_template_leaks")
+def q_leaks(spark, sf_dir):
+    from lendscope.llm.decontaminate import leaks
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
