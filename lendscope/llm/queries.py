@@ -72,3 +72,9 @@ def q_simhash(spark, sf_dir):
 def q_leaks(spark, sf_dir):
     from lendscope.llm.decontaminate import leaks
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+@register("op3_mincut_html_text")
+def q_html(spark, sf_dir):
+    from lendscope.llm.html_mincut import extract
+    return extract(table(spark, sf_dir, "pages"))
