@@ -78,3 +78,21 @@ def q_leaks(spark, sf_dir):
 def q_html(spark, sf_dir):
     from lendscope.llm.html_mincut import extract
     return extract(table(spark, sf_dir, "pages"))
+
+
+@register("op7_warc_round_trip")
+def q_warc(spark, sf_dir):
+    from lendscope.llm.warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc_round_trip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                     ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM f
+"""
