@@ -96,3 +96,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
 FROM f
 """
+
+
+@register("op8_adaptive_scan_neighbours")
+def q_neighbours(spark, sf_dir):
+    from lendscope.llm.ann import search
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
