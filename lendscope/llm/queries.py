@@ -102,3 +102,9 @@ FROM f
 def q_neighbours(spark, sf_dir):
     from lendscope.llm.ann import search
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op9_bootstrapped_pii")
+def q_pii(spark, sf_dir):
+    from lendscope.llm.pii import find_pii
+    return find_pii(table(spark, sf_dir, "documents"))
