@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     set no longer changes (they grow with the logarithm of its size).
     Self-links and repeated links do no harm; null ends are left out.
     """
-    edges = edges.filter("u is not null and v is not null")
+    edges = materialize(edges.filter("u is not null and v is not null"), "links")
     loops = edges.filter("u = v").select("u").distinct()
     now = materialize(edges.filter("u != v").select("u", "v").distinct(), "edges")
     state = None
