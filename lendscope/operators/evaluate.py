@@ -113,9 +113,8 @@ def rank_metrics(df: DataFrame, y: str = "y", p: str = "p", keys: Sequence[str]
     d, k = _keys(df, keys)
     yy = F.col(y).cast("int")
     cnt = ordered_counts(d.select(*k, F.col(p).cast("double").alias("_s"), yy.alias("_y")), k, "_s",
-                         sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")}, keyless=(k == ["_all"]))
-    tot = cnt.groupBy(*k).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"), F.sum("c").alias("_T"))
-    j = join_null_safe(cnt, tot, k)
+                         sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")}, totals=True)
+    j = cnt.withColumnsRenamed({"pos_total": "_P", "neg_total": "_N", "c_total": "_T"})
     auc_term = F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))
     ap_term = F.col("pos") * ((F.col("_P") - F.col("pos_before")) / (F.col("_T") - F.col("c_before")))
     g = j.groupBy(*k).agg(F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"),
@@ -178,9 +177,8 @@ def roc_points(df: DataFrame, y: str = "y", p: str = "p", keys: Sequence[str] =
     d, k = _keys(df, keys)
     yy = F.col(y).cast("int")
     cnt = ordered_counts(d.select(*k, F.col(p).cast("double").alias("threshold"), yy.alias("_y")), k,
-                         "threshold", sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")}, keyless=(k == ["_all"]))
-    tot = cnt.groupBy(*k).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    j = join_null_safe(cnt, tot, k)
+                         "threshold", sums={"pos": F.col("_y"), "neg": 1 - F.col("_y")}, totals=True)
+    j = cnt.withColumnsRenamed({"pos_total": "_P", "neg_total": "_N"})
     tp = F.col("_P") - F.col("pos_before")
     fp = F.col("_N") - F.col("neg_before")
     out = j.select(*k, "threshold",

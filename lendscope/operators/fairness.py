@@ -50,7 +50,7 @@ def fairness_report(df: DataFrame, group_columns: Sequence[str], y: str = "y", p
 
 
 # N2
-def summarize_disparities(report: DataFrame, metric: str = "roc_auc") -> DataFrame:
+def summarize_disparities(report: DataFrame, metric: str = "recall") -> DataFrame:
     """min, max and spread of one metric per group column, largest spread first."""
     return (report.groupBy("group_column")
             .agg(F.min(metric).alias("min_value"), F.max(metric).alias("max_value"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope import roles as R
-from lendscope.operators.ordered import average_ranks, unpivot_numeric
+from lendscope.operators.ordered import ordered_counts, unpivot_numeric
 
 
 def _strength(r: Column) -> Column:
@@ -70,7 +70,8 @@ def anova_tests(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand_r"), 2)).alias("ssb"))
     ssb = F.col("ssb")
     k, N = F.col("k").cast("double"), F.col("N").cast("double")
-    fstat = F.when((k > 1) & (N > k), (ssb / (k - 1)) / (F.col("ssw") / (N - k)))
+    # no spread within the groups: no statistic
+    fstat = F.when((k > 1) & (N > k), F.try_divide(ssb / (k - 1), F.col("ssw") / (N - k)))
     eta = F.when(F.col("ssw") + F.col("ssb_all") > 0,
                  F.col("ssb_all") / (F.col("ssw") + F.col("ssb_all")))
     return agg.select(F.lit("anova").alias("test"), F.col("column").alias("var_a"), F.lit(group).alias("var_b"),
@@ -81,25 +82,33 @@ def anova_tests(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
 
 # T4 / T5
 def chi_square_tests(df: DataFrame, columns: Sequence[str], other: str = R.TARGET_COLUMN) -> DataFrame:
-    """Chi-square independence of each column vs ``other`` over the full
-    observed-levels grid, Yates-corrected when dof = 1; Cramer's V."""
+    """Chi-square independence of each column vs ``other`` over the grid of
+    observed levels, Yates-corrected when dof = 1; Cramer's V.
+
+    A cell that no row falls in adds its expected count, so only observed
+    cells are visited; the grid itself is laid out for 2 x 2 tables alone.
+    """
     long = (df.select(F.col(other).cast("string").alias("_b"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_a")) for c in columns])))
         .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull()))
-    obs = long.groupBy("column", "_a", "_b").agg(F.count(F.lit(1)).alias("o"))  # #levels^2 rows
+    obs = long.groupBy("column", "_a", "_b").agg(F.count(F.lit(1)).alias("o"))
     ra = obs.groupBy("column", "_a").agg(F.sum("o").alias("ra"))
     cb = obs.groupBy("column", "_b").agg(F.sum("o").alias("cb"))
-    # full grid of observed levels (bounded: levels_a x levels_b per column)
-    grid = ra.join(cb, "column").join(obs, ["column", "_a", "_b"], "left").fillna(0, ["o"])
-    dims = grid.groupBy("column").agg(F.countDistinct("_a").alias("r"), F.countDistinct("_b").alias("kk"),
-                                      F.sum("o").alias("n"))
-    j = grid.join(dims, "column")
+    dims = (ra.groupBy("column").agg(F.count(F.lit(1)).alias("r"), F.sum("ra").alias("n"))
+            .join(cb.groupBy("column").agg(F.count(F.lit(1)).alias("kk")), "column"))
+    square = dims.filter((F.col("r") == 2) & (F.col("kk") == 2)).select("column")
+    corners = (ra.join(square, "column", "left_semi").join(cb, "column")
+               .join(obs, ["column", "_a", "_b"], "left").fillna(0, ["o"]))
     e = F.col("ra") * F.col("cb") / F.col("n").cast("double")
-    dof = (F.col("r") - 1) * (F.col("kk") - 1)
     diff = F.abs(F.col("o") - e)
-    adj = F.when(dof == 1, F.least(F.lit(0.5), diff)).otherwise(0.0)
-    cell = F.pow(diff - adj, 2) / e
-    chi = j.groupBy("column", "r", "kk", "n").agg(F.sum(cell).alias("chi2"))
+    yates = (corners.join(dims, "column").groupBy("column")
+             .agg(F.sum(F.pow(diff - F.least(F.lit(0.5), diff), 2) / e).alias("yates")))
+    plain = (obs.join(ra, ["column", "_a"]).join(cb, ["column", "_b"]).join(dims, "column")
+             .groupBy("column", "r", "kk", "n")
+             .agg(F.sum(F.pow(diff, 2) / e).alias("seen"), F.sum(e).alias("covered"), F.count(F.lit(1)).alias("cells")))
+    unseen = F.when(F.col("cells") < F.col("r") * F.col("kk"), F.col("n") - F.col("covered")).otherwise(0.0)
+    chi = (plain.join(yates, "column", "left")
+           .select("column", "r", "kk", "n", F.coalesce("yates", F.col("seen") + unseen).alias("chi2")))
     mdim = F.least(F.col("r"), F.col("kk")) - 1
     v = F.when(mdim > 0, F.sqrt((F.col("chi2") / F.col("n")) / mdim))
     return chi.select(F.lit("chi_square").alias("test"), F.col("column").alias("var_a"),
@@ -120,8 +129,9 @@ def correlation_tests(df: DataFrame, pairs: Sequence[tuple], method: str = "pear
         x = x.withColumn("pair", F.lit(f"{a}|{b}"))
         rows = x if rows is None else rows.unionByName(x)
     if method == "spearman":
-        rows = spearman_ranks(rows, ["pair"])
-    s = rows.groupBy("pair").agg(F.corr("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
+        s = spearman_coefficients(rows, ["pair"])
+    else:
+        s = rows.groupBy("pair").agg(safe_corr(F.col("x"), F.col("y")).alias("r"), F.count(F.lit(1)).alias("n"))
     return s.select(F.lit(method).alias("test"),
                     F.split("pair", r"\|").getItem(0).alias("var_a"), F.split("pair", r"\|").getItem(1).alias("var_b"),
                     F.col("n").cast("long").alias("n"), F.col("r").alias("statistic"),
@@ -130,17 +140,34 @@ def correlation_tests(df: DataFrame, pairs: Sequence[tuple], method: str = "pear
                     F.lit("Pearson r" if method == "pearson" else "Spearman rho").alias("effect_label"))
 
 
-def spearman_ranks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Replace x and y by their average ranks within ``keys`` (exact, distributed)."""
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson r over the rows that have both values; NULL where either is constant."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def spearman_coefficients(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, r, n)`` from exact average ranks of x and y within ``keys``.
+
+    Rows are first counted by (x, y), so a value that many rows share joins
+    its rank once per partner value and not once per row; ranks are centred,
+    and r is NULL where either side is constant.
+    """
     keys = list(keys)
-    # both variables ranked in one pass, keyed by axis
-    both = (rows.select(*keys, F.lit("x").alias("_axis"), F.col("x").alias("value"))
-            .unionByName(rows.select(*keys, F.lit("y").alias("_axis"), F.col("y").alias("value"))))
-    rk = average_ranks(both, keys + ["_axis"])
-    rx = rk.filter(F.col("_axis") == "x").select(*keys, F.col("value").alias("x"), F.col("rank").alias("rx"))
-    ry = rk.filter(F.col("_axis") == "y").select(*keys, F.col("value").alias("y"), F.col("rank").alias("ry"))
-    j = rows.join(rx, keys + ["x"]).join(ry, keys + ["y"])
-    return j.select(*keys, F.col("rx").alias("x"), F.col("ry").alias("y"))
+    counts = rows.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    axes = F.explode(F.array(F.struct(F.lit("x").alias("axis"), F.col("x").alias("value")),
+                             F.struct(F.lit("y").alias("axis"), F.col("y").alias("value")))).alias("at")
+    both = rows.select(*keys, axes).select(*keys, "at.*")     # both variables ranked in one pass
+    cnt = ordered_counts(both, [*keys, "axis"], "value", totals=True)
+    centred = cnt.select(*keys, "axis", "value",
+                         (F.col("c_before") + F.col("c") / 2.0 - F.col("c_total") / 2.0).alias("d"))
+    dx = centred.filter("axis = 'x'").select(*keys, F.col("value").alias("x"), F.col("d").alias("dx"))
+    dy = centred.filter("axis = 'y'").select(*keys, F.col("value").alias("y"), F.col("d").alias("dy"))
+    j = counts.join(dx, [*keys, "x"]).join(dy, [*keys, "y"])
+    w = F.col("w")
+    return (j.groupBy(*keys).agg(F.sum(w * F.col("dx") * F.col("dy")).alias("xy"), F.sum(w * F.col("dx") * F.col("dx")).alias("xx"),
+                                 F.sum(w * F.col("dy") * F.col("dy")).alias("yy"), F.sum(w).alias("n"))
+            .select(*keys, F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")).alias("r"), "n"))
 
 
 # T7 / T8
@@ -152,7 +179,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     if method == "spearman":
         t = correlation_tests(df, pairs, "spearman")
         return t.select("var_a", "var_b", F.col("statistic").alias("r"))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
+    wide = df.agg(*[safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
                     for i, (a, b) in enumerate(pairs)])
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(f"c{i}").alias("r"))
@@ -177,12 +204,17 @@ def variance_inflation_factors(df: DataFrame, columns: Sequence[str]) -> DataFra
     mat = np.eye(k)
     for r in m:
         i, j = idx[r["var_a"]], idx[r["var_b"]]
-        mat[i, j] = mat[j, i] = r["r"] if r["r"] is not None else 0.0
+        mat[i, j] = mat[j, i] = r["r"] if r["r"] is not None else np.nan
+    # a constant column has no correlation: its VIF is NULL and the others leave it out
+    live = [i for i in range(k) if not np.isnan(np.delete(mat[i], i)).all()] if k > 1 else list(range(k))
+    vif: list = [None] * k
     try:
-        inv = np.linalg.inv(mat)
-        vif = [float(inv[i, i]) for i in range(k)]
+        inv = np.linalg.inv(mat[np.ix_(live, live)])
+        for at, i in enumerate(live):
+            vif[i] = float(inv[at, at])
     except np.linalg.LinAlgError:
-        vif = [float("inf")] * k
+        for i in live:
+            vif[i] = float("inf")
     return df.sparkSession.createDataFrame(list(zip(cols, vif)), "variable string, vif double")
 
 
@@ -191,7 +223,7 @@ def target_correlation_ranking(df: DataFrame, columns: Sequence[str], target: st
                                min_pairs: int = 10) -> DataFrame:
     tv = F.col(target).cast("double")
     wide = df.agg(*[x for i, c in enumerate(columns) for x in (
-        F.corr(F.col(c).cast("double"), tv).alias(f"r{i}"),
+        safe_corr(F.col(c).cast("double"), tv).alias(f"r{i}"),
         F.count(F.when(F.col(c).isNotNull() & tv.isNotNull(), 1)).alias(f"n{i}"))])
     long = wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n_pairs"))
@@ -208,7 +240,7 @@ def score_correlations(wide: DataFrame, score_cols: Sequence[str], cluster: str
     and of each model's cluster means with the cluster default rate."""
     cols = list(score_cols)
     pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    rows = wide.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).select(F.inline(F.array(*[
+    rows = wide.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).select(F.inline(F.array(*[
         F.struct(F.lit("rows").alias("level"), F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
                  F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)])))
     if cluster is None:
@@ -216,7 +248,7 @@ def score_correlations(wide: DataFrame, score_cols: Sequence[str], cluster: str
     means = wide.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in cols],
                                       F.avg(F.col(target).cast("double")).alias("_rate"))  # #clusters rows
     allp = pairs + [(c, "_rate") for c in cols]
-    cm = means.agg(*[F.corr(a, b).alias(f"m{i}") for i, (a, b) in enumerate(allp)]).select(F.inline(F.array(*[
+    cm = means.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"m{i}") for i, (a, b) in enumerate(allp)]).select(F.inline(F.array(*[
         F.struct(F.lit("cluster_means").alias("level"), F.lit(a).alias("var_a"),
                  F.lit("default_rate" if b == "_rate" else b).alias("var_b"), F.col(f"m{i}").alias("r"))
         for i, (a, b) in enumerate(allp)])))

@@ -2,8 +2,8 @@
 
 Models are MLlib estimators inside a ``Pipeline`` with the preprocessing of
 ``prep`` (refit inside every CV fold).  Cross-validation is our own loop so
-that every fold's predictions are kept: all folds x candidates are unioned
-with ``(candidate, fold)`` keys and scored by ONE distributed job with the
+that every fold's predictions are kept: each fold's are written once, with
+``(candidate, fold)`` keys, and scored by ONE distributed job with the
 exact ROC-AUC of ``evaluate.rank_metrics`` (MLlib's evaluator bins scores and
 only reports fold averages).
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from lendscope import roles as R
 from lendscope.operators import evaluate as E
-from lendscope.operators.prep import build_preprocessing_pipeline, class_weights
-from lendscope.session import right_size
+from lendscope.operators.prep import build_preprocessing_pipeline, class_weights, scale_pos_weight
+from lendscope.session import right_size, written
 
 LABEL = "_label"
 
@@ -49,7 +50,10 @@ MODEL_ATTRIBUTES = {
     "random_forest": ("Medium", "Medium"),
     "gradient_boosting": ("Low", "High"),
 }
-MAX_TREE_DEPTH = 30  # MLlib limit stands in for "unlimited"
+MODEL_KEY_OF_NAME = {"Logistic Regression": "logistic_regression", "Random Forest": "random_forest",
+                     "XGBoost": "gradient_boosting", "Gradient Boosting": "gradient_boosting",
+                     "xgboost": "gradient_boosting"}
+MAX_TREE_DEPTH = 30  # MLlib's limit stands in for "unlimited"
 # ---------------------------------------------------------------------------
 
 
@@ -70,11 +74,15 @@ def logistic_classifier(C: float = 1.0, penalty: str = "l2", n_rows: int = 1, we
 
 
 def forest_classifier(n_estimators=300, max_depth=None, min_samples_leaf=1, max_features="sqrt",
-                      weighted=False, seed=R.RANDOM_STATE, **_) -> RandomForestClassifier:
+                      min_samples_split=2, weighted=False, seed=R.RANDOM_STATE) -> RandomForestClassifier:
+    """MLlib has no bound on the rows of a node that is split; a node of fewer
+    than ``min_samples_split`` rows cannot give two children of half as many,
+    so that half, rounded up, raises the bound on a child's rows."""
     fs = {"sqrt": "sqrt", "log2": "log2"}.get(max_features, str(max_features))
     rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=int(n_estimators),
-                                maxDepth=min(int(max_depth), MAX_TREE_DEPTH) if max_depth else 16,
-                                minInstancesPerNode=int(min_samples_leaf), featureSubsetStrategy=fs, seed=seed)
+                                maxDepth=min(int(max_depth), MAX_TREE_DEPTH) if max_depth else MAX_TREE_DEPTH,
+                                minInstancesPerNode=max(int(min_samples_leaf), -(-int(min_samples_split) // 2)),
+                                featureSubsetStrategy=fs, seed=seed)
     if weighted:
         rf.setWeightCol("weight")
     return rf
@@ -141,52 +149,75 @@ def random_draws(space: dict, n_iter: int, seed: int = R.RANDOM_STATE) -> list:
     return [{k: rng.choice(v) for k, v in space.items()} for _ in range(n_iter)]
 
 
+def weight_mode(params: dict) -> str | None:
+    """How a candidate weighs its training rows (see ``prep.class_weights``)."""
+    if params.get("scale_pos_weight", 1) != 1:
+        return "scale_pos"
+    return "balanced" if params.get("class_weight") else None
+
+
+def _score_logistic(models: dict, rows: DataFrame) -> DataFrame:
+    """(candidate, y, p) of every row under all logistic models in one pass:
+    the coefficient vectors ride along as literals (#candidates x #features)."""
+    each = F.explode(F.array(*[F.struct(F.lit(ci).alias("candidate"), F.lit(float(m.intercept)).alias("b"),
+                                        F.lit(m.coefficients.toArray().tolist()).alias("w")) for ci, m in models.items()]))
+    flat = rows.select(F.col(LABEL).cast("int").alias("y"), vector_to_array("features").alias("x"), each.alias("m"))
+    dot = F.aggregate(F.zip_with("x", "m.w", lambda a, w: a * w), F.lit(0.0), lambda s, v: s + v)
+    return flat.select("m.candidate", "y", (1.0 / (1.0 + F.exp(-(dot + F.col("m.b"))))).alias("p"))
+
+
 def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col: str = "fold",
                    k: int = R.CV_FOLDS, parallelism: int | None = None, target: str = R.TARGET_COLUMN) -> tuple:
-    """Fit every (candidate, fold) pair; score all held-out predictions in one
-    job.  Returns (per-fold table, summary table sorted by mean AUC)."""
-    base = with_label(df, target)
-    if any(c.get("class_weight") or c.get("scale_pos_weight", 1) != 1 for c in candidates):
-        base = class_weights(base, target, "balanced")
-    base = base.persist()  # reused by every fold's fits
+    """Fit every (candidate, fold) pair.  Preprocessing and class weights are
+    refit on each fold's training rows (weights by the candidate's own mode);
+    a fold's held-out scores are written once for all its candidates.
+    Returns (per-fold table, summary table sorted by mean AUC)."""
+    base = with_label(df, target).persist()  # reused by every fold's fits
     n_by_fold = {r[0]: r[1] for r in base.groupBy(fold_col).count().collect()}  # k rows
     n_total = sum(n_by_fold.values())
-    keep = [LABEL] + (["weight"] if "weight" in base.columns else [])
-    preds, cached = [], [base]
     folds_present = sorted(f for f in n_by_fold if f is not None)
+    modes = {weight_mode(c) for c in candidates}
+    scored = None
     for fold in (folds_present if folds_present else range(k)):
-        # preprocessing is refit on the training folds only (no leakage)
         train = base.filter(F.col(fold_col) != fold)
-        test = base.filter(F.col(fold_col) == fold)
         prep = build_preprocessing_pipeline().fit(train)
         n_tr = n_total - n_by_fold.get(fold, 0)
-        # right-sized partitions: every optimizer iteration is one task per partition
-        tr = right_size(prep.transform(train).select("features", *keep), n_tr).persist()
-        te = right_size(prep.transform(test).select("features", LABEL), n_by_fold.get(fold, 0)).persist()
-        cached += [tr, te]
+        ready = prep.transform(train).select("features", LABEL, target)
+        by_mode = {m: right_size(class_weights(ready, target, m or "none"), n_tr).persist() for m in modes}
+        held = right_size(prep.transform(base.filter(F.col(fold_col) == fold)).select("features", LABEL),
+                          n_by_fold.get(fold, 0)).persist()
 
-        def run(ci, tr=tr, te=te, fold=fold, n_tr=n_tr):
-            m = make_classifier(key, candidates[ci], n_tr).fit(tr)
-            return positive_probability(m.transform(te)).select(
-                F.lit(ci).alias("candidate"), F.lit(fold).alias("fold"), F.col(LABEL).cast("int").alias("y"), "p")
+        def fit(ci, by_mode=by_mode, n_tr=n_tr):
+            return make_classifier(key, candidates[ci], n_tr).fit(by_mode[weight_mode(candidates[ci])])
 
         workers = parallelism or max(4, min(16, base.sparkSession.sparkContext.defaultParallelism))
         with ThreadPoolExecutor(max_workers=workers) as ex:  # concurrent MLlib fits, as CrossValidator
-            preds += list(ex.map(run, range(len(candidates))))
-    allp = preds[0]
-    for x in preds[1:]:
-        allp = allp.unionByName(x)
-    folds = E.rank_metrics(allp, "y", "p", keys=["candidate", "fold"]).select("candidate", "fold", "roc_auc")
-    folds = folds.persist()
+            fits = dict(enumerate(ex.map(fit, range(len(candidates)))))
+        if key == "logistic_regression":
+            rows = _score_logistic(fits, held)
+        else:
+            rows = reduce(DataFrame.unionByName, [positive_probability(m.transform(held)).select(
+                F.lit(ci).alias("candidate"), F.col(LABEL).cast("int").alias("y"), "p") for ci, m in fits.items()])
+        rows = written(rows.withColumn("fold", F.lit(fold)), "cv-scores")
+        scored = rows if scored is None else scored.unionByName(rows)
+        for c in [*by_mode.values(), held]:
+            c.unpersist()
+    base.unpersist()
+    folds = written(E.rank_metrics(scored, "y", "p", keys=["candidate", "fold"]).select("candidate", "fold", "roc_auc"),
+                    "cv-folds")
     summ = (folds.groupBy("candidate").agg(F.avg("roc_auc").alias("cv_roc_auc_mean"),
                                            F.stddev_pop("roc_auc").alias("cv_roc_auc_std"))
             .orderBy(F.desc("cv_roc_auc_mean"), "candidate"))
-    folds.count()
-    for c in cached:
-        c.unpersist()
     return folds, summ
 
 
+def boost_space(df: DataFrame, target: str = R.TARGET_COLUMN) -> dict:
+    """``BOOST_SPACE`` with the axis that depends on the labels: the positive
+    class weighted 1 or by the ratio of the classes."""
+    ratio = scale_pos_weight(df, target).first()["scale_pos_weight"]
+    return {**BOOST_SPACE, "scale_pos_weight": [1.0, float(ratio)]}
+
+
 def tune_model(df: DataFrame, key: str, fold_col: str = "fold", search: str = "grid", n_iter: int | None = None,
                parallelism: int | None = None, seed: int = R.RANDOM_STATE, candidates: Sequence[dict] | None = None) -> dict:
     """M7 dispatch of the reference searches: exhaustive logistic grid,
@@ -197,7 +228,7 @@ def tune_model(df: DataFrame, key: str, fold_col: str = "fold", search: str = "g
         elif key == "random_forest":
             candidates = random_draws(FOREST_SPACE, n_iter or FOREST_N_ITER, seed)
         elif key in ("gradient_boosting", "xgboost"):
-            candidates = random_draws(BOOST_SPACE, n_iter or BOOST_N_ITER, seed)
+            candidates = random_draws(boost_space(df), n_iter or BOOST_N_ITER, seed)
         else:
             raise ValueError(f"Unknown model key '{key}'.")
     folds, summ = cross_validate(df, key, candidates, fold_col, parallelism=parallelism)
@@ -261,8 +292,8 @@ def train_and_evaluate(df_split: DataFrame, key: str, fold_col: str = "fold", ca
     tuned = tune_model(train, key, fold_col, n_iter=n_iter, parallelism=parallelism, candidates=candidates)
     params = tuned["best_params"]
     base = with_label(train)
-    if params.get("class_weight") or params.get("scale_pos_weight", 1) != 1:
-        base = class_weights(base, R.TARGET_COLUMN, "balanced")
+    if weight_mode(params):
+        base = class_weights(base, R.TARGET_COLUMN, weight_mode(params))
     n_train = base.count()
     model = make_estimator(key, params, n_train).fit(right_size(base, n_train))
     scored = raw_score(model, with_label(df_split), key).withColumn("y", F.col(LABEL).cast("int"))
@@ -304,8 +335,12 @@ def comparison_table(results: Sequence[dict]) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("roc_auc"), "model")))
 
 
-def resolve_production_model_key(table: DataFrame, default_key: str = "gradient_boosting") -> str:
-    """argmax of numeric roc_auc (first row on ties); empty/NaN/unknown -> default."""
+def resolve_production_model_key(table: DataFrame | None, default_key: str = "gradient_boosting") -> str:
+    """Key of the model of highest numeric roc_auc (first row on ties); display
+    names map back to keys.  No table, a missing column, no number or an
+    unknown name gives the default."""
+    if table is None or not {"model", "roc_auc"} <= set(table.columns):
+        return default_key
     rows = table.select("model", F.col("roc_auc").try_cast("double").alias("auc")).collect()  # #models rows
     best, best_auc = None, None
     for r in rows:
@@ -314,8 +349,7 @@ def resolve_production_model_key(table: DataFrame, default_key: str = "gradient_
             continue
         if best_auc is None or a > best_auc:
             best, best_auc = r["model"], a
-    known = set(MODEL_ATTRIBUTES) | {"xgboost"}
-    return best if best in known else default_key
+    return {**{k: k for k in MODEL_ATTRIBUTES}, **MODEL_KEY_OF_NAME}.get(best, default_key)
 
 
 def robustness_table(metrics: DataFrame, model: str | None = None) -> DataFrame:

@@ -2,40 +2,30 @@
 
 Spark's exact ``percentile`` aggregate keeps every distinct value of a group
 in one buffer, and a window ``orderBy`` without ``partitionBy`` runs in one
-task.  Both break on a 100 TB column.  The operators here compute exact
-results with bounded per-task state instead:
+task.  One path serves every size here:
 
-1. collapse rows to distinct ``(key, value)`` with counts (partial aggregation
+1. rows collapse to distinct ``(key, value)`` with counts (partial aggregation
    before the shuffle, so a value holding a third of all rows is one row);
-2. cut the value range of every key with more distinct values than one task
-   should hold into contiguous buckets, using approximate quantiles of the
-   distinct values (collected: bounded by #distinct / rows-per-bucket);
-3. a window partitioned by ``(key, bucket)`` gives the running count inside a
-   bucket, and a tiny per-bucket total table gives each bucket's offset.
+2. these are range-partitioned by ``(key, value)`` and written with their
+   partition number, so the cut stays the same if a task is run again;
+3. a window per ``(partition, key)`` gives the running totals inside a
+   partition; a window per key over the partition totals (at most one row per
+   partition and key) gives each partition's offset and the key's total.
 
 Result: for every distinct value, the exact number (and weight) of rows with
 a strictly smaller value.  Exact quantiles, average ranks, ROC-AUC, average
 precision and ROC/PR curves are all read off that table.
-
-Bounded fast paths: the size of every key is measured first (one aggregate
-returning only oversized keys); when no key exceeds ``ROWS_PER_BUCKET`` the
-prefix sums are a window partitioned by key (each partition within the bound)
-and quantiles read positions from one sorted array per key (again within the
-bound).  Larger keys always take the bucketed path.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from functools import reduce
+from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
-ROWS_PER_BUCKET = 2_000_000   # distinct values one window task handles comfortably
-MAX_CUT_POINTS = 4_000_000    # total cut points ever collected to the driver
-MAX_CUTS_PER_KEY = 65_536     # beyond this a bucket simply holds more rows (sort-based window spills)
+from lendscope.session import written
 
 
 def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -51,112 +41,34 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
     return out
 
 
-def _bucket_bounds(spark, distinct: DataFrame, keys: list, value: str, buckets: int | None,
-                   rows_per_bucket: int, min_buckets: int = 1) -> DataFrame | None:
-    """Approximate cut points for the keys too large for one window task,
-    frozen as a local table.
-
-    Only keys with more than ``rows_per_bucket`` distinct values get cut
-    points, so the collected table holds at most
-    ``#distinct / rows_per_bucket`` keys and ``MAX_CUT_POINTS`` numbers, and
-    freezing it keeps bucket assignment identical if a stage is recomputed
-    after an executor loss.  ``buckets`` forces a fixed count for every key;
-    ``min_buckets > 1`` cuts every key into at least that many buckets (used
-    when there is no real grouping key, so the window still spreads over
-    tasks).
-    """
-    if buckets is not None:
-        if buckets <= 1:
-            return None
-        big = distinct.select(*keys).distinct()
-        n_cut = buckets
-        sel = distinct
-    else:
-        sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        # at most #distinct / rows_per_bucket keys can be oversized
-        floor_n = rows_per_bucket if min_buckets <= 1 else 0
-        rows = collect_small(sizes.filter(F.col("_n") > floor_n), MAX_CUT_POINTS // 2)
-        if not rows:
-            return None
-        need = max(-(-r["_n"] // rows_per_bucket) for r in rows)
-        n_cut = max(2, min_buckets, min(need, MAX_CUTS_PER_KEY, MAX_CUT_POINTS // len(rows)))
-        big = spark.createDataFrame([tuple(r[k] for k in keys) for r in rows], sizes.select(*keys).schema)
-        sel = join_null_safe(distinct, F.broadcast(big), keys)  # big-key list is size-bounded
-    probs = [i / n_cut for i in range(1, n_cut)]
-    # rank error 1/acc <= 1/(4 n_cut) keeps buckets within ~2x of each other
-    # while the summary buffer stays O(n_cut)
-    acc = max(10000, n_cut * 4)
-    b = sel.groupBy(*keys).agg(
-        F.percentile_approx(F.col(value), F.array(*[F.lit(p) for p in probs]), acc).alias("_bounds"))
-    return spark.createDataFrame(collect_small(b, MAX_CUT_POINTS // 2), b.schema)
-
-
-def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str,
-                   sums: dict | None = None, buckets: int | None = None,
-                   rows_per_bucket: int | None = None, keyless: bool = False) -> DataFrame:
+def ordered_counts(long_df: DataFrame, keys: Sequence[str], value: str, sums: dict | None = None,
+                   totals: bool = False) -> DataFrame:
     """Distinct ``(keys, value)`` rows with ``c`` (row count), optional weight
     sums, and ``c_before`` / ``<sum>_before``: totals over strictly smaller
-    values within the same key.
+    values within the same key; with ``totals`` also ``c_total`` /
+    ``<sum>_total`` of the key.
 
     ``sums`` maps output name -> Column evaluated on ``long_df`` rows.
-    ``keyless=True`` marks a constant key column: the value range is then
-    always cut into at least ``spark.sql.shuffle.partitions`` buckets so the
-    running sums never sit in a single task.
     """
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     keys = list(keys)
     sums = dict(sums or {})
-    spark = long_df.sparkSession
-    aggs = [F.count(F.lit(1)).alias("c")] + [F.sum(e).alias(n) for n, e in sums.items()]
-    d = long_df.groupBy(*keys, value).agg(*aggs)
     measures = ["c"] + list(sums)
-
-    min_buckets = 1
-    if keyless:
-        min_buckets = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 4096))
-    bounds = _bucket_bounds(spark, d.select(*keys, value), keys, value, buckets, rows_per_bucket, min_buckets)
-    if bounds is None:
-        # every key fits one window task: prefix sums directly, no offsets
-        w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return d.select(*keys, value, *measures,
-                        *[F.coalesce(F.sum(m).over(w), F.lit(0)).alias(f"{m}_before") for m in measures])
-    else:
-        d2 = (join_null_safe(d, bounds, keys, "left")
-              .withColumn("_bucket", F.coalesce(
-                  F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(value))), F.lit(0)))
-              .drop("_bounds"))
-
-    # running totals inside a bucket (bounded partitions)
-    w_in = (Window.partitionBy(*keys, "_bucket").orderBy(value)
-            .rowsBetween(Window.unboundedPreceding, -1))
-    local = d2.select(*keys, value, "_bucket", *measures,
-                      *[F.coalesce(F.sum(m).over(w_in), F.lit(0)).alias(f"_{m}_local")
-                        for m in measures])
-
-    # bucket offsets from the small per-bucket table
-    tot = d2.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_{m}_tot") for m in measures])
-    if keyless:
-        # one key: its <= #buckets totals are prefix-summed on the driver
-        rows = sorted(collect_small(tot, MAX_CUT_POINTS), key=lambda r: r["_bucket"])
-        run = {m: 0 for m in measures}
-        offs_rows = []
-        for r in rows:
-            offs_rows.append(tuple(r[k] for k in keys) + (r["_bucket"],) + tuple(run[m] for m in measures))
-            for m in measures:
-                run[m] += r[f"_{m}_tot"] or 0
-        fields = [tot.schema[k] for k in keys] + [tot.schema["_bucket"]] + [
-            T.StructField(f"_{m}_off", tot.schema[f"_{m}_tot"].dataType) for m in measures]
-        offs = spark.createDataFrame(offs_rows, T.StructType(fields))
-    else:
-        w_b = (Window.partitionBy(*keys).orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
-        offs = tot.select(*keys, "_bucket",
-                          *[F.coalesce(F.sum(f"_{m}_tot").over(w_b), F.lit(0)).alias(f"_{m}_off")
-                            for m in measures])
-    out = join_null_safe(local, offs, keys + ["_bucket"])
+    d = long_df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"), *[F.sum(e).alias(n) for n, e in sums.items()])
+    parts = int(long_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(d.repartitionByRange(parts, *keys, value).withColumn("_part", F.spark_partition_id()), "ordered")
+    inside = Window.partitionBy("_part", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.select(*keys, value, "_part", *measures,
+                          *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_{m}_local") for m in measures])
+    part_sums = placed.groupBy("_part", *keys).agg(*[F.sum(m).alias(f"_{m}_part") for m in measures])
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = part_sums.select("_part", *keys,
+                               *[F.coalesce(F.sum(f"_{m}_part").over(earlier), F.lit(0)).alias(f"_{m}_off") for m in measures],
+                               *[F.sum(f"_{m}_part").over(whole).alias(f"{m}_total") for m in measures])
+    out = join_null_safe(local, offsets, ["_part", *keys])
     return out.select(*keys, value, *measures,
-                      *[(F.col(f"_{m}_off") + F.col(f"_{m}_local")).alias(f"{m}_before")
-                        for m in measures])
+                      *[(F.col(f"_{m}_off") + F.col(f"_{m}_local")).alias(f"{m}_before") for m in measures],
+                      *([f"{m}_total" for m in measures] if totals else []))
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -169,65 +81,31 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def key_totals(counts: DataFrame, keys: Sequence[str], measures: Iterable[str] = ("c",)) -> DataFrame:
-    return counts.groupBy(*keys).agg(*[F.sum(m).alias(f"{m}_total") for m in measures])
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    group_cols: Sequence[str] = (), buckets: int | None = None,
-                    long_df: DataFrame | None = None, rows_per_bucket: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = (), long_df: DataFrame | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default), exact.
 
-    Returns ``(group_cols..., column, prob, value)``; NULL/NaN skipped.
+    Returns ``(group_cols..., column, prob, value)``; NULL/NaN skipped.  The
+    order statistics on either side of a quantile are the values whose ranks
+    cover its position, so no join is needed.
     """
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    group_cols = list(group_cols)
-    keys = group_cols + ["column"]
-    long = long_df if long_df is not None else unpivot_numeric(df, cols, keep=group_cols)
-    if buckets is None:
-        biggest = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if biggest is None or biggest <= rows_per_bucket:
-            return _quantiles_sorted_arrays(long, keys, probs)
-    cnt = ordered_counts(long, keys, "value", buckets=buckets, rows_per_bucket=rows_per_bucket)
-    n = key_totals(cnt, keys)
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (n.select(*keys, F.col("c_total").alias("n"), F.explode(probs_arr).alias("prob"))
-               .withColumn("h", (F.col("n") - 1) * F.col("prob"))
-               .withColumn("lo", F.floor("h")).withColumn("hi", F.ceil("h"))
-               .select(*keys, "prob", "h", "lo",
-                       F.explode(F.array(
-                           F.struct(F.lit(0).alias("which"), F.col("lo").alias("r")),
-                           F.struct(F.lit(1).alias("which"), F.col("hi").alias("r")))).alias("t"))
-               .select(*keys, "prob", "h", "lo", "t.which", "t.r"))
-    t = targets.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "prob", "h", "lo", "which", "r")
-    cn = cnt.select(*[F.col(k).alias(f"_c_{k}") for k in keys],
-                    F.col("value").alias("_c_value"), F.col("c").alias("_c_c"),
-                    F.col("c_before").alias("_c_before"))
-    cond = [F.col(f"_c_{k}").eqNullSafe(F.col(f"_t_{k}")) for k in keys] + [
-        F.col("r") >= F.col("_c_before"), F.col("r") < F.col("_c_before") + F.col("_c_c")]
-    hit = t.join(cn, cond).select(*[F.col(f"_t_{k}").alias(k) for k in keys], "prob", "h", "lo",
-                                  "which", F.col("_c_value").alias("value"))
+    keys = list(group_cols) + ["column"]
+    long = long_df if long_df is not None else unpivot_numeric(df, cols, keep=list(group_cols))
+    cnt = ordered_counts(long, keys, "value", totals=True)
+
+    def covers(rank):
+        return (rank >= F.col("c_before")) & (rank < F.col("c_before") + F.col("c"))
+
+    h = {float(p): (F.col("c_total") - 1) * F.lit(float(p)) for p in probs}
+    near = reduce(lambda a, b: a | b, [covers(F.floor(x)) | covers(F.ceil(x)) for x in h.values()])
+    hit = (cnt.filter(near)
+           .select("*", F.explode(F.array(*[F.struct(F.lit(p).alias("prob"), x.alias("h")) for p, x in h.items()])).alias("q"))
+           .select(*keys, "value", "c", "c_before", "q.*"))
     res = hit.groupBy(*keys, "prob").agg(
-        F.first("h").alias("h"), F.first("lo").alias("lo"),
-        F.max(F.when(F.col("which") == 0, F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("which") == 1, F.col("value"))).alias("v_hi"))
-    return res.select(*keys, "prob",
-                      (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo")))
-                      .alias("value"))
-
-
-def _quantiles_sorted_arrays(long: DataFrame, keys: list, probs: Sequence[float]) -> DataFrame:
-    """Small-key path, used only after checking every key has at most
-    ``rows_per_bucket`` rows: one sorted array per key, order statistics read
-    by position (same interpolation as the bucketed path)."""
-    g = long.groupBy(*keys).agg(F.array_sort(F.collect_list("value")).alias("_v"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    t = (g.select(*keys, "_v", F.explode(probs_arr).alias("prob"))
-         .withColumn("h", (F.size("_v") - 1) * F.col("prob"))
-         .withColumn("lo", F.floor("h")).withColumn("hi", F.ceil("h")))
-    v_lo = F.element_at("_v", (F.col("lo") + 1).cast("int"))
-    v_hi = F.element_at("_v", (F.col("hi") + 1).cast("int"))
-    return t.select(*keys, "prob", (v_lo + (v_hi - v_lo) * (F.col("h") - F.col("lo"))).alias("value"))
+        F.max(F.col("h") - F.floor("h")).alias("part"),
+        F.max(F.when(covers(F.floor("h")), F.col("value"))).alias("v_lo"),
+        F.max(F.when(covers(F.ceil("h")), F.col("value"))).alias("v_hi"))
+    return res.select(*keys, "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("part")).alias("value"))
 
 
 def quantile_table_wide(q: DataFrame, keys: Sequence[str], probs: Sequence[float],
@@ -239,10 +117,9 @@ def quantile_table_wide(q: DataFrame, keys: Sequence[str], probs: Sequence[float
         for p, nm in zip(probs, names)])
 
 
-def average_ranks(long_df: DataFrame, keys: Sequence[str], value: str = "value",
-                  buckets: int | None = None) -> DataFrame:
+def average_ranks(long_df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """``(keys, value, rank)`` with tied values sharing their average 1-based rank."""
-    cnt = ordered_counts(long_df, keys, value, buckets=buckets)
+    cnt = ordered_counts(long_df, keys, value)
     return cnt.select(*keys, value, (F.col("c_before") + (F.col("c") + 1) / 2.0).alias("rank"))
 
 
@@ -253,7 +130,3 @@ def collect_small(df: DataFrame, limit: int = 100000) -> list:
     if len(rows) > limit:
         raise ValueError(f"expected a small table (<= {limit} rows)")
     return rows
-
-
-def col_or_lit(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)

@@ -14,6 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from lendscope import roles as R
 from lendscope.operators.bands import band_lookup_expr
@@ -66,8 +67,10 @@ class RiskPolicy:
         return band_lookup_expr(p, self.grade_bands)
 
     def _lookup(self, key: Column, pairs) -> Column:
+        """The value of ``key``; NULL stays NULL, an unknown key raises."""
         m = F.create_map(*[x for k, v in pairs for x in (F.lit(k), F.lit(v))])
-        return m[key]
+        unknown = F.raise_error(F.concat(F.lit("Unknown risk tier '"), key, F.lit("'.")))
+        return F.when(key.isNull() | F.array_contains(F.map_keys(m), key), F.try_element_at(m, key)).otherwise(unknown)
 
     def tier_description_expr(self, tier: Column) -> Column:
         return self._lookup(tier, [(t[0], t[3]) for t in self.risk_tiers])
@@ -101,21 +104,28 @@ class RiskPolicy:
 
 
 def save_policy(policy: RiskPolicy, path: str) -> None:
-    with open(path, "w") as fh:
-        json.dump(policy.to_dict(), fh, indent=2)
+    """Write the policy as one JSON document to a folder that Spark can write."""
+    spark = SparkSession.active()
+    doc = spark.createDataFrame([(json.dumps(policy.to_dict(), indent=2),)], "value string")
+    doc.coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_policy(path: str | None) -> RiskPolicy:
-    """Read a policy JSON; a missing file bootstraps (writes) the defaults."""
-    import os
+    """Read a policy JSON (file or folder, any store that Spark reads); a
+    missing one bootstraps (writes) the defaults."""
     if path is None:
         return RiskPolicy()
-    if not os.path.exists(path):
+    try:
+        text = SparkSession.active().read.option("wholetext", True).text(path).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        text = None
+    if text is None:
         p = RiskPolicy()
         save_policy(p, path)
         return p
-    with open(path) as fh:
-        return RiskPolicy.from_dict(json.load(fh))
+    return RiskPolicy.from_dict(json.loads(text[0]))
 
 
 def read_policy_tables(spark: SparkSession, path: str, policy_id_col: str | None = None) -> dict:
@@ -139,12 +149,31 @@ def predict_label(df: DataFrame, p: str = "p", threshold: float = 0.5, out: str
 
 
 # P3
+def round_tenth(x: Column) -> Column:
+    """``x`` (not negative) to one decimal, by the exact binary value; a true
+    half goes to the even digit.
+
+    With k tenths below, h is the double next to (2k + 1) / 20.  ``x`` differs
+    from h: its side decides.  ``x`` is h: the sign of 20 h - (2k + 1) does,
+    taken exactly as the rounding error of 16 h + 4 h (both exact products).
+    """
+    k = F.floor(x * 10)
+    odd = (2 * k + 1).cast("double")
+    h = odd / 20.0
+    a, b = h * 16.0, h * 4.0
+    total = a + b
+    second = total - a
+    rest = (total - odd) + ((a - (total - second)) + (b - second))
+    up = F.when(x != h, x > h).when(rest != 0, rest > 0).otherwise(k % 2 == 1)
+    return F.when(x.isNotNull(), (k + F.when(up, 1).otherwise(0)).cast("double") / 10.0)
+
+
 def risk_score_expr(p: Column) -> Column:
-    return F.bround(p * 100, 1)
+    return round_tenth(p * 100)
 
 
 def confidence_expr(p: Column) -> Column:
-    return F.bround(F.abs(p - 0.5) * 200, 1)
+    return round_tenth(F.abs(p - 0.5) * 200)
 
 
 # P8

@@ -10,9 +10,8 @@ Custom ``pyspark.ml`` stages (persistable with the standard ML writers):
 * ``OrdinalEncoder`` -- fixed order lookup, unknown -> -1.
 
 Splits and folds rank rows by ``xxhash64(id, seed)`` inside each class with
-exact per-class quotas; the quota cut points are found by rank selection
-(a sorted array for classes within ``ROWS_PER_BUCKET`` rows, bucketed prefix
-counts beyond), so assigning a split is a narrow projection.
+exact per-class quotas; the quota cut points are found by rank selection on
+distributed prefix counts, so assigning a split is a narrow projection.
 """
 
 from __future__ import annotations
@@ -32,7 +31,6 @@ from pyspark.sql import functions as F
 from lendscope import roles as R
 from pyspark.sql import Window
 
-from lendscope.operators import ordered as _ordered
 from lendscope.operators.ordered import exact_quantiles, ordered_counts
 
 
@@ -258,26 +256,12 @@ def split_quotas(class_counts: dict, test_size: float = R.TEST_SIZE,
     return {k: (test[k], val[k], train[k]) for k in class_counts}
 
 
-def _hash_rank_cuts(df: DataFrame, target: str, hcol: str, cuts: dict, class_sizes: dict | None = None,
-                    small: int | None = None) -> DataFrame:
+def _hash_rank_cuts(df: DataFrame, target: str, hcol: str, cuts: dict) -> DataFrame:
     """For each class and rank r in ``cuts[class]``, the hash value at 0-based
-    rank r (exact rank selection; absent when r >= class size).  Classes of at
-    most ``small`` rows read it from one sorted array; larger classes use the
-    bucketed prefix counts."""
-    spark = df.sparkSession
-    small = small or _ordered.ROWS_PER_BUCKET
-    if class_sizes and max(class_sizes.values()) <= small:
-        arr = df.groupBy(F.col(target).alias("_cls")).agg(F.array_sort(F.collect_list(hcol)).alias("_a"))
-        want = F.explode(F.array(*[F.struct(F.lit(int(k)).alias("_k"), F.lit(int(i)).alias("_which"),
-                                            F.lit(int(r)).alias("_r")) for k, rs in cuts.items()
-                                   for i, r in enumerate(rs)])).alias("_w")
-        j = arr.select("_cls", "_a", want).filter(F.col("_w._k") == F.col("_cls"))
-        return (j.filter(F.col("_w._r") < F.size("_a"))
-                .select("_cls", F.col("_w._which").alias("_which"),
-                        F.element_at("_a", (F.col("_w._r") + 1).cast("int")).alias("_cut")))
+    rank r (exact rank selection; absent when r >= class size)."""
     cnt = ordered_counts(df.select(F.col(target).alias("_cls"), F.col(hcol).alias("_h")), ["_cls"], "_h")
-    want = spark.createDataFrame([(int(k), int(i), int(r)) for k, rs in cuts.items() for i, r in enumerate(rs)],
-                                 "_k int, _which int, _r long")
+    want = df.sparkSession.createDataFrame([(int(k), int(i), int(r)) for k, rs in cuts.items() for i, r in enumerate(rs)],
+                                           "_k int, _which int, _r long")   # two rows per class
     j = cnt.join(F.broadcast(want), (cnt["_cls"] == want["_k"]) & (want["_r"] >= cnt["c_before"]) &
                  (want["_r"] < cnt["c_before"] + cnt["c"]))
     return j.select(F.col("_k").alias("_cls"), "_which", F.col("_h").alias("_cut"))
@@ -294,7 +278,7 @@ def stratified_split(df: DataFrame, target: str = R.TARGET_COLUMN, id_col: str =
     counts = {int(r[0]): int(r[1]) for r in d.groupBy(target).count().collect()}  # #classes rows
     q = split_quotas(counts, test_size, validation_size)
     cuts = {k: [t, t + v] for k, (t, v, _) in q.items()}
-    cut = _hash_rank_cuts(d, target, "_h", cuts, counts).collect()  # <= 2 per class
+    cut = _hash_rank_cuts(d, target, "_h", cuts).collect()  # <= 2 per class
     c1 = {int(r["_cls"]): r["_cut"] for r in cut if r["_which"] == 0}
     c2 = {int(r["_cls"]): r["_cut"] for r in cut if r["_which"] == 1}
 
@@ -315,21 +299,14 @@ def stratified_split(df: DataFrame, target: str = R.TARGET_COLUMN, id_col: str =
 
 def stratified_folds(df: DataFrame, k: int = R.CV_FOLDS, target: str = R.TARGET_COLUMN, id_col: str = "id",
                      seed: int = R.RANDOM_STATE, out: str = "fold") -> DataFrame:
-    """Fold id = (rank of xxhash64(id, seed) within the class) mod k: exactly
-    balanced folds per class.  Classes of at most ``ROWS_PER_BUCKET`` rows are
-    ranked by a window per class; larger classes take the distinct-hash
-    prefix counts joined back on (class, hash) -- a shuffle join, no
-    class-wide window."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed + 1))
-    d = df.withColumn("_h", h)
-    sizes = [r[0] for r in d.groupBy(target).count().select("count").collect()]  # #classes rows
-    if sizes and max(sizes) <= _ordered.ROWS_PER_BUCKET:
-        # every class fits one window task
-        w = Window.partitionBy(target).orderBy("_h", F.col(id_col))
-        return d.withColumn(out, ((F.row_number().over(w) - 1) % k).cast("int")).drop("_h")
+    """Fold id = (rank of xxhash64(id, seed) within the class) mod k: balanced
+    folds per class.  The rank counts the rows of smaller hash, so rows that
+    share an id share a fold, whatever the partitioning."""
+    d = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed + 1)))
     cnt = ordered_counts(d.select(F.col(target).alias("_cls"), F.col("_h")), ["_cls"], "_h")
-    ranks = cnt.select(F.col("_cls").alias(target), "_h", F.col("c_before").alias("_rank"))
-    return d.join(ranks, [target, "_h"]).withColumn(out, (F.col("_rank") % k).cast("int")).drop("_h", "_rank")
+    ranks = cnt.select(F.col("_cls").alias("_rank_cls"), F.col("_h").alias("_rank_h"), F.col("c_before").alias("_rank"))
+    out_cols = [*df.columns, (F.col("_rank") % k).cast("int").alias(out)]
+    return d.join(ranks, d[target].eqNullSafe(ranks["_rank_cls"]) & (d["_h"] == ranks["_rank_h"])).select(*out_cols)
 
 
 # M6

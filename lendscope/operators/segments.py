@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lendscope import roles as R
 from lendscope.operators.describe import mode_table
+from lendscope.operators.hypothesis import safe_corr
 from lendscope.operators.ordered import join_null_safe
 
 # ---------------------------------------------------------------------------
@@ -107,7 +108,9 @@ def fit_hierarchical(df: DataFrame, k: int, features: str = "features", micro: i
     ``micro`` weighted micro-clusters on Spark, Ward merges of those centroids
     on the driver (micro x micro), labels mapped back by a broadcast lookup.
     Returns (labelled DataFrame, micro->cluster map)."""
-    mk = KMeans(k=micro, featuresCol=features, predictionCol="_micro", seed=seed, maxIter=50).fit(df)
+    from lendscope.session import right_size
+    mk = KMeans(k=micro, featuresCol=features, predictionCol="_micro", seed=seed, maxIter=50).fit(
+        right_size(df.select(features)))
     lab = mk.transform(df)
     sizes = {r["_micro"]: r["count"] for r in lab.groupBy("_micro").count().collect()}
     centers = mk.clusterCenters()
@@ -429,4 +432,4 @@ def probability_by_cluster(scores_long: DataFrame, cluster: str = "cluster", mod
 
 
 def probability_rate_correlation(by_cluster: DataFrame, model: str = "model") -> DataFrame:
-    return by_cluster.groupBy(model).agg(F.corr("mean_p", "default_rate").alias("corr_with_default_rate"))
+    return by_cluster.groupBy(model).agg(safe_corr(F.col("mean_p"), F.col("default_rate")).alias("corr_with_default_rate"))

@@ -664,11 +664,22 @@ def _map_sql(x: str, pairs) -> str:
 
 
 _TIERS = [t[0] for t in R.RISK_TIERS]
+def _tenth(x):
+    """SQL: one decimal by the exact value of the double, a true half to the even
+    digit (see ``policy.round_tenth`` for the arithmetic)."""
+    k = f"floor({x} * 10)"
+    h = f"((2 * {k} + 1) / 20.0)"
+    over = f"(({h} * 16.0 + {h} * 4.0) - (2 * {k} + 1))"
+    low = f"(({h} * 16.0 - (({h} * 16.0 + {h} * 4.0) - (({h} * 16.0 + {h} * 4.0) - {h} * 16.0))) + ({h} * 4.0 - (({h} * 16.0 + {h} * 4.0) - {h} * 16.0)))"
+    up = f"CASE WHEN {x} <> {h} THEN {x} > {h} WHEN {over} + {low} <> 0 THEN {over} + {low} > 0 ELSE {k} % 2 = 1 END"
+    return f"(({k} + CASE WHEN {up} THEN 1 ELSE 0 END) / 10.0)"
+
+
 _SCORE = with_scored(f"""
 , s AS (SELECT id, p AS default_probability, {TIER} AS risk_tier, {GRADE} AS model_loan_grade FROM scored)
 , sc AS (SELECT id, {r('default_probability')} AS default_probability, CAST(default_probability >= 0.5 AS INTEGER) AS predicted_default,
-  {r('round_even(default_probability * 100, 1)')} AS risk_score,
-  {r('round_even(abs(default_probability - 0.5) * 200, 1)')} AS confidence, risk_tier,
+  {r(_tenth('(default_probability * 100)'))} AS risk_score,
+  {r(_tenth('(abs(default_probability - 0.5) * 200)'))} AS confidence, risk_tier,
   {_map_sql('risk_tier', [(t[0], t[3]) for t in R.RISK_TIERS])} AS tier_description,
   {_map_sql('risk_tier', [(a[0], a[1]) for a in R.LENDING_ACTIONS])} AS lending_action,
   {_map_sql('risk_tier', [(a[0], a[2]) for a in R.LENDING_ACTIONS])} AS action_rationale,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +44,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local runs, tests) a private scratch folder is created.
+    Uses ``spark.checkpoint.dir`` when the cluster names one.  Only a local
+    session, whose tasks share one machine, gets a private scratch folder
+    where it is unset; elsewhere a missing setting is an error, because other
+    machines would not see the files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="lendscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -55,21 +61,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def right_size(df: DataFrame, n_rows: int | None = None, rows_per_partition: int = 500_000) -> DataFrame:
-    """Coalesce (no shuffle) to about ``rows_per_partition`` rows per partition
-    for iterative MLlib fits, where every iteration schedules one task per
-    partition; never increases the partition count, so large inputs keep
-    their parallelism."""
-    n = df.count() if n_rows is None else n_rows
-    want = max(1, -(-n // rows_per_partition))
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the partitioning
-        return df
-    return df.coalesce(want) if want < current else df
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, its partitions
+    fixed, and safe from the loss of an executor."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
+ROWS_PER_TASK = 25_000
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def right_size(df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """Coalesce (no shuffle) to tasks of about ``ROWS_PER_TASK`` rows for
+    iterative fits, where every iteration schedules a task per partition.
+    It never raises the partition count; the tasks
+    grow with the rows, so large data keeps every slot busy."""
+    n = df.count() if n_rows is None else n_rows
+    want = max(1, -(-n // ROWS_PER_TASK))
+    return df.coalesce(want)
