@@ -116,7 +116,7 @@ def load_policy(path: str | None) -> RiskPolicy:
     if path is None:
         return RiskPolicy()
     try:
-        text = SparkSession.active().read.option("wholetext", True).text(path).first()
+        text = SparkSession.active().read.text(path, wholetext=True).first()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -139,8 +139,11 @@ def fit_hierarchical(df: DataFrame, k: int, features: str = "features", micro: i
 
 # G3
 def fit_gmm(df: DataFrame, k: int, features: str = "features", seed: int = R.RANDOM_STATE):
+    from lendscope.session import right_size
+    rows = right_size(df.select(features)).persist()      # read again by every iteration
     m = GaussianMixture(k=k, featuresCol=features, predictionCol="cluster", probabilityCol="membership",
-                        seed=seed).fit(df)
+                        seed=seed).fit(rows)
+    rows.unpersist()
     return m
 
 

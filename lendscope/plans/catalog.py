@@ -90,7 +90,7 @@ def q_dq7(spark, sf):
 
 @register("dq9_missing_matrix")
 def q_dq9(spark, sf):
-    return DQ.missing_matrix(loan_book(spark, sf), ["annual_inc", "emp_length", "loan_status"], id_col="id")
+    return DQ.missing_matrix(loan_book(spark, sf), R.EXPECTED_RAW_COLUMNS, id_col="id")
 
 
 # ============================================================ cleaning
@@ -101,8 +101,7 @@ def q_c1(spark, sf):
 
 @register("c2_remove_duplicates")
 def q_c2(spark, sf):
-    d = read_table(spark, sf, "documents").select("lang", "source", "n_chars")
-    return C.remove_duplicate_rows(d)
+    return C.remove_duplicate_rows(read_table(spark, sf, "documents"))
 
 
 @register("c3_parse_percentages")
@@ -258,15 +257,18 @@ def q_a11(spark, sf):
     return A.target_balance(loans(spark, sf))
 
 
-def _emb(spark, sf, dims=4):
+EMBEDDING = [f"e{i}" for i in range(64)]          # every dimension of the embeddings table
+
+
+def _emb(spark, sf):
     e = read_table(spark, sf, "embeddings")
     return e.select("vec_id", F.col("label").alias("cluster"),
-                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
+                    *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(EMBEDDING)])
 
 
 @register("a12_feature_by_cluster")
 def q_a12(spark, sf):
-    return rounded(A.aggregate_by_cluster(_emb(spark, sf), "cluster", ["e0", "e1", "e2", "e3"], "avg"))
+    return rounded(A.aggregate_by_cluster(_emb(spark, sf), "cluster", EMBEDDING, "avg"))
 
 
 @register("a13_cluster_sizes")
@@ -276,7 +278,7 @@ def q_a13(spark, sf):
 
 @register("a14_cluster_zscore_profile")
 def q_a14(spark, sf):
-    return rounded(A.cluster_zscore_profile(_emb(spark, sf), "cluster", ["e0", "e1", "e2", "e3"]))
+    return rounded(A.cluster_zscore_profile(_emb(spark, sf), "cluster", EMBEDDING))
 
 
 @register("a15_histogram")

@@ -165,9 +165,8 @@ def q_m12(spark, sf):
 
 @register("m14_learning_curve")
 def q_m14(spark, sf):
-    train = FP.stratified_folds(split_only(spark, sf).filter(F.col("split") == "train"), 3).persist()
-    return M.learning_curve(train, "logistic_regression", {"C": 1.0, "penalty": "l2"},
-                            sizes=(0.2, 0.4, 0.6, 0.8, 1.0), k=3)
+    train = split_loans(spark, sf).filter(F.col("split") == "train").persist()
+    return M.learning_curve(train, "logistic_regression", {"C": 1.0, "penalty": "l2"})
 
 
 @register("m15_validation_curve")
@@ -253,7 +252,7 @@ def q_g9(spark, sf):
 @register("g10_optimal_k_sweep")
 def q_g10(spark, sf):
     feats = _cluster_features(spark, sf).persist()
-    return G.evaluate_optimal_k(feats, R.K_CANDIDATES, restarts=3)
+    return G.evaluate_optimal_k(feats, R.K_CANDIDATES)
 
 
 @register("g11_recommend_k")
@@ -465,7 +464,7 @@ def q_t12(spark, sf):
 def q_g13(spark, sf):
     from lendscope.plans.segmentation import SegmentationEngine
     df = loans(spark, sf).persist()
-    eng = SegmentationEngine(n_clusters=4, restarts=3).fit(df)
+    eng = SegmentationEngine(n_clusters=4).fit(df)
     return eng.assign_segment(df).select("id", "cluster_id", "segment_name")
 
 
@@ -492,7 +491,7 @@ def q_c15(spark, sf):
 @register("g12_algorithm_comparison")
 def q_g12(spark, sf):
     feats = _cluster_features(spark, sf)
-    km, _ = G.fit_kmeans(feats, 4, restarts=3)
+    km, _ = G.fit_kmeans(feats, 4)
     hier, _ = G.fit_hierarchical(feats, 4)
     gmm = G.fit_gmm(feats, 4)
     parts = [(name, G.evaluate_clustering(lab)) for name, lab in
@@ -512,8 +511,8 @@ def q_g25(spark, sf):
     from lendscope.plans.segmentation import SegmentationEngine
     base = loans(spark, sf).persist()
     wins = winsorize_columns(base, R.NUMERIC_FEATURES).persist()
-    a = SegmentationEngine(n_clusters=4, restarts=3).fit(base).state["comparison"].withColumn("dataset", F.lit("cleaned"))
-    b = SegmentationEngine(n_clusters=4, restarts=3).fit(wins).state["comparison"].withColumn("dataset", F.lit("winsorized"))
+    a = SegmentationEngine(n_clusters=4).fit(base).state["comparison"].withColumn("dataset", F.lit("cleaned"))
+    b = SegmentationEngine(n_clusters=4).fit(wins).state["comparison"].withColumn("dataset", F.lit("winsorized"))
     u = a.unionByName(b)
     c, w = u.filter(F.col("dataset") == "cleaned").alias("c"), u.filter(F.col("dataset") == "winsorized").alias("w")
     j = c.join(w, F.col("c.segment_name") == F.col("w.segment_name"), "full_outer")  # <= 2k rows

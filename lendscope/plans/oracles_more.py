@@ -86,12 +86,12 @@ UNION ALL SELECT 'target_share_' || CAST(default_flag AS VARCHAR),
   round_even(count(*) / sum(count(*)) OVER (), 4) FROM loans GROUP BY default_flag""")
 
 O["dq9_missing_matrix"] = with_raw("""
-SELECT id, CAST(annual_inc IS NULL AS INTEGER) AS annual_inc, CAST(emp_length IS NULL AS INTEGER) AS emp_length,
-  CAST(loan_status IS NULL AS INTEGER) AS loan_status FROM loan_raw""")
+SELECT id, """ + ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}" for c in R.EXPECTED_RAW_COLUMNS if c != "id")
+                                    + " FROM loan_raw")
 
 # ------------------------------------------------------------------ cleaning
 O["c1_filter_to_state"] = with_raw("SELECT id, addr_state, loan_status FROM loan_raw WHERE addr_state = 'NATION_17'")
-O["c2_remove_duplicates"] = "SELECT DISTINCT lang, source, n_chars FROM documents"
+O["c2_remove_duplicates"] = "SELECT DISTINCT doc_id, text, lang, source, n_chars FROM documents"
 
 
 def _pct(c: str) -> str:
@@ -312,14 +312,14 @@ SELECT default_flag, count(*) AS count, round_even(count(*) / sum(count(*)) OVER
 FROM loans GROUP BY default_flag""")
 
 _EMB = ("WITH emb AS (SELECT vec_id, label AS cluster, " +
-        ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(4)) + " FROM embeddings)\n")
+        ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)) + " FROM embeddings)\n")
 O["a12_feature_by_cluster"] = _EMB + "SELECT cluster, " + ", ".join(
-    f"{r(f'avg(e{i})')} AS e{i}" for i in range(4)) + " FROM emb GROUP BY cluster"
+    f"{r(f'avg(e{i})')} AS e{i}" for i in range(64)) + " FROM emb GROUP BY cluster"
 O["a13_cluster_sizes"] = _EMB + f"SELECT cluster, count(*) AS n, {r('count(*) / sum(count(*)) OVER ()')} AS share FROM emb GROUP BY cluster"
 O["a14_cluster_zscore_profile"] = _EMB + """
-, means AS (SELECT cluster, """ + ", ".join(f"avg(e{i}) AS e{i}" for i in range(4)) + """ FROM emb GROUP BY cluster)
+, means AS (SELECT cluster, """ + ", ".join(f"avg(e{i}) AS e{i}" for i in range(64)) + """ FROM emb GROUP BY cluster)
 , long AS (SELECT cluster, u.feature, u.mean FROM means,
-   LATERAL (VALUES """ + ", ".join(f"('e{i}', e{i})" for i in range(4)) + """) AS u(feature, mean))
+   LATERAL (VALUES """ + ", ".join(f"('e{i}', e{i})" for i in range(64)) + """) AS u(feature, mean))
 , z AS (SELECT *, avg(mean) OVER (PARTITION BY feature) AS mu, stddev_pop(mean) OVER (PARTITION BY feature) AS sd FROM long)
 SELECT cluster, feature, """ + r("mean") + " AS mean, " + r("CASE WHEN sd > 0 THEN (mean - mu) / sd END") + " AS zscore FROM z"
 

@@ -65,15 +65,13 @@ def test_moments_and_exact_quantiles(spark):
     assert r.median == 3.5 and abs(r.skewness - 1.5327) < 1e-3 and abs(r.excess_kurtosis - 0.6961) < 1e-3
 
 
-@pytest.mark.parametrize("buckets,rpb", [(1, None), (3, None), (16, None), (None, 40), (None, 10 ** 9)])
-def test_exact_quantiles_match_numpy_with_hot_value(spark, buckets, rpb):
+def test_exact_quantiles_match_numpy_with_hot_value(spark):
     rng = np.random.default_rng(7)
     vals = [float(v) for v in rng.lognormal(3, 1, 600)] + [42.0] * 300 + [None] * 20  # hot value: a third of rows
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, g int")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {(r["g"], round(r["prob"], 6)): r["value"]
-           for r in exact_quantiles(df, ["x"], probs, group_cols=["g"], buckets=buckets,
-                                    **({"rows_per_bucket": rpb} if rpb else {})).collect()}
+           for r in exact_quantiles(df, ["x"], probs, group_cols=["g"]).collect()}
     for g in range(3):
         xs = np.array([v for i, v in enumerate(vals) if v is not None and i % 3 == g])
         for p in probs:
