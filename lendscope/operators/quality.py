@@ -24,13 +24,17 @@ def schema_drift(df: DataFrame, expected: Sequence[str] = R.EXPECTED_RAW_COLUMNS
 
 
 # DQ2 / DQ9
-def missing_summary(df: DataFrame, decimals: int = 2, only_missing: bool = True) -> DataFrame:
-    """``(column, missing_count, missing_pct)`` from one aggregate; NaN counts as missing."""
+def _missing_counts(df: DataFrame) -> list:
+    """(column, aggregate) of the missing values of every column; NaN counts as missing."""
     def is_missing(c, t):
         col = F.col(f"`{c}`")
         return (col.isNull() | F.isnan(col)) if t in ("double", "float") else col.isNull()
-    wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count(F.when(is_missing(c, t), 1)).alias(f"m{i}") for i, (c, t) in enumerate(df.dtypes)])
+    return [(c, F.count(F.when(is_missing(c, t), 1))) for c, t in df.dtypes]
+
+
+def missing_summary(df: DataFrame, decimals: int = 2, only_missing: bool = True) -> DataFrame:
+    """``(column, missing_count, missing_pct)`` from one aggregate; NaN counts as missing."""
+    wide = df.agg(F.count(F.lit(1)).alias("__n"), *[e.alias(f"m{i}") for i, (_, e) in enumerate(_missing_counts(df))])
     long = wide.select(F.col("__n"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count"))
         for i, c in enumerate(df.columns)])))
@@ -66,9 +70,8 @@ def dtype_report(df: DataFrame) -> DataFrame:
 
 
 # DQ5
-def business_rule_counts(df: DataFrame, state: str = R.TARGET_STATE,
-                         statuses: Sequence[str] = tuple(R.LOAN_STATUS_TARGET_MAP)) -> DataFrame:
-    """Counts of rule violations in one scan; checks whose column is absent are skipped."""
+def _rule_checks(df: DataFrame, state: str, statuses: Sequence[str]) -> list:
+    """(check, aggregate) of the rule violations; a check whose column is absent is left out."""
     checks = []
     if "loan_amnt" in df.columns:
         checks.append(("negative_or_zero_loan_amnt", F.count(F.when(F.col("loan_amnt") <= 0, 1))))
@@ -80,6 +83,13 @@ def business_rule_counts(df: DataFrame, state: str = R.TARGET_STATE,
     if R.STATE_COLUMN in df.columns:
         checks.append(("rows_outside_target_state",
                        F.count(F.when(~F.col(R.STATE_COLUMN).eqNullSafe(F.lit(state)), 1))))
+    return checks
+
+
+def business_rule_counts(df: DataFrame, state: str = R.TARGET_STATE,
+                         statuses: Sequence[str] = tuple(R.LOAN_STATUS_TARGET_MAP)) -> DataFrame:
+    """Counts of rule violations in one scan; checks whose column is absent are skipped."""
+    checks = _rule_checks(df, state, statuses)
     if not checks:
         return df.sparkSession.createDataFrame([], "check string, value long")
     wide = df.agg(*[e.alias(n) for n, e in checks])
@@ -90,23 +100,28 @@ def business_rule_counts(df: DataFrame, state: str = R.TARGET_STATE,
 # DQ6
 def validate_dataset(df: DataFrame, expected: Sequence[str] = R.EXPECTED_RAW_COLUMNS) -> DataFrame:
     """Long report ``(section, item, value double)``: n_rows, n_columns,
-    missing columns, missing counts, duplicate rows, business rules."""
+    missing columns, missing counts, duplicate rows, business rules.
+
+    Two passes: one aggregate for everything that counts rows, and the
+    grouping that duplicates need.
+    """
     spark = df.sparkSession
-    nrow = df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("shape").alias("section"), F.lit("n_rows").alias("item"), "value")
+    items = [("shape", "n_rows", F.count(F.lit(1)))]
+    items += [("missing_count", c, e) for c, e in _missing_counts(df)]
+    items += [("invalid_values", n, e) for n, e in _rule_checks(df, R.TARGET_STATE, tuple(R.LOAN_STATUS_TARGET_MAP))]
+    counted = (df.agg(*[e.cast("double").alias(f"v{i}") for i, (_, _, e) in enumerate(items)])
+               .select(F.inline(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("item"), F.col(f"v{i}").alias("value"))
+                                          for i, (s, n, _) in enumerate(items)])))
+               .filter((F.col("section") != "missing_count") | (F.col("value") > 0)))
     ncol = spark.createDataFrame([("shape", "n_columns", float(len(df.columns)))],
                                  "section string, item string, value double")
     drift = schema_drift(df, expected).select(F.lit("missing_column").alias("section"),
                                               F.col("missing_column").alias("item"),
                                               F.lit(1.0).alias("value"))
-    miss = missing_summary(df).select(F.lit("missing_count").alias("section"), F.col("column").alias("item"),
-                                      F.col("missing_count").cast("double").alias("value"))
     dups = duplicate_row_count(df).select(F.lit("duplicates").alias("section"),
                                           F.lit("duplicate_row_count").alias("item"),
                                           F.col("duplicate_row_count").cast("double").alias("value"))
-    rules = business_rule_counts(df).select(F.lit("invalid_values").alias("section"),
-                                            F.col("check").alias("item"), F.col("value").cast("double"))
-    return nrow.unionByName(ncol).unionByName(drift).unionByName(miss).unionByName(dups).unionByName(rules)
+    return counted.unionByName(ncol).unionByName(drift).unionByName(dups)
 
 
 # DQ7

@@ -90,7 +90,7 @@ def q_dq7(spark, sf):
 
 @register("dq9_missing_matrix")
 def q_dq9(spark, sf):
-    return DQ.missing_matrix(loan_book(spark, sf), R.EXPECTED_RAW_COLUMNS, id_col="id")
+    return DQ.missing_matrix(loan_book(spark, sf), id_col="id")
 
 
 # ============================================================ cleaning

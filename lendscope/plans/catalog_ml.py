@@ -9,14 +9,18 @@ import uuid
 from pyspark.sql import functions as F
 
 from lendscope import roles as R
+from lendscope.operators import evaluate as E
 from lendscope.operators import explain as X
+from lendscope.operators import hypothesis as T
 from lendscope.operators import models as M
 from lendscope.operators import policy as P
 from lendscope.operators import prep as FP
+from lendscope.operators import quality as DQ
 from lendscope.operators import segments as G
 from lendscope.operators.describe import order_index
+from lendscope.operators.ordered import exact_quantiles, quantile_table_wide
 from lendscope.plans.catalog import register
-from lendscope.plans.inputs import loans, rounded, scored
+from lendscope.plans.inputs import loans, rounded, scored, sig_round
 from lendscope.session import checkpoint_dir, right_size
 from lendscope.sources.tables import loan_book, read_table
 
@@ -529,3 +533,104 @@ def q_io4(spark, sf):
     root = f"{checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
     save_splits(FP.stratified_split(loans(spark, sf)), root)
     return load_split(spark, root, "test")
+
+
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("io1_csv_round_trip")
+def q_io1(spark, sf):
+    """The loan book written as CSV in the declared column order and read back by it."""
+    from lendscope.sources.files import RAW_LOAN_SCHEMA, load_raw_data
+    book = loan_book(spark, sf)
+    path = _folder(spark, "raw-csv")
+    book.select(*[F.col(f.name) if f.name in book.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                  for f in RAW_LOAN_SCHEMA]).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    return load_raw_data(spark, path).select("id", "term", "int_rate", "grade", "emp_length", "loan_status", "addr_state")
+
+
+@register("io2_table_round_trip")
+def q_io2(spark, sf):
+    from lendscope.sources.files import load_table, save_table
+    path = _folder(spark, "cleaned")
+    save_table(loans(spark, sf), path)
+    return rounded(load_table(spark, path))
+
+
+@register("io5_model_round_trip")
+def q_io5(spark, sf):
+    """Scores of a fitted model that was saved and loaded again."""
+    from lendscope.sources.files import load_model, save_model
+    model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
+    path = _folder(spark, "model")
+    save_model(model, path)
+    return M.predict_probability(load_model(path), loans(spark, sf)).select("id", "p")
+
+
+@register("io9_winsorize_job")
+def q_io9(spark, sf):
+    from lendscope.sources.files import load_table, save_table, winsorize_job
+    src, dst = _folder(spark, "cleaned"), _folder(spark, "winsorized")
+    save_table(loans(spark, sf), src)
+    winsorize_job(spark, src, dst, R.NUMERIC_FEATURES)
+    return rounded(load_table(spark, dst).select("id", *R.NUMERIC_FEATURES))
+
+
+@register("io10_policy_json_scoring")
+def q_io10(spark, sf):
+    """Scoring by a policy that was written as JSON and read back."""
+    path = _folder(spark, "policy")
+    P.save_policy(P.RiskPolicy(), path)
+    return rounded(P.score_loans(scored(spark, sf), policy=P.load_policy(path), threshold=0.5))
+
+
+@register("m13_production_model")
+def q_m13(spark, sf):
+    """Three stand-in scores compared by exact AUC; the best one's key."""
+    d = scored(spark, sf)
+    names = {"Logistic Regression": F.col("p"), "Random Forest": F.col("int_rate"), "XGBoost": F.col("dti")}
+    long = d.select(F.col(R.TARGET_COLUMN).alias("y"), F.inline(F.array(*[
+        F.struct(F.lit(n).alias("model"), c.cast("double").alias("s")) for n, c in names.items()]))).filter("s is not null")
+    table = E.rank_metrics(long, "y", "s", ["model"]).select("model", "roc_auc")
+    return table.select("model", sig_round(F.col("roc_auc")).alias("roc_auc"),
+                        F.lit(M.resolve_production_model_key(table)).alias("production_model"))
+
+
+@register("t9_vif_two_columns")
+def q_t9b(spark, sf):
+    return rounded(T.variance_inflation_factors(loans(spark, sf), ["loan_amnt", "annual_inc"]))
+
+
+@register("dq4_dtype_report")
+def q_dq4(spark, sf):
+    return DQ.dtype_report(loan_book(spark, sf))
+
+
+@register("dq8_variable_descriptions")
+def q_dq8(spark, sf):
+    return DQ.variable_description_table(loan_book(spark, sf))
+
+
+@register("p9_single_borrower")
+def q_p9(spark, sf):
+    """The riskiest loan (smallest id in a tie) scored as a single borrower."""
+    one = scored(spark, sf).orderBy(F.desc("p"), "id").limit(1)
+    return rounded(P.score_single(one, threshold=0.5))
+
+
+@register("p11_policy_violations")
+def q_p11(spark, sf):
+    """A policy per loan grade: tiers cut at the grade's score quartiles, the
+    last one left out for every second grade, checked as policies."""
+    q = quantile_table_wide(exact_quantiles(scored(spark, sf), ["p"], [0.25, 0.5, 0.75], ["grade"]),
+                            ["grade"], [0.25, 0.5, 0.75], ["a", "b", "c"])
+    edge = lambda n, lo, hi: F.struct(F.lit(n).alias("name"), lo.cast("double").alias("min_probability"),
+                                      hi.cast("double").alias("max_probability"))
+    tiers = q.select(F.col("grade").alias("policy_id"), F.inline(F.array(
+        edge("t1", F.lit(0.0), F.col("a")), edge("t2", F.col("a"), F.col("b")), edge("t3", F.col("b"), F.col("c")),
+        edge("t4", F.col("c"), F.when(F.col("grade").isin("A", "C", "E"), F.lit(0.99)).otherwise(F.lit(1.01))))))
+    act = tiers.filter("name != 't2' or policy_id != 'B'").select("policy_id", F.col("name").alias("tier"))
+    return P.policy_violations({"risk_tiers": tiers, "lending_actions": act,
+                                "rate_adjustments": tiers.select("policy_id", F.col("name").alias("tier"))})

@@ -72,3 +72,7 @@ ORACLES.update(_ML)
 
 # the streaming scorer must produce exactly the batch scoring of the same rows
 ORACLES["s1_streaming_policy_scoring"] = ORACLES["p8_batch_scoring"]
+# round trips through files must give what was written
+ORACLES["io2_table_round_trip"] = ORACLES["c7_clean_dataset"]
+ORACLES["io9_winsorize_job"] = ORACLES["c8_winsorize"]
+ORACLES["io10_policy_json_scoring"] = ORACLES["p8_batch_scoring"]

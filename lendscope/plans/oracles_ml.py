@@ -5,7 +5,7 @@ score-by-cluster tables."""
 from __future__ import annotations
 
 from lendscope import roles as R
-from lendscope.plans.oracles_base import with_loans, with_scored
+from lendscope.plans.oracles_base import with_loans, with_raw, with_scored
 from lendscope.plans.oracles_more import _qlabel, _qbin, q, r
 
 O: dict = {}
@@ -225,3 +225,29 @@ SELECT CAST(purpose AS VARCHAR) AS a_value, CAST(grade AS VARCHAR) AS b_value, {
 UNION ALL
 SELECT CAST(home_ownership AS VARCHAR), dti_bin, {r('avg(p)')}, count(*), 'home_ownership', 'dti' FROM lab
 WHERE home_ownership IS NOT NULL AND dti_bin IS NOT NULL GROUP BY home_ownership, dti_bin""")
+
+# ------------------------------------------------------------------ files, rules and round trips
+O["io1_csv_round_trip"] = with_raw("SELECT id, term, int_rate, grade, emp_length, loan_status, addr_state FROM loan_raw")
+
+_AUC = """
+, long AS (SELECT 'Logistic Regression' AS model, default_flag AS y, CAST(p AS DOUBLE) AS s FROM scored
+  UNION ALL SELECT 'Random Forest', default_flag, CAST(int_rate AS DOUBLE) FROM scored
+  UNION ALL SELECT 'XGBoost', default_flag, CAST(dti AS DOUBLE) FROM scored)
+, rk AS (SELECT model, y, rank() OVER (PARTITION BY model ORDER BY s)
+           + (count(*) OVER (PARTITION BY model, s) - 1) / 2.0 AS r FROM long WHERE s IS NOT NULL)
+, auc AS (SELECT model, (sum(CASE WHEN y = 1 THEN r ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0)
+           / (sum(y) * sum(1 - y)) AS v FROM rk GROUP BY model)
+"""
+O["m13_production_model"] = with_scored(_AUC + f"""
+SELECT model, {r('v')} AS roc_auc,
+  (SELECT CASE model WHEN 'Logistic Regression' THEN 'logistic_regression' WHEN 'Random Forest' THEN 'random_forest'
+                     ELSE 'gradient_boosting' END FROM auc ORDER BY v DESC LIMIT 1) AS production_model FROM auc""")
+
+O["t9_vif_two_columns"] = with_loans(f"""
+, c AS (SELECT corr(loan_amnt, annual_inc) AS x FROM loans WHERE loan_amnt IS NOT NULL AND annual_inc IS NOT NULL)
+SELECT variable, {r('1.0 / (1.0 - x * x)')} AS vif FROM c, (VALUES ('loan_amnt'), ('annual_inc')) AS v(variable)""")
+
+O["p11_policy_violations"] = with_scored("""
+, g AS (SELECT grade, quantile_cont(p, 0.25) AS a FROM scored GROUP BY grade)
+SELECT grade AS policy_id, 'does_not_cover_1' AS "check", '0.99' AS detail FROM g WHERE grade IN ('A', 'C', 'E')
+UNION ALL SELECT grade, 'tier_without_action', 't2' FROM g WHERE grade = 'B'""")

@@ -85,9 +85,11 @@ UNION ALL SELECT 'duplicate_row_count', CAST(coalesce(sum(n - 1), 0) AS DOUBLE)
 UNION ALL SELECT 'target_share_' || CAST(default_flag AS VARCHAR),
   round_even(count(*) / sum(count(*)) OVER (), 4) FROM loans GROUP BY default_flag""")
 
+LOAN_BOOK_COLUMNS = """id member_id loan_amnt term int_rate installment grade emp_length home_ownership annual_inc
+verification_status loan_status purpose addr_state dti delinq_2yrs open_acc pub_rec revol_bal revol_util total_acc mort_acc
+pub_rec_bankruptcies initial_list_status application_type""".split()
 O["dq9_missing_matrix"] = with_raw("""
-SELECT id, """ + ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}" for c in R.EXPECTED_RAW_COLUMNS if c != "id")
-                                    + " FROM loan_raw")
+SELECT id, """ + ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}" for c in LOAN_BOOK_COLUMNS if c != "id") + " FROM loan_raw")
 
 # ------------------------------------------------------------------ cleaning
 O["c1_filter_to_state"] = with_raw("SELECT id, addr_state, loan_status FROM loan_raw WHERE addr_state = 'NATION_17'")
