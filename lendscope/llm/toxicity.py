@@ -16,6 +16,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp, lgamma
+from math import log as log_
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,9 @@ FIT_CHARS = 20_000       # of each sampled text, for the fit alone
 ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 8_192
 MIN_SUPPORT = 3          # toxic texts a window must occur in
-MIN_Z = 5.0              # standard deviations above its expected toxic share
+CHANCE_WINDOWS = 0.5     # windows that may pass for telling by chance alone, expected number
 STEPS = (3, 5)           # window gains (bytes) that are counted
+MOST = 8                 # bytes a window counts for at most
 MEMO_ENTRIES = 500_000
 TAIL = bytes([1, 2, 3, 4, 5, 6, 7, 8, 11])
 CUT = 0.7
@@ -81,8 +84,9 @@ class Gains:
         low, high = (int((g >= s).sum()) for s in STEPS)
         n = max(1, len(g))
         kinds = len({bare(w) for w, v in zip(windows(text), g) if v >= STEPS[0]}) if low else 0
-        return [1.0, np.log1p(low), np.log1p(high), np.log1p(kinds), float(low > 0), float(kinds > 1),
-                (low / n) ** 0.5, np.log(n)]
+        saved = float(np.minimum(g[g >= STEPS[0]], MOST).sum()) if low else 0.0
+        return [1.0, np.log1p(low), np.log1p(high), np.log1p(kinds), float(low > 0), float(kinds > 1), (low / n) ** 0.5,
+                np.log(n), float(g.max()) if low else 0.0, float(low > 1), (high / n) ** 0.5, saved / n ** 0.5]
 
 
 @dataclass
@@ -95,11 +99,12 @@ class Model:
     base: float
 
 
-def _distinct(texts: list[str]) -> list[set[str]]:
-    """Word sets of the texts, near copies of an earlier text left out: half
-    of the eight words of lowest hash in common."""
+def _support(texts: list[str]) -> tuple[Counter, int]:
+    """Texts that hold each word, and their number; near copies of an earlier
+    text (half of the eight words of lowest hash in common) are left out."""
     seen: dict[int, list[int]] = {}
-    kept = []
+    count: Counter = Counter()
+    kept = 0
     for text in texts:
         words = {b for w in windows(text) if (b := bare(w))}
         sign = sorted(zlib.crc32(w.encode()) for w in words)[:8]
@@ -107,9 +112,10 @@ def _distinct(texts: list[str]) -> list[set[str]]:
         if sign and shared and max(shared.values()) * 2 >= len(sign):
             continue
         for h in sign:
-            seen.setdefault(h, []).append(len(kept))
-        kept.append(words)
-    return kept
+            seen.setdefault(h, []).append(kept)
+        count.update(words)
+        kept += 1
+    return count, kept
 
 
 def _train(size: int, samples: list[bytes]) -> bytes:
@@ -120,21 +126,29 @@ def _train(size: int, samples: list[bytes]) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def tail(hits: int, texts: int, share: float) -> float:
+    """Chance that ``hits`` or more of ``texts`` are toxic if toxic texts hold
+    the window as often as any others do."""
+    log = lgamma(texts + 1) - lgamma(hits + 1) - lgamma(texts - hits + 1)
+    term = exp(log + hits * log_(share) + (texts - hits) * log_(1 - share))
+    total = 0.0
+    for k in range(hits, texts + 1):
+        total += term
+        if term < total * 1e-9:
+            break
+        term *= (texts - k) / (k + 1) * share / (1 - share)
+    return total
+
+
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionary contents.  The toxic one is trained on the
     windows that toxic texts hold far more often than ordinary texts do and
     ends with those windows themselves, the most telling last, laid three
     times because the coder indexes every third position."""
-    t_sets, o_sets = _distinct(toxic), _distinct(ordinary)
-    a, b = Counter(w for s in t_sets for w in s), Counter(w for s in o_sets for w in s)
-    share = len(t_sets) / max(1, len(t_sets) + len(o_sets))
-
-    def z(w: str) -> float:
-        m = a[w] + b[w]
-        return (a[w] - m * share) / max(1e-9, m * share * (1 - share)) ** 0.5
-
-    telling = sorted(((z(w), w) for w in a if a[w] >= MIN_SUPPORT), key=lambda x: (x[0], x[1]))
-    telling = [w for s, w in telling if s >= MIN_Z]
+    (a, n_toxic), (b, n_ordinary) = _support(toxic), _support(ordinary)
+    share = min(0.999, max(0.001, n_toxic / max(1, n_toxic + n_ordinary)))
+    odds = [(tail(a[w], a[w] + b[w], share), w) for w in a if a[w] >= MIN_SUPPORT and a[w] > share * (a[w] + b[w])]
+    telling = [w for p, w in sorted(odds, reverse=True) if p * len(odds) <= CHANCE_WINDOWS]
     plain = sorted(w for w in b if w not in set(telling))
     lead = _train(ORDINARY_BYTES, [f" {w} ".encode() for w in plain])
     if len(lead) < 1024:
