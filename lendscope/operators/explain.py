@@ -54,19 +54,14 @@ def impurity_importance(model: PipelineModel, roles: R.ColumnRoles = R.LOAN_ROLE
 
 # X4
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequence[str], repeats: int = 10,
-                           seed: int = R.RANDOM_STATE, id_col: str = "id", target: str = R.TARGET_COLUMN,
-                           sample_n: int | None = None) -> DataFrame:
+                           seed: int = R.RANDOM_STATE, id_col: str = "id", target: str = R.TARGET_COLUMN) -> DataFrame:
     """AUC drop when one raw column is permuted (mean and std over repeats).
 
     A permutation of column c: rank rows by xxhash64(id, seed) and by
     xxhash64(id, seed, c, r); row at hash-rank i receives the value of the row
     at permutation-rank i (exact ranks from prefix counts, joined on rank).
     All permutations are unioned with (feature, repeat) keys and scored by one
-    ROC-AUC job.  The work is #rows x #columns x repeats scorings; ``sample_n``
-    (a deterministic hash sample) bounds it on very large evaluation sets."""
-    if sample_n is not None:
-        from lendscope.operators.clean import deterministic_sample
-        df = deterministic_sample(df, sample_n, seed, id_col)
+    ROC-AUC job.  The work is #rows x #columns x repeats scorings."""
     cols = list(df.columns)
     keys = F.explode(F.array(*[F.struct(F.lit(c).alias("_feature"), F.lit(r).alias("_repeat"))
                                for c in columns for r in range(repeats)])).alias("_key")
@@ -76,10 +71,12 @@ def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequenc
             .withColumn("_ph", F.xxhash64(F.col(id_col), F.lit(seed), F.col("_feature"), F.col("_repeat"))))
     k2 = ["_feature", "_repeat"]
     # exact ranks of both orders, for all permutations in one prefix-count pass each
-    rs = ordered_counts(long.select(*k2, "_src"), k2, "_src").select(*k2, "_src", F.col("c_before").alias("_rank"))
-    rp = ordered_counts(long.select(*k2, "_ph"), k2, "_ph").select(*k2, "_ph", F.col("c_before").alias("_rank"))
+    # (of distinct hashes: rows that share an id share a rank and a donor)
+    rs = ordered_counts(long.select(*k2, "_src").distinct(), k2, "_src").select(*k2, "_src", F.col("c_before").alias("_rank"))
+    rp = ordered_counts(long.select(*k2, "_ph").distinct(), k2, "_ph").select(*k2, "_ph", F.col("c_before").alias("_rank"))
     ranked = long.join(rs, k2 + ["_src"])
-    donors = long.join(rp, k2 + ["_ph"]).select(*k2, "_rank", F.struct(*columns).alias("_donor"))
+    donors = (long.groupBy(*k2, "_ph").agg(F.min(F.struct(*columns)).alias("_donor")).join(rp, k2 + ["_ph"])
+              .select(*k2, "_rank", "_donor"))
     sh = ranked.join(donors, k2 + ["_rank"])
     allp = sh.select(*[F.when(F.col("_feature") == c, F.col(f"_donor.{c}")).otherwise(F.col(c)).alias(c)
                        if c in columns else F.col(c) for c in cols], *k2)
