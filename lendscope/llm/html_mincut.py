@@ -33,7 +33,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("table ul ol dl div section article body select menu".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset search".split())
 BOILER_WORDS = frozenset("""ad ads adbox adsense advert adverts advertisement advertising alert banner breadcrumb
-breadcrumbs byline comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog
+breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog
 disclaimer discussion disqus footer footnav form gdpr legal login masthead menu modal nav navbar navigation newsletter
 notice notification overlay pager pagination paywall popup privacy promo promoted promotion recommended related replies
 reply respond search share sharebar sharing sidebar signin signup skip social sponsor sponsored subscribe
