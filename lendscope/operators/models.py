@@ -364,20 +364,23 @@ def learning_curve(df: DataFrame, key: str, params: dict, sizes: Sequence[float]
     """Train on nested hash-fractions of the training folds, score the held-out
     fold; mean/std AUC per size (train and validation)."""
     base = with_label(df).withColumn("_u", (F.abs(F.xxhash64("id", F.lit(seed))) % 1000000) / 1000000.0)
-    out = []
-    for frac in sizes:
-        for fold in range(k):
-            tr = base.filter((F.col(fold_col) != fold) & (F.col("_u") < frac))
-            te = base.filter(F.col(fold_col) == fold)
-            n_tr = max(tr.count(), 1)
-            m = make_estimator(key, params, n_tr).fit(right_size(tr, n_tr))
-            for part, d in (("train", tr), ("validation", te)):
-                out.append(positive_probability(m.transform(d)).select(
-                    F.lit(float(frac)).alias("size"), F.lit(fold).alias("fold"), F.lit(part).alias("part"),
-                    F.col(LABEL).cast("int").alias("y"), "p"))
-    u = out[0]
-    for x in out[1:]:
-        u = u.unionByName(x)
+    base = base.persist()
+
+    def point(at):
+        frac, fold = at
+        tr = base.filter((F.col(fold_col) != fold) & (F.col("_u") < frac))
+        te = base.filter(F.col(fold_col) == fold)
+        n_tr = max(tr.count(), 1)
+        m = make_estimator(key, params, n_tr).fit(right_size(tr, n_tr))
+        rows = reduce(DataFrame.unionByName, [positive_probability(m.transform(d)).select(
+            F.lit(float(frac)).alias("size"), F.lit(fold).alias("fold"), F.lit(part).alias("part"),
+            F.col(LABEL).cast("int").alias("y"), "p") for part, d in (("train", tr), ("validation", te))])
+        return written(rows, "curve-scores")
+
+    workers = max(4, min(16, base.sparkSession.sparkContext.defaultParallelism))
+    with ThreadPoolExecutor(max_workers=workers) as ex:  # independent fits, as in cross-validation
+        u = reduce(DataFrame.unionByName, ex.map(point, [(f, i) for f in sizes for i in range(k)]))
+    base.unpersist()
     a = E.rank_metrics(u, "y", "p", keys=["size", "fold", "part"])
     return a.groupBy("size", "part").agg(F.avg("roc_auc").alias("mean_roc_auc"), F.stddev_pop("roc_auc").alias("std_roc_auc"))
 
