@@ -18,7 +18,7 @@ import unicodedata
 
 import numpy as np
 
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 250_000
 
 
 def byte_symbols() -> dict[int, str]:

@@ -26,7 +26,7 @@ WINDOW = 5
 SHARE = 0.8
 MIN_LITERALS = 2          # a window with fewer plain words keeps its values in place of placeholders
 BITMAP_BITS = 1 << 23     # filter of the benchmark's windows that every task holds (1 MB)
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 200_000
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£]")
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen

@@ -72,7 +72,7 @@ def pack(docs: DataFrame, vocab_path: str, longest: int = MAX_LENGTH, end_id: in
                         held.append(piece)
                     start += length
                 size += len(ids)
-                if size > 32_000_000:
+                if size > 8_000_000:
                     yield flush()
                     rows, held, size = [], [], 0
             yield flush()

@@ -33,7 +33,7 @@ MIN_SUPPORT = 3          # toxic texts a window must occur in
 CHANCE_WINDOWS = 0.5     # windows that may pass for telling by chance alone, expected number
 STEPS = (3, 5)           # window gains (bytes) that are counted
 MOST = 8                 # bytes a window counts for at most
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 200_000
 TAIL = bytes([1, 2, 3, 4, 5, 6, 7, 8, 11])
 CUT = 0.7
 
