@@ -4,9 +4,12 @@ Numbers, names (capitalised words) and units (a unit word after a number)
 become typed placeholders; five-token windows of the templates are hashed and
 joined with the benchmark's windows.  Along every alignment of a document with
 an item the placeholders' values must correspond: the same item value always
-meets the same document value.  An item leaks into a document that holds 0.8
-or more of its windows that way, so copies with other numbers, names or units
-are caught as well as plain ones.
+meets the same document value.  Every window has a second, case-folded hash in
+which names are plain words, so a copy in other case is met too; a window that
+only its case keeps from the template and that is word for word the item's is
+held even if its alignment's values do not correspond.  An item leaks into a
+document that holds 0.8 or more of its windows that way, so copies with other
+numbers, names or units are caught as well as plain ones.
 """
 
 from __future__ import annotations
@@ -51,17 +54,20 @@ def kind(token: str) -> int:
 
 
 def token_id(token: str) -> int:
-    """62 bits of the lower-cased token and its kind."""
-    return xxhash.xxh64_intdigest(token.lower().encode()) & ~3 | kind(token)
+    """62 bits of the case-folded token and its kind."""
+    return xxhash.xxh64_intdigest(token.casefold().encode()) & ~3 | kind(token)
 
 
 UNIT_IDS = np.array(sorted({token_id(u) for u in UNITS} | {token_id(u.capitalize()) for u in UNITS}), dtype=np.uint64)
 
 
-def _hash(columns: np.ndarray, n: int, window: int, seed: int) -> np.ndarray:
-    h = np.full(n, seed, dtype=np.uint64)
+def _hash(columns: np.ndarray, at: np.ndarray | slice, window: int, seed: int, first: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the windows that begin ``at`` those places; ``first`` stands
+    for ``columns`` at a window's first token."""
+    h = np.uint64(seed)
     for k in range(window):
-        h = (h ^ columns[k:k + n]) * _MULT
+        here = columns if k or first is None else first
+        h = (h ^ (here[k + at.start:k + at.stop] if isinstance(at, slice) else here[k + at])) * _MULT
         h ^= h >> np.uint64(31)
     return h
 
@@ -82,7 +88,9 @@ class Templates:
         return np.frombuffer(b"".join(map(memo.__getitem__, pieces)), dtype="<u8")
 
     def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash per window, kind per token, whether a window has placeholders)."""
+        """(template and folded hash per window, kind per token, whether a
+        window has placeholders under either).  A folded hash depends on its
+        own window alone: a unit is one only behind a number of the window."""
         ids = self.ids(text)
         n = len(ids) - self.window + 1
         kinds = (ids & np.uint64(3)).astype(np.int64)
@@ -90,17 +98,28 @@ class Templates:
         if len(after):
             kinds[after[np.isin(ids[after], UNIT_IDS)]] = UNIT
         if n <= 0:
-            return np.zeros(0, dtype=np.uint64), kinds, np.zeros(0, dtype=bool)
-        plain = np.concatenate(([0], np.cumsum(kinds == LITERAL)))
-        template = plain[self.window:] - plain[:-self.window] >= MIN_LITERALS
-        typed = _hash(np.where(kinds == LITERAL, ids, _PLACEHOLDER[kinds]), n, self.window, 1)
-        exact = _hash(ids >> np.uint64(2), n, self.window, 2)
-        return np.where(template, typed, exact), kinds, template
-
-    def slots(self, tokens: list[str], kinds: np.ndarray, at: int, template: bool) -> list[str]:
+            return np.zeros((2, 0), dtype=np.uint64), kinds, np.zeros((2, 0), dtype=bool)
+        enough = lambda plain: plain[self.window:] - plain[:-self.window]
+        word = (kinds == LITERAL) | (kinds == NAME)
+        typed = enough(np.concatenate(([0], np.cumsum(kinds == LITERAL)))) >= MIN_LITERALS
+        folded = enough(np.concatenate(([0], np.cumsum(word)))) + (kinds[:n] == UNIT) >= MIN_LITERALS
+        exact, every = ids >> np.uint64(2), slice(0, n)
+        h = np.empty((2, n), dtype=np.uint64)
+        h[0] = _hash(np.where(kinds == LITERAL, ids, _PLACEHOLDER[kinds]), every, self.window, 1)
+        h[1] = _hash(np.where(word, exact, _PLACEHOLDER[kinds]), every, self.window, 3,
+                     np.where(kinds == NUMBER, _PLACEHOLDER[NUMBER], exact))
+        for f, template in enumerate((typed, folded)):
+            few = np.flatnonzero(~template)
+            if len(few):
+                h[f, few] = _hash(exact, few, self.window, 2 + 2 * f)
+        return h, kinds, np.array([typed, folded])
+
+    def slots(self, tokens: list[str], kinds: np.ndarray, at: int, folded: bool, template: bool) -> list[str]:
         if not template:
             return []
-        return [tokens[at + k].lower() for k in range(self.window) if kinds[at + k] != LITERAL]
+        values = (NUMBER, UNIT) if folded else (NUMBER, NAME, UNIT)
+        return [tokens[at + k].casefold() for k in range(self.window)
+                if kinds[at + k] in values and not (folded and k == 0 and kinds[at] == UNIT)]
 
 
 def _tokens(text: str) -> list[str]:
@@ -108,7 +127,8 @@ def _tokens(text: str) -> list[str]:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, item_key, item_pos, h, item_slots, n_windows), a row per window."""
+    """(item_id, item_key, item_pos, folded, h, item_slots, n_windows), a row
+    per window with its template's hash and one with its folded hash."""
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = Templates(window)
@@ -117,15 +137,15 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             for item, key, text in zip(part["item_id"], part["item_key"], part["text"]):
                 h, kinds, template = make.windows(text)
                 tokens = _tokens(text)
-                rows += [(item, key, i, v, make.slots(tokens, kinds, i, template[i]), len(h))
-                         for i, v in enumerate(h.view(np.int64).tolist())]
-            out = pd.DataFrame(rows, columns=["item_id", "item_key", "item_pos", "h", "item_slots", "n_windows"])
+                rows += [(item, key, i, bool(f), v, make.slots(tokens, kinds, i, f, template[f, i]), h.shape[1])
+                         for f in (0, 1) for i, v in enumerate(h[f].view(np.int64).tolist())]
+            out = pd.DataFrame(rows, columns=["item_id", "item_key", "item_pos", "folded", "h", "item_slots", "n_windows"])
             yield out.astype({"item_id": "Int64"})
 
     items = benchmark.filter("text is not null").select(
         F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_key"), "text").distinct()
-    return items.mapInPandas(cut, "item_id long, item_key long, item_pos int, h long, item_slots array<string>, "
-                                  "n_windows int")
+    return items.mapInPandas(cut, "item_id long, item_key long, item_pos int, folded boolean, h long, "
+                                  "item_slots array<string>, n_windows int")
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
@@ -154,11 +174,12 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, window: int = WINDOW)
             rows = []
             for doc, key, text in zip(part["doc_id"], part["text_key"], part["text"]):
                 h, kinds, template = make.windows(text)
-                may = np.flatnonzero(bits[h & mask] & bits[(h >> np.uint64(32)) & mask])
-                if len(may):
+                may = bits[h & mask]
+                may &= bits[(h >> np.uint64(32)) & mask]
+                if may.any():
                     tokens = _tokens(text)
-                    rows += [(doc, key, i, v, make.slots(tokens, kinds, i, template[i]))
-                             for i, v in zip(may.tolist(), h[may].view(np.int64).tolist())]
+                    rows += [(doc, key, i, v, make.slots(tokens, kinds, i, f, template[f, i]))
+                             for f, i, v in zip(*(x.tolist() for x in np.nonzero(may)), h[may].view(np.int64).tolist())]
             out = pd.DataFrame(rows, columns=["doc_id", "text_key", "doc_pos", "h", "doc_slots"])
             yield out.astype({"doc_id": "Int64"})
 
@@ -179,14 +200,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     items = materialize(benchmark_windows(benchmark, window), "benchmark-windows")
     held = document_windows(docs, _bitmap(items), window)
     met = held.join(items, "h").select(
-        "doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos",
+        "doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", "folded",
+        (F.col("folded") & (F.col("item_slots") == F.col("doc_slots"))).alias("same"),
         (F.col("doc_pos") - F.col("item_pos")).alias("shift"),
         F.arrays_zip(F.col("item_slots").alias("i"), F.col("doc_slots").alias("d")).alias("slots"))
     pair = ["doc_id", "text_key", "item_id", "item_key", "n_windows"]
+    values = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
     aligned = met.groupBy(*pair, "shift").agg(
-        F.collect_set("item_pos").alias("pos"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    one_value = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["i"])))
-    return (aligned.filter(one_value).groupBy(*pair)
+        F.collect_set("item_pos").alias("pos"), values("slots").alias("slots"),
+        F.collect_set(F.when(~F.col("folded"), F.col("item_pos"))).alias("typed"),
+        values(F.when(~F.col("folded"), F.col("slots"))).alias("typed_slots"),
+        F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("same"))
+    one_value = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda s: s["i"])))
+    held_pos = (F.when(one_value("slots"), F.col("pos"))
+                .when(one_value("typed_slots"), F.array_union("typed", "same")).otherwise(F.array_except("same", "typed")))
+    return (aligned.withColumn("pos", held_pos).groupBy(*pair)
             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("pos")))).alias("n_matched"))
             .filter(F.col("n_matched") >= F.col("n_windows") * share)
             .select("doc_id", "text_key", "item_id", F.col("n_windows").cast("long").alias("n_windows"),

@@ -99,3 +99,27 @@ def test_empty(spark):
     d, b = spark.createDataFrame([(1, Q, "", 1, "")], DOCS), spark.createDataFrame([], ITEMS)
     assert leaks(d, b).count() == 0 and decontaminate(d, b).count() == 1
     assert leaks(spark.createDataFrame([], DOCS), spark.createDataFrame([(1, Q, "")], ITEMS)).count() == 0
+
+
+def test_copies_in_other_case(spark):
+    rng = random.Random(5)
+    items = [(1, Q, "x"), (2, "The old King of Spain met the Duke of Parma near Straße 5 in the year when the War began", "x")]
+    caps = Q.replace("12", "45").replace("7", "8").replace("kg", "pounds").upper()
+    docs = [(10 * i + k, filler(rng, 40) + " " + c + " " + filler(rng, 40), "h", 1, "s")
+            for i, q, _ in items for k, c in enumerate([q, q.upper(), q.lower(), q.title()])]
+    docs += [(30, caps, "h", 1, "s"), (31, MIXED.upper(), "h", 1, "s"), (32, " ".join(reversed(Q.upper().split())), "h", 1, "s")]
+    # one changed number makes the alignment's values conflict; the windows in other case are the item's word for word
+    far = "12 of the " + " ".join(rng.choice(["Red the", "Green of", "Blue warm", "Cold dark"]) for _ in range(20)) + " and 12 of them"
+    items.append((3, far, "x"))
+    docs += [(33, far[:-len("12 of them")].upper() + "13 of them", "h", 1, "s")]
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    want = {(10 * i + k, i) for i in (1, 2) for k in range(4)}
+    want.add((33, 3))
+    assert want | {(30, 1)} == got
+
+
+def test_unit_at_a_window_start_is_a_plain_word(spark):
+    item = "days of wine and roses they laugh and run away"
+    docs = spark.createDataFrame([(1, "after 3 DAYS of wine AND roses they laugh and run away home", "", 1, "")], DOCS)
+    rows = leaks(docs, spark.createDataFrame([(1, item, "")], ITEMS)).collect()
+    assert [(r.n_windows, r.n_matched) for r in rows] == [(6, 6)]
