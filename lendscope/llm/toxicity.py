@@ -5,8 +5,10 @@ text.  Every window of a text (one word between blanks, inside a fixed frame
 so that the coder can match its whole length) is compressed once against the
 ordinary dictionary and once against ordinary plus toxic; the difference of
 the two lengths says how much better toxic text explains the window.  Windows
-at calibrated thresholds are counted per text and a logistic curve, fitted on
-texts the dictionaries have not seen, turns the counts into a score.
+are counted per text at two steps of that gain, and so are those that the toxic
+dictionary holds whole (the coder's whole bytes hide a word that ordinary text
+nearly spells as well); a logistic curve turns the counts into a score; steps and curve are chosen on labelled texts that the
+dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 8_192
 MIN_SUPPORT = 3          # toxic texts a window must occur in
 CHANCE_WINDOWS = 0.5     # windows that may pass for telling by chance alone, expected number
-STEPS = (3, 5)           # window gains (bytes) that are counted
+STEPS = [(a, b) for a in (1, 2, 3, 4) for b in (3, 4, 5, 6) if a < b]      # gains (bytes) to choose from
+TOLD = 1000              # added to the memo of a window that the toxic dictionary holds whole
+FOLDS = 5                # each is scored with dictionaries of the others
 MOST = 8                 # bytes a window counts for at most
 MEMO_ENTRIES = 200_000
 TAIL = bytes([1, 2, 3, 4, 5, 6, 7, 8, 11])
@@ -53,6 +57,9 @@ class Gains:
         self.lead = ordinary[-600:-552]
         self.plain = self.coder(ordinary)
         self.both = self.coder(ordinary + toxic)
+        held = toxic.rstrip(b"\x01").rpartition(b"\x01")[2]
+        whole = held if held[:1] == b" " else held.partition(b" ")[2]        # the list may begin inside a word
+        self.telling = frozenset(whole.decode(errors="ignore").split())
         self.memo: dict[str, int] = {}
 
     @staticmethod
@@ -67,7 +74,7 @@ class Gains:
     def gain(self, window: str) -> int:
         framed = self.lead + b" " + window.encode() + b" " + TAIL
         g = len(self.plain.compress(framed)) - len(self.both.compress(framed))
-        self.memo[window] = g
+        self.memo[window] = g + TOLD * (bare(window) in self.telling)
         return g
 
     def of(self, text: str) -> np.ndarray:
@@ -79,14 +86,36 @@ class Gains:
             self.gain(w)
         return np.fromiter(map(memo.__getitem__, ws), dtype=np.int64, count=len(ws))
 
-    def features(self, text: str) -> list[float]:
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(gain of every window of one or more bytes, then the numbers of
+        windows and of different words that the toxic dictionary holds whole
+        and of all windows; best gain of every bare word)."""
         g = self.of(text)
-        low, high = (int((g >= s).sum()) for s in STEPS)
-        n = max(1, len(g))
-        kinds = len({bare(w) for w, v in zip(windows(text), g) if v >= STEPS[0]}) if low else 0
-        saved = float(np.minimum(g[g >= STEPS[0]], MOST).sum()) if low else 0.0
-        return [1.0, np.log1p(low), np.log1p(high), np.log1p(kinds), float(low > 0), float(kinds > 1), (low / n) ** 0.5,
-                np.log(n), float(g.max()) if low else 0.0, float(low > 1), (high / n) ** 0.5, saved / n ** 0.5]
+        told = g > TOLD // 2
+        g = g - TOLD * told
+        best: dict[str, int] = {}
+        some = np.flatnonzero((g > 0) | told)
+        ws = windows(text) if len(some) else []
+        for i in some.tolist():
+            w = bare(ws[i])
+            best[w] = max(int(g[i]), best.get(w, 0))
+        held = [int(told.sum()), len(self.telling.intersection(best)), len(g)]
+        return np.append(g[g > 0], held), np.fromiter(best.values(), dtype=np.int64, count=len(best))
+
+    def features(self, text: str, steps: tuple[int, int]) -> list[float]:
+        return features(self.counts(text), steps)
+
+
+def features(counts: tuple[np.ndarray, np.ndarray], steps: tuple[int, int]) -> list[float]:
+    g, words = counts[0][:-3], counts[1]
+    told, told_kinds, n = counts[0][-3:].tolist()
+    n = max(1, n)
+    low, high = (int((g >= s).sum()) for s in steps)
+    kinds = int((words >= steps[0]).sum())
+    saved = float(np.minimum(g[g >= steps[0]], MOST).sum())
+    return [1.0, np.log1p(low), np.log1p(high), np.log1p(kinds), float(low > 0), float(kinds > 1), (low / n) ** 0.5,
+            np.log(n), float(g.max()) if low else 0.0, float(low > 1), (high / n) ** 0.5, saved / n ** 0.5,
+            np.log1p(told), np.log1p(told_kinds), float(told_kinds > 1), (told / n) ** 0.5]
 
 
 @dataclass
@@ -97,6 +126,7 @@ class Model:
     toxic: bytes
     weights: list[float] | None
     base: float
+    steps: tuple[int, int] = STEPS[0]
 
 
 def _support(texts: list[str]) -> tuple[Counter, int]:
@@ -177,23 +207,33 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 5
 
 
 def fit(texts: list[str], toxic: list[int]) -> Model:
-    """Fit on labelled texts.  Each half is scored with dictionaries of the
-    other half, so the curve is calibrated on texts they have not seen."""
+    """Fit on labelled texts.  Each fold is scored with dictionaries of the
+    others, so curve and steps are chosen on texts they have not seen; the
+    steps are those of the likeliest curve."""
     y = np.array(toxic, dtype=float)
     base = float(y.mean()) if len(y) else 0.0
     split = lambda keep: ([t for t, v, k in zip(texts, toxic, keep) if k and v],
                           [t for t, v, k in zip(texts, toxic, keep) if k and not v])
     if len(y) == 0 or y.min() == y.max():
         return Model(b" " * 2048, b"", None, base)
-    half = np.array([zlib.crc32(t.encode()) & 1 for t in texts], dtype=bool)
+    fold = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts])
     rows: list = [None] * len(texts)
-    for side in (True, False):
-        gains = Gains(*dictionaries(*split(half == side)))
-        for i in np.flatnonzero(half != side):
-            rows[i] = gains.features(texts[i])
-    x = np.array(rows)
+    for f in range(FOLDS):
+        if not (fold == f).any():
+            continue
+        gains = Gains(*dictionaries(*split(fold != f)))
+        for i in np.flatnonzero(fold == f):
+            rows[i] = gains.counts(texts[i])
+
+    def curve(steps: tuple[int, int]) -> tuple[float, tuple[int, int], list[float]]:
+        x = np.array([features(c, steps) for c in rows])
+        w = _logistic(x, y)
+        z = np.clip(x @ w, -30, 30)
+        return float((y * z - np.log1p(np.exp(z))).sum()), steps, w.tolist()
+
+    _, steps, weights = max(map(curve, STEPS))
     ordinary, bad = dictionaries(*split(np.ones(len(texts), dtype=bool)))
-    return Model(ordinary, bad, _logistic(x, y).tolist(), base)
+    return Model(ordinary, bad, weights, base, steps)
 
 
 def scorer(model: Model):
@@ -206,7 +246,7 @@ def scorer(model: Model):
             if model.weights is None:
                 yield pd.Series(np.full(len(texts), model.base))
                 continue
-            x = np.array([gains.features(t or "") for t in texts]).reshape(len(texts), len(model.weights))
+            x = np.array([gains.features(t or "", model.steps) for t in texts]).reshape(len(texts), len(model.weights))
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))))
 
     return score

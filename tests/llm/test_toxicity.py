@@ -3,7 +3,7 @@
 import random
 import zlib
 
-from lendscope.llm.toxicity import FIT_CHARS, Gains, dictionaries, drop_toxic, score_toxicity
+from lendscope.llm.toxicity import FIT_CHARS, Gains, dictionaries, drop_toxic, fit, score_toxicity
 
 BAD = ["grumbler", "dolt", "wretch", "blighter"]
 
@@ -66,3 +66,23 @@ def test_a_learnt_window_gains_and_others_do_not():
     g = Gains(plain, toxic)
     assert all(g.gain(w) >= 3 for w in BAD)
     assert max(g.gain(w) for w in ("anro", "telmi", "sedurna")) < 3
+
+
+def test_words_that_ordinary_text_nearly_spells():
+    rng = random.Random(9)
+    parts = ["an", "tel", "ro", "mi", "sed", "ur", "na", "vol", "ke", "st"]
+    word = lambda n: "".join(rng.choice(parts) for _ in range(n))
+    bad = [word(5) for _ in range(12)]
+    texts, marks = [], []
+    for i in range(1200):
+        words = [word(rng.randint(1, 4)) for _ in range(rng.randint(20, 200))]
+        for _ in range(2 * (i % 5 == 0)):
+            words.insert(rng.randrange(len(words)), rng.choice(bad))
+        texts.append(" ".join(words))
+        marks.append(int(i % 5 == 0))
+    model = fit(texts[:800], marks[:800])
+    gains = Gains(model.ordinary, model.toxic)
+    z = [sum(a * b for a, b in zip(gains.features(t, model.steps), model.weights)) for t in texts[800:]]
+    said = [v >= 0.8473 for v in z]                                 # a score of 0.7
+    right = sum(s and m for s, m in zip(said, marks[800:]))
+    assert right >= 0.95 * sum(marks[800:]) and right >= 0.95 * sum(said)
