@@ -32,6 +32,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("table ul ol dl div section article body select menu".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset search".split())
+#: Of these, a form or fieldset and any element flagged for a word may be a wrapper.
+HARD_TAGS = BOILER_TAGS - {"form", "fieldset"} | {"header"}
 BOILER_WORDS = frozenset("""ad ads adbox adsense advert adverts advertisement advertising alert banner breadcrumb
 breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog
 disclaimer discussion disqus footer footnav form gdpr legal login masthead menu modal nav navbar navigation newsletter
@@ -49,23 +51,25 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 WEIGHTS = {"bias": -0.4, "article": 3.0, "content_name": 1.0, "paragraph": 0.8, "heading": 0.6, "item": -0.4,
            "length": 0.5, "sentence": 0.5, "links": -4.0, "boiler": -8.0}
 ADJACENT, SIBLING, REACH = 0.8, 0.6, 2.0
+WRAPPER_SHARE, WRAPPER_CHARS = 0.8, 200      # unlinked text a wrapper holds: of what no other flag marks, at least
 FAR = 16                  # steps at which an edge weighs nothing any more
 
 
 class Block:
-    __slots__ = ("parts", "linked", "tag", "holder", "boiler", "article", "named")
+    __slots__ = ("parts", "linked", "tag", "holder", "flag", "boiler", "article", "named")
 
     def __init__(self, top):
         self.parts, self.linked = [], 0
         self.holder = top.holder if top else None          # the block element around the text
         self.tag = self.holder.tag if self.holder else ""
-        self.boiler = bool(top and top.boiler)
+        self.flag = top.flag if top else None              # the nearest boilerplate element around it
+        self.boiler = bool(top and top.hidden)
         self.article = bool(top and top.article)
         self.named = bool(top and top.named)
 
 
 class Element:
-    __slots__ = ("tag", "holder", "parent", "depth", "boiler", "article", "named")
+    __slots__ = ("tag", "holder", "parent", "depth", "flag", "above", "soft", "hidden", "void", "article", "named")
 
     def __init__(self, tag, up, attrs):
         self.tag = tag
@@ -80,7 +84,15 @@ class Element:
             own = own or bool(bad - HEAD_WORDS) or bool((words & HEAD_WORDS) and not self.article)
         hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" \
             or "display:none" in attrs.get("style", "").replace(" ", "").lower()
-        self.boiler = own or hidden or bool(up and up.boiler)
+        self.hidden = hidden or bool(up and up.hidden)
+        self.above = up.flag if up else None
+        self.flag = self if own else self.above
+        self.soft = tag not in HARD_TAGS                   # may be a wrapper of the whole page or its main part
+        self.void = False
+        if not self.hidden and (tag == "main" or attrs.get("role") == "main"):
+            e = self.above
+            while e and not e.void:
+                e.void, e = e.soft, e.above
         self.named = bool(words & CONTENT_WORDS) or bool(up and up.named)
 
 
@@ -183,9 +195,40 @@ def blocks(html: str) -> list[Block]:
         if tag in RAW:
             found = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, pos)
             pos = found.start() if found else end
+    unwrap(out)
     return out
 
 
+def unwrap(found: list[Block]) -> None:
+    """Mark boilerplate blocks.  A flagged element does not mark what it holds
+    if it is a wrapper: it holds the main element, or nearly all the unlinked
+    text that no other flagged element marks.  Text under a wrapper counts for
+    the flagged element next above, so nested wrappers are seen one by one."""
+
+    def active(e: Element | None) -> Element | None:
+        path = []
+        while e and e.void:
+            path.append(e)
+            e = e.above
+        for p in path:
+            p.above = e                                    # paths stay short
+        return e
+
+    own: dict[Element | None, int] = {None: 0}
+    for b in found:
+        if not b.boiler:
+            e = active(b.flag)
+            own[e] = own.get(e, 0) + max(0, len("".join(b.parts).strip()) - b.linked)
+    e = max(own, key=own.get)
+    while e and e.soft and own[e] >= max(WRAPPER_CHARS, WRAPPER_SHARE * (own[e] + own[None])):
+        e.void = True
+        up = active(e.above)
+        own[up] = own.get(up, 0) + own.pop(e)
+        e = up
+    for b in found:
+        b.boiler = b.boiler or active(b.flag) is not None
+
+
 def log_odds(block: Block, text: str) -> float:
     w = WEIGHTS
     words = text.count(" ") + 1

@@ -65,3 +65,19 @@ def test_query_rows(spark):
     assert sorted(map(str, map(tuple, out))) == sorted(map(str, [
         (1, "u", want, len(want)), (1, "u", want, len(want)), (2, "u", "", 0), (None, None, "", 0)]))
     assert extract(spark.createDataFrame([], pages.schema)).count() == 0
+
+
+def test_wrappers_with_boilerplate_names():
+    long = "This is a long paragraph of plain text that says many things about the subject of the page. " * 2
+    story, want = f"<h1>A title</h1><p>{long}<p>{long}", ["A title", long.strip(), long.strip()]
+    rest = f"<div class='sidebar'><p>{long}</div><ul id=comments><li class=comment>{long}<li class=comment>{long}</ul>"
+    for tag, inner in [("form action=x", f"<article>{story}</article>"), ("div class='content-sidebar-wrap'", f"<div>{story}</div>"),
+                       ("div class='no-sidebar'", f"<main>{story}</main>"), ("div id=page class='has-comments'", f"<article>{story}</article>")]:
+        end = tag.split()[0]
+        page = f"<body><nav><a href=1>One</a></nav><{tag}>{inner}{rest}</{end}><footer>All rights reserved.</footer></body>"
+        assert main_text(page).split("\n\n") == want, tag
+        assert main_text(f"<form>{page}</form>").split("\n\n") == want, tag
+    # the same words on what is not a wrapper
+    assert main_text(f"<article>{story}</article>{rest}<form><p>{long}</form>").split("\n\n") == want
+    assert main_text(f"<div hidden><main>{story}</main></div>") == main_text(f"<aside>{story}</aside>") == ""
+    assert isinstance(main_text("<form class=ad>" * 20_000 + story + "<main><p>x" * 20_000), str)
