@@ -123,14 +123,24 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _patterns() -> Column:
-    """The lexical patterns of an occurrence: three units before it; two
-    before and one behind."""
+    """The lexical patterns of an occurrence: three, two and one units before
+    it, two or one before and one behind, two behind.  The short ones need all
+    their units."""
     units = lambda c: F.regexp_extract_all(F.regexp_replace(F.lower(c), "[0-9]", "0"), F.lit(UNIT), F.lit(1))
-    three = F.reverse(F.slice(F.reverse(units(F.col("left"))), 1, 3))
-    behind = F.coalesce(F.get(units(F.col("right")), F.lit(0)), F.lit(""))
-    two = F.reverse(F.slice(F.reverse(units(F.col("left"))), 1, 2))
-    return F.array(F.concat(F.lit("3 "), F.array_join(three, " ")),
-                   F.concat(F.lit("2 "), F.array_join(two, " "), F.lit(" _ "), behind))
+
+    def of(left: Column, right: Column) -> Column:
+        last = lambda n: F.array_join(F.reverse(F.slice(left, 1, n)), " ")
+        next_ = F.coalesce(F.get(right, F.lit(0)), F.lit(""))
+        return F.array_compact(F.array(
+            F.concat(F.lit("3 "), last(3)),
+            F.concat(F.lit("2 "), last(2), F.lit(" _ "), next_),
+            F.when(F.size(left) >= 2, F.concat(F.lit("2< "), last(2))),
+            F.when(F.size(left) >= 1, F.concat(F.lit("1< "), last(1))),
+            F.when((F.size(left) >= 1) & (F.size(right) >= 1), F.concat(F.lit("1 "), last(1), F.lit(" _ "), next_)),
+            F.when(F.size(right) >= 2, F.concat(F.lit(">2 "), F.array_join(F.slice(right, 1, 2), " ")))))
+
+    both = F.array(F.struct(F.reverse(units(F.col("left"))).alias("l"), units(F.col("right")).alias("r")))
+    return F.flatten(F.transform(both, lambda x: of(x["l"], x["r"])))      # the units are computed once
 
 
 def occurrences(spans: DataFrame) -> DataFrame:

@@ -90,3 +90,18 @@ def test_context_finds_what_the_patterns_miss(spark):
 
 def test_empty_table(spark):
     assert find_pii(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_short_labels_between_random_words(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for i in range(60):
+        rows.append((i, f"{word()} {word()} phone: +49 30 {1000000 + 37 * i} {word()} {word()}", "k", 1, "m"))
+        rows.append((100 + i, f"{word()} {word()} mail u{i}@{word()}.org now {word()}", "k", 1, "m"))
+        rows.append((200 + i, f"{word()} {word()} order {5000000 + 41 * i} {word()} {word()}", "k", 1, "m"))
+    rows += [(300, "so much phone: 555-1234567 we said", "k", 1, "m"), (301, "they said mail bob7@localhost now or", "k", 1, "m"),
+             (302, "they sent order 555-1234567 we said", "k", 1, "m")]
+    out = {r.doc_id: r for r in find_pii(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[300].spans == "phone:15:26" and out[301].spans == "email:15:29" and out[302].spans == ""
+    assert all(out[i].spans == expected(i, t)[-1] for i, t, *_ in rows[:180])
