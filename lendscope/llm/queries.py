@@ -108,3 +108,81 @@ def q_neighbours(spark, sf_dir):
 def q_pii(spark, sf_dir):
     from lendscope.llm.pii import find_pii
     return find_pii(table(spark, sf_dir, "documents"))
+
+
+@register("op11_arrow_fill_in_middle")
+def q_fill_in_middle(spark, sf_dir):
+    from lendscope.llm.fill_middle import fill_in_middle, restored
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+ORACLES["op11_arrow_fill_in_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units,
+             [CAST('0x' || substr(h, 1 + 8 * k, 8) AS BIGINT) for k in [0, 1, 2, 3]] AS r FROM d),
+c AS (SELECT *, len(units) AS n, least(r[1] % (len(units) + 1), r[2] % (len(units) + 1)) AS lo,
+             greatest(r[1] % (len(units) + 1), r[2] % (len(units) + 1)) AS hi FROM u),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90
+                     THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(units[1:lo], '') AS p, array_to_string(units[lo + 1:hi], '') AS m,
+             array_to_string(units[hi + 1:n], '') AS s FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+@register("op13_filter_interactions")
+def q_filter_audit(spark, sf_dir):
+    from lendscope.llm.filter_audit import filter_audit
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_interactions"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS w
+    FROM documents),
+f AS (
+    SELECT d.doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+           100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+           regexp_matches(t, '[#$%&*|]') AS dd,
+           coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS e,
+           coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+    FROM d LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+                      FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id),
+g AS (
+    SELECT part, [a, b, c, dd, e] AS fails, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+           count(*) FILTER (WHERE toxic) AS toxic
+    FROM f GROUP BY 1, 2),
+parts AS (SELECT DISTINCT part FROM g),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+    SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e
+    WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o, i AS step FROM o, l),
+r AS (
+    SELECT g.*, s.o, s.step, fails[o[step]] AS now, list_bool_or([fails[x] for x in o[1:step - 1]]) AS earlier
+    FROM g, s),
+x AS (
+    SELECT part, o, step,
+           sum(n) FILTER (WHERE NOT now AND NOT coalesce(earlier, false)) AS kept,
+           sum(n) FILTER (WHERE now AND NOT coalesce(earlier, false)) AS removed,
+           sum(n) FILTER (WHERE now AND coalesce(earlier, false)) AS redundant,
+           sum(n) FILTER (WHERE now AND len([y for y in fails if y]) = 1) AS unique_fails,
+           sum(good) FILTER (WHERE now AND NOT coalesce(earlier, false)) AS good_lost,
+           sum(toxic) FILTER (WHERE now AND NOT coalesce(earlier, false)) AS toxic_lost
+    FROM r GROUP BY 1, 2, 3)
+SELECT part, array_to_string([substr('ABCDE', i, 1) for i in o], '') AS filter_order, CAST(step AS INTEGER) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+FROM x
+"""
