@@ -186,3 +186,9 @@ SELECT part, array_to_string([substr('ABCDE', i, 1) for i in o], '') AS filter_o
        CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
 FROM x
 """
+
+
+@register("op12_ftrl_language_id")
+def q_language(spark, sf_dir):
+    from lendscope.llm.language_id import identify
+    return identify(table(spark, sf_dir, "documents"))
