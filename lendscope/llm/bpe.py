@@ -104,13 +104,14 @@ class PieceCounter:
         # A text where every space stands alone between two other characters
         # can be cut at its spaces: no pre-token then crosses such a place.
         self.wide = re.compile(r"\s\s|\A\s|\s\Z")
-        self.memo: dict[str, int] = {}
+        self.after: dict[str, int] = {}       # tokens of a piece that follows a space
+        self.first: dict[str, int] = {}       # tokens of a piece that starts its text
         self.words: dict[str, int] = {}
 
     def counts(self, texts: list[str]) -> list[int]:
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo, self.words = {}, {}
-        plan, fresh = [], set()
+        if len(self.after) + len(self.first) > MEMO_ENTRIES:
+            self.after, self.first, self.words = {}, {}, {}
+        plan, after, first = [], set(), set()
         for text in texts:
             extra = 0
             parts = [text]
@@ -121,33 +122,25 @@ class PieceCounter:
             for part in parts:
                 if part and not self.wide.search(part):
                     head, *rest = part.split(" ")
-                    lists.append((head, rest))
-                    fresh.update(rest)
-                    fresh.add("\0" + head)
+                    lists.append(([head], rest))
                 else:
-                    lists.append((None, self.pre.findall(part)))
-                    fresh.update("\0" + w for w in lists[-1][1])
+                    lists.append((self.pre.findall(part), []))
+                first.update(lists[-1][0])
+                after.update(lists[-1][1])
             plan.append((extra, lists))
-        self.learn([p for p in fresh if p not in self.memo])
-        memo = self.memo.__getitem__
-        out = []
-        for n, lists in plan:
-            for head, rest in lists:
-                if head is None:
-                    n += sum(map(memo, ["\0" + w for w in rest]))
-                else:
-                    n += memo("\0" + head) + sum(map(memo, rest))
-            out.append(n)
-        return out
-
-    def learn(self, pieces: list[str]) -> None:
-        """Memo keys: a piece that follows a space, or NUL and a piece that
-        starts its text."""
-        cut = [self.pre.findall(p[1:] if p[:1] == "\0" else " " + p) for p in pieces]
-        new = list({w for ws in cut for w in ws if w not in self.words})
-        self.words.update(zip(new, self.merger.counts([w.encode("utf-8", "surrogatepass") for w in new]).tolist()))
+        self.learn(self.first, "", first)
+        self.learn(self.after, " ", after)
+        of_first, of_after = self.first.__getitem__, self.after.__getitem__
+        return [n + sum(sum(map(of_first, heads)) + sum(map(of_after, rest)) for heads, rest in lists)
+                for n, lists in plan]
+
+    def learn(self, memo: dict[str, int], lead: str, pieces: set[str]) -> None:
+        new = [p for p in pieces if p not in memo]
+        cut = [self.pre.findall(lead + p) for p in new]
+        words = list({w for ws in cut for w in ws if w not in self.words})
+        self.words.update(zip(words, self.merger.counts([w.encode("utf-8", "surrogatepass") for w in words]).tolist()))
         get = self.words.__getitem__
-        self.memo.update((p, sum(map(get, ws))) for p, ws in zip(pieces, cut))
+        memo.update((p, sum(map(get, ws))) for p, ws in zip(new, cut))
 
 
 class WordIds:

@@ -14,13 +14,13 @@ from lendscope.llm.token_counts import count_tokens
 SCHEMA = "doc_id long, text string, length int, sequence_id string"
 ODD = ["", None, "<|endoftext|>", "a<|endoftext|>b <|startoftext|>", "  x  y\n\n z ", "\x1c a\x85b\xa0c　d",
        "don't we'll I'M x's", "日本語 テキスト 123٣٤", "ÀÉÎ İ ΣΑΣ ﬁ é", "a" * 5000, "1234567890 " * 3000,
-       "\0a b\0 c", "\t\ta\r\nb", "!!!???...   ---", " lead", "trail ", "👩‍👩‍👧 x‍"]
+       "\0a b\0 c", "a \0b", " \0", "\0 \0b \0b", "b \0b", "\t\ta\r\nb", "!!!???...   ---", " lead", "trail ", "👩‍👩‍👧 x‍"]
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
     rng = random.Random(5)
-    texts = ODD + ["".join(rng.choice("ab '\n\t .,1é\x1cß<|>S") for _ in range(rng.randint(1, 300))) for _ in range(300)]
+    texts = ODD + ["".join(rng.choice("ab '\n\t .,1é\x1cß<|>S\0 ") for _ in range(rng.randint(1, 300))) for _ in range(300)]
     rows = [(i, t, 1, "x") for i, t in enumerate(texts)] + [(None, "null id", 2, None), (3, "again", None, "y"),
                                                              (3, "again", None, "y")]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
