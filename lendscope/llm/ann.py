@@ -218,17 +218,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     if there are fewer.  A query's own id is never its candidate.
 
     See ``usable`` for null, zero, odd and repeated vectors.  An empty table,
-    or one without usable vectors, gives an empty result.  Columns other than
+    one without usable vectors and one without a query give an empty result.  Columns other than
     the id and the vector are not read.
     """
     clean = materialize(usable(vectors, id_col, vector_col), "vectors")
+    queries = clean.filter(is_query)
     n = clean.count()
-    if not n:
-        return clean.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
+    if not n or queries.isEmpty():
+        return clean.limit(0).select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     index = fit_index(clean, n)
     placed = materialize(assign(clean, index), "lists")
     list_rows = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    queries = clean.filter(is_query)
     wide = probes if probes is not None else tune(placed, queries, index, k)
     rows_of = np.array([list_rows.get(i, 0) for i in range(len(index.centroids))])
 

@@ -80,3 +80,9 @@ def test_scan_without_limit_is_exact():
         score = (x * x[q]).sum(1)
         score[q] = -np.inf
         assert c[r == q].tolist() == np.lexsort((ids, -score))[:5].tolist()
+
+
+def test_without_a_query(spark):
+    rows = [(i, [float(i), 1.0], 1, "s", 2) for i in range(1, 8)]
+    out = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0)
+    assert out.columns == ["query_id", "rank", "vec_id", "score"] and out.count() == 0
