@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lendscope.llm.common import materialize
+from lendscope.llm.common import free_name, materialize
 
 MIN_SITES = 10
 LG_K = 12                 # 4,096 registers: 1.6 % standard error
@@ -79,7 +79,9 @@ def _without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` (any columns, with doc_id, source and text) with boilerplate
-    lines taken out of ``text``; ``n_chars``, where present, follows.
+    lines taken out of ``text``; ``n_chars``, where present, follows.  One more
+    column, the last, has the number of removed lines: ``_n_gone``, with one
+    more leading underscore for as long as a column has that name.
 
     Blank lines are neither counted nor removed.  A null source is no site.
     Null text stays null.  A row without id never keeps a line in another's
@@ -87,23 +89,30 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     treated alike (all copies of the keeper keep the line).  An empty table
     gives an empty table.
     """
+    return _remove(docs, min_sites)[0]
+
+
+def _remove(docs: DataFrame, min_sites: int) -> tuple[DataFrame, str]:
+    """The result and the name of its column with the number of removed lines."""
     found = materialize(boilerplate_lines(docs, min_sites), "boilerplate")
+    mine = free_name(docs.columns, "_n_gone")       # the one helper column, whatever docs' columns are called
     gone = (_lines(docs).join(_salted(found), ["h1", "h2", "salt"])
             .filter(F.col("keeper").isNotNull() & ~F.col("doc").eqNullSafe(F.col("keeper")))
-            .groupBy(F.col("doc").alias("_gone_doc"), F.col("text_key").alias("_gone_key"))
-            .agg(F.collect_set("pos").alias("_gone")))
-    marked = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_doc"])
-                       & (F.xxhash64(docs["text"]) == gone["_gone_key"]), "left")
-    hit = F.col("_gone").isNotNull()
-    new = F.when(hit, _without(F.when(hit, docs["text"]), F.col("_gone"))).otherwise(docs["text"])
-    columns = [new.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    out = marked.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_n_gone"))
+            .groupBy("doc", "text_key").agg(F.collect_set("pos").alias("pos"))
+            .select(F.struct("doc", "text_key", "pos").alias(mine)))
+    marked = docs.join(gone, docs["doc_id"].eqNullSafe(gone[mine]["doc"])
+                       & (F.xxhash64(docs["text"]) == gone[mine]["text_key"]), "left")
+    hit = F.col(mine).isNotNull()
+    new = F.when(hit, _without(F.when(hit, docs["text"]), F.col(mine)["pos"])).otherwise(docs["text"])
+    columns = [new.alias(c) if c == "text" else docs[c] for c in docs.columns]
+    out = marked.select(*columns, F.coalesce(F.size(F.col(mine)["pos"]), F.lit(0)).cast("long").alias(mine))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_gone") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(mine) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))
-    return out
+    return out, mine
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``remove_boilerplate`` with the columns of ``docs`` alone."""
-    return remove_boilerplate(docs, min_sites).drop("_n_gone")
+    out, mine = _remove(docs, min_sites)
+    return out.drop(mine)

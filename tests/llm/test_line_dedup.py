@@ -68,3 +68,14 @@ def test_removed_counts_and_columns(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert dedup_lines(docs).count() == 0 and boilerplate_lines(docs).count() == 0
+
+
+def test_columns_named_like_the_helpers(spark):
+    clash = SCHEMA.replace("keeper", "_gone").replace("pos", "_n_gone") + ", doc int, text_key int, removed int, `__n_gone` int"
+    rows = [(i, f"same line\nown {i}", f"s{i}", 5, "x", 1, 2, 3, 4, 5) for i in range(12)] + [(None, None, None, None) + (None,) * 6]
+    docs = spark.createDataFrame(rows, clash)
+    out = dedup_lines(docs)
+    assert out.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in out.collect()} == (
+        {(0, "same line\nown 0"), (None, None)} | {(i, f"own {i}") for i in range(1, 12)})
+    assert remove_boilerplate(docs).columns == docs.columns + ["___n_gone"]
