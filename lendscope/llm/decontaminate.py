@@ -31,7 +31,11 @@ MIN_LITERALS = 2          # a window with fewer plain words keeps its values in
 BITMAP_BITS = 1 << 23     # filter of the benchmark's windows that every task holds (1 MB)
 MEMO_ENTRIES = 200_000
 
-TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£]")
+SHORTEST_PASSAGE = 3      # an item of fewer tokens names no passage: it is met by documents that are the item
+#: Blocks of scripts written without blanks (Thai to Burmese, Khmer, kana, Han); a code point is a token.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|[{UNSPACED}]|[^\W\d_{UNSPACED}]+(?:['’][^\W\d_{UNSPACED}]+)*|[%$€£]")
+MEMO_CHARS = 64           # a longer piece between blanks is not kept
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand
 million billion""".split())
@@ -83,42 +87,48 @@ class Templates:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         memo, pieces = self.memo, text.split()
+        long = {}
         for p in {p for p in pieces if p not in memo}:
-            memo[p] = np.array([token_id(t) for t in TOKEN.findall(p)], dtype="<u8").tobytes()
-        return np.frombuffer(b"".join(map(memo.__getitem__, pieces)), dtype="<u8")
+            (memo if len(p) <= MEMO_CHARS else long)[p] = np.array([token_id(t) for t in TOKEN.findall(p)], dtype="<u8").tobytes()
+        known = map(memo.__getitem__, pieces) if not long else (memo.get(p) or long.get(p, b"") for p in pieces)
+        return np.frombuffer(b"".join(known), dtype="<u8")
 
     def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(template and folded hash per window, kind per token, whether a
         window has placeholders under either).  A folded hash depends on its
         own window alone: a unit is one only behind a number of the window."""
-        ids = self.ids(text)
-        n = len(ids) - self.window + 1
+        return self.cut(self.ids(text), self.window)
+
+    def cut(self, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(ids) - window + 1
         kinds = (ids & np.uint64(3)).astype(np.int64)
         after = np.flatnonzero(kinds[:-1] == NUMBER) + 1
         if len(after):
             kinds[after[np.isin(ids[after], UNIT_IDS)]] = UNIT
         if n <= 0:
             return np.zeros((2, 0), dtype=np.uint64), kinds, np.zeros((2, 0), dtype=bool)
-        enough = lambda plain: plain[self.window:] - plain[:-self.window]
+        enough = lambda plain: plain[window:] - plain[:-window]
+        seed = 16 * (self.window - window)                    # windows of different lengths do not meet
         word = (kinds == LITERAL) | (kinds == NAME)
         typed = enough(np.concatenate(([0], np.cumsum(kinds == LITERAL)))) >= MIN_LITERALS
         folded = enough(np.concatenate(([0], np.cumsum(word)))) + (kinds[:n] == UNIT) >= MIN_LITERALS
         exact, every = ids >> np.uint64(2), slice(0, n)
         h = np.empty((2, n), dtype=np.uint64)
-        h[0] = _hash(np.where(kinds == LITERAL, ids, _PLACEHOLDER[kinds]), every, self.window, 1)
-        h[1] = _hash(np.where(word, exact, _PLACEHOLDER[kinds]), every, self.window, 3,
+        h[0] = _hash(np.where(kinds == LITERAL, ids, _PLACEHOLDER[kinds]), every, window, seed + 1)
+        h[1] = _hash(np.where(word, exact, _PLACEHOLDER[kinds]), every, window, seed + 3,
                      np.where(kinds == NUMBER, _PLACEHOLDER[NUMBER], exact))
         for f, template in enumerate((typed, folded)):
             few = np.flatnonzero(~template)
             if len(few):
-                h[f, few] = _hash(exact, few, self.window, 2 + 2 * f)
+                h[f, few] = _hash(exact, few, window, seed + 2 + 2 * f)
         return h, kinds, np.array([typed, folded])
 
-    def slots(self, tokens: list[str], kinds: np.ndarray, at: int, folded: bool, template: bool) -> list[str]:
+    @staticmethod
+    def slots(tokens: list[str], kinds: np.ndarray, at: int, folded: bool, template: bool, window: int) -> list[str]:
         if not template:
             return []
         values = (NUMBER, UNIT) if folded else (NUMBER, NAME, UNIT)
-        return [tokens[at + k].casefold() for k in range(self.window)
+        return [tokens[at + k].casefold() for k in range(window)
                 if kinds[at + k] in values and not (folded and k == 0 and kinds[at] == UNIT)]
 
 
@@ -127,25 +137,30 @@ def _tokens(text: str) -> list[str]:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, item_key, item_pos, folded, h, item_slots, n_windows), a row
-    per window with its template's hash and one with its folded hash."""
+    """(item_id, item_key, item_pos, folded, h, item_slots, n_windows, size), a
+    row per window of ``size`` tokens with its template's hash and one with its
+    folded hash.  The whole of a shorter item is its one window."""
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = Templates(window)
         for part in parts:
             rows = []
             for item, key, text in zip(part["item_id"], part["item_key"], part["text"]):
-                h, kinds, template = make.windows(text)
+                ids = make.ids(text)
+                if not len(ids):
+                    continue
+                size = min(window, len(ids))
+                h, kinds, template = make.cut(ids, size)
                 tokens = _tokens(text)
-                rows += [(item, key, i, bool(f), v, make.slots(tokens, kinds, i, f, template[f, i]), h.shape[1])
+                rows += [(item, key, i, bool(f), v, make.slots(tokens, kinds, i, f, template[f, i], size), h.shape[1], size)
                          for f in (0, 1) for i, v in enumerate(h[f].view(np.int64).tolist())]
-            out = pd.DataFrame(rows, columns=["item_id", "item_key", "item_pos", "folded", "h", "item_slots", "n_windows"])
+            out = pd.DataFrame(rows, columns=["item_id", "item_key", "item_pos", "folded", "h", "item_slots", "n_windows", "size"])
             yield out.astype({"item_id": "Int64"})
 
     items = benchmark.filter("text is not null").select(
         F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_key"), "text").distinct()
     return items.mapInPandas(cut, "item_id long, item_key long, item_pos int, folded boolean, h long, "
-                                  "item_slots array<string>, n_windows int")
+                                  "item_slots array<string>, n_windows int, size int")
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
@@ -162,24 +177,28 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def document_windows(docs: DataFrame, bitmap: np.ndarray, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_key, doc_pos, h, doc_slots) of the windows that may be
-    the benchmark's; the bitmap only saves work, the join decides."""
+def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
+    """(doc_id, text_key, doc_pos, h, doc_slots) of the windows of those sizes
+    that may be the benchmark's; the bitmap only saves work, the join decides."""
     packed = np.packbits(bitmap)
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make, bits = Templates(window), np.unpackbits(packed).astype(bool)
+        make, bits = Templates(max(sizes)), np.unpackbits(packed).astype(bool)
         mask = np.uint64(len(bits) - 1)
         for part in parts:
             rows = []
             for doc, key, text in zip(part["doc_id"], part["text_key"], part["text"]):
-                h, kinds, template = make.windows(text)
-                may = bits[h & mask]
-                may &= bits[(h >> np.uint64(32)) & mask]
-                if may.any():
-                    tokens = _tokens(text)
-                    rows += [(doc, key, i, v, make.slots(tokens, kinds, i, f, template[f, i]))
-                             for f, i, v in zip(*(x.tolist() for x in np.nonzero(may)), h[may].view(np.int64).tolist())]
+                ids = make.ids(text)
+                for size in sizes:
+                    if size < SHORTEST_PASSAGE and len(ids) != size:
+                        continue
+                    h, kinds, template = make.cut(ids, size)
+                    may = bits[h & mask]
+                    may &= bits[(h >> np.uint64(32)) & mask]
+                    if may.any():
+                        tokens = _tokens(text)
+                        rows += [(doc, key, i, v, make.slots(tokens, kinds, i, f, template[f, i], size))
+                                 for f, i, v in zip(*(x.tolist() for x in np.nonzero(may)), h[may].view(np.int64).tolist())]
             out = pd.DataFrame(rows, columns=["doc_id", "text_key", "doc_pos", "h", "doc_slots"])
             yield out.astype({"doc_id": "Int64"})
 
@@ -192,13 +211,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     """(doc_id, text_key, item_id, n_windows, n_matched) of every document and
     item of which it holds ``share`` or more of the windows.
 
-    Null texts hold nothing; a text shorter than a window has none and an item
-    shorter than a window is never reported.  Ids may be null or repeat: rows
+    The one window of an item shorter than ``window`` tokens is the whole item;
+    an item of one or two tokens leaks only into a document that is nothing
+    else.  In scripts written without blanks every code point is a token.  Null
+    texts and texts without a token hold nothing and leak nowhere.  Ids may be null or repeat: rows
     are told apart by id and text, wholly equal rows give one result.  Either
     table may be empty; other columns are not read.
     """
     items = materialize(benchmark_windows(benchmark, window), "benchmark-windows")
-    held = document_windows(docs, _bitmap(items), window)
+    sizes = sorted({r["size"] for r in items.select("size").distinct().collect()} | {window}, reverse=True)
+    held = document_windows(docs, _bitmap(items), sizes)
     met = held.join(items, "h").select(
         "doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", "folded",
         (F.col("folded") & (F.col("item_slots") == F.col("doc_slots"))).alias("same"),

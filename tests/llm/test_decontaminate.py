@@ -29,7 +29,7 @@ def test_planted(spark):
             (14, f(9000) + " what is the capital of the old kingdom by the northern sea " + f(30_000), "h", 1, "s"),
             (15, "what is the capital of the old", "h", 1, "s"), (16, None, None, None, None), (17, "", "h", 1, "s"),
             (None, "an item that has no id but has enough words to be told", "h", 1, "s"),
-            (18, "too short", "h", 1, "s"), (19, f(4000), "h", 1, "s"), (10, f(20), "h", 1, "s"),
+            (18, "it is too short", "h", 1, "s"), (19, f(4000), "h", 1, "s"), (10, f(20), "h", 1, "s"),
             (20, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "h", 1, "s"), (21, "17 18 19 20 21 22 23", "h", 1, "s")]
     docs = docs + [docs[0]]
     d, b = spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(items, ITEMS)
@@ -123,3 +123,17 @@ def test_unit_at_a_window_start_is_a_plain_word(spark):
     docs = spark.createDataFrame([(1, "after 3 DAYS of wine AND roses they laugh and run away home", "", 1, "")], DOCS)
     rows = leaks(docs, spark.createDataFrame([(1, item, "")], ITEMS)).collect()
     assert [(r.n_windows, r.n_matched) for r in rows] == [(6, 6)]
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    rng = random.Random(6)
+    items = [(1, "Name four gases", "x"), (2, "水的沸点是多少度呢", "x"), (3, "Paris", "x"), (4, "too short", "x"),
+             (5, "2 + 2", "x"), (6, "ประเทศไทย", "x"), (7, "...", "x"), (8, "list 3 prime numbers", "x")]
+    f = lambda n: filler(rng, n)
+    docs = [(10, f(30) + " name four GASES " + f(30), "h", 1, "s"), (11, f(9) + "。水的沸点是多少度呢？" + f(9), "h", 1, "s"),
+            (12, "we went to Paris in May", "h", 1, "s"), (13, "Paris", "h", 1, "s"), (14, "it is too short", "h", 1, "s"),
+            (15, "Too short!", "h", 1, "s"), (16, "name five gases", "h", 1, "s"), (17, "水的温度是多少度", "h", 1, "s"),
+            (18, "ในประเทศไทยมี", "h", 1, "s"), (19, "please list 5 prime numbers now", "h", 1, "s"), (20, "...", "h", 1, "s"),
+            (21, "name four", "h", 1, "s"), (22, "水" * 100_000, "h", 1, "s")]
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {(10, 1), (11, 2), (13, 3), (15, 4), (16, 1), (18, 6), (19, 8)}      # 16 and 19: another number
