@@ -130,18 +130,22 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None,
     key = sum((F.shiftleft((lane(j) + max_bits + 1).cast("long"), 8 * j) for j in range(1, parts)),
               (lane(0) + max_bits + 1).cast("long"))
     keyed = prints.select("fp", key.alias("key"))
-    large = (keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > tile)
-             .select("key", F.ceil(F.col("n") / tile).alias("pieces")))
+    sizes = materialize(keyed.groupBy("key").agg(F.ceil(F.count("*") / tile).alias("pieces")), "tile-sizes")
     cut = F.pmod(F.xxhash64("fp"), F.coalesce(F.col("pieces"), F.lit(1)))
-    tiles = materialize(keyed.join(large, "key", "left").select("key", cut.alias("piece"), "fp")
+    tiles = materialize(keyed.join(sizes.filter("pieces > 1"), "key", "left").select("key", cut.alias("piece"), "fp")
                         .groupBy("key", "piece").agg(F.collect_list("fp").alias("fps")), "tiles")
+    # The pairs are listed without their fingerprints first, so that a pair and not a key is the unit of work.
     near = F.explode(F.array(*[F.lit(o).cast("long") for o in half_offsets(parts, max_bits)]))
-    left = tiles.select(F.col("key").alias("key_a"), F.col("piece").alias("piece_a"), F.col("fps").alias("a"),
-                        near.alias("step")).withColumn("key", F.col("key_a") + F.col("step")).drop("step")
-    right = tiles.withColumnRenamed("fps", "b")
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
     own = F.col("key") == F.col("key_a")
-    pairs = left.join(right, "key").filter(~own | (F.col("piece_a") <= F.col("piece"))) \
-        .select("a", "b", (own & (F.col("piece_a") == F.col("piece"))).alias("same"))
+    listed = (tiles.select(F.col("key").alias("key_a"), F.col("piece").alias("piece_a"), near.alias("step"))
+              .select("key_a", "piece_a", (F.col("key_a") + F.col("step")).alias("key"))
+              .join(sizes, "key").select("key_a", "piece_a", "key", pieces.alias("piece"))
+              .filter(~own | (F.col("piece_a") <= F.col("piece"))))
+    pairs = (listed.join(tiles.withColumnRenamed("fps", "b"), ["key", "piece"])
+             .join(tiles.select(F.col("key").alias("key_a"), F.col("piece").alias("piece_a"), F.col("fps").alias("a")),
+                   ["key_a", "piece_a"])
+             .select("a", "b", (own & (F.col("piece_a") == F.col("piece"))).alias("same")))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
