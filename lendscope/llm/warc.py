@@ -25,6 +25,8 @@ from lendscope.llm.common import materialize, new_folder
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 1 << 30          # an archive is closed beyond this size
 RANGE_BYTES = 8 << 20         # records that start within so many bytes are read by one task
+SALTS = 16                   # the rows of one payload are spread over so many keys
+MAX_READ_TASKS = 20_000
 GAP_BYTES = 64 << 10          # ranges with at most so many bytes between them are read at once
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = ("page_id long, url string, file string, offset long, length long, record_type string, payload_digest string, "
@@ -82,7 +84,9 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_R
     copies = (rows.filter(F.col("size") >= min_revisit_bytes).groupBy("digest")
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null"))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    marked = (rows.join(copies.drop("n"), "digest", "left")
+    every = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("salt")
+    marked = (rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+              .join(copies.select("digest", "first", every), ["digest", "salt"], "left")
               .select("page_id", "url", F.when(~revisit, F.col("html")).alias("html"), "digest", "size",
                       F.when(revisit, F.col("first")).alias("refers_to")))
     date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
@@ -173,7 +177,10 @@ def read_records(index: DataFrame, with_payload: bool = True, range_bytes: int =
     schema = "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long" \
              + ", payload string" * with_payload
     places = index.select("file", "offset", "length", F.floor(F.col("offset") / range_bytes).alias("range"))
-    return places.groupBy("file", "range").applyInPandas(fetch, schema)
+    # Only index rows are shuffled, so their size says nothing of the work: the bytes to read set the tasks.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = int(min(MAX_READ_TASKS, max(index.sparkSession.sparkContext.defaultParallelism, -(-total // range_bytes))))
+    return places.repartition(tasks, "file", "range").groupBy("file", "range").applyInPandas(fetch, schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
