@@ -1,14 +1,16 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are learnt, one from ordinary and one from toxic
-text.  Every window of a text (one word between blanks, inside a fixed frame
-so that the coder can match its whole length) is compressed once against the
-ordinary dictionary and once against ordinary plus toxic; the difference of
-the two lengths says how much better toxic text explains the window.  Windows
-are counted per text at two steps of that gain, and so are those that the toxic
-dictionary holds whole (the coder's whole bytes hide a word that ordinary text
-nearly spells as well); a logistic curve turns the counts into a score; steps and curve are chosen on labelled texts that the
-dictionaries have not seen.
+text.  Every window of a text (the words that fill 12 bytes or more; each
+window begins half-way into the one before) is compressed once against the
+ordinary dictionary and once against toxic plus ordinary; the difference of
+the two lengths says how much better toxic text explains the window.  The
+ordinary dictionary lies nearer in both, so the toxic one is drawn on only for
+what ordinary text does not explain as well.  The
+windows of a text are counted at every step of that gain and a logistic curve,
+fitted on labelled texts that the dictionaries have not seen, turns the counts
+into a score.  Nothing but compression lengths and the number of windows
+enters a score.
 """
 
 from __future__ import annotations
@@ -27,95 +29,86 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT_ROWS = 6000          # bound of the labelled sample the classifier is fitted on
-FIT_CHARS = 20_000       # of each sampled text, for the fit alone
-ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 8_192
-MIN_SUPPORT = 3          # toxic texts a window must occur in
-CHANCE_WINDOWS = 0.5     # windows that may pass for telling by chance alone, expected number
-STEPS = [(a, b) for a in (1, 2, 3, 4) for b in (3, 4, 5, 6) if a < b]      # gains (bytes) to choose from
-TOLD = 1000              # added to the memo of a window that the toxic dictionary holds whole
+FIT_ROWS = 4000          # bound of the labelled sample the classifier is fitted on; its texts are whole
+WINDOW_BYTES = 12
+ORDINARY_BYTES = 64_000
+TOXIC_BYTES = 32_768     # with the ordinary one well within the coder's window of 256 KB
+PIECE_BYTES = 256        # whole texts are cut into samples of so many bytes for the dictionary trainer
+MIN_SUPPORT = 3          # toxic texts a word must occur in to be a sample of the toxic dictionary
+CHANCE_WORDS = 0.5       # words that may pass for such by chance alone, expected number
+STEPS = range(1, 9)      # gains (bytes) at which windows are counted
 FOLDS = 5                # each is scored with dictionaries of the others
-MOST = 8                 # bytes a window counts for at most
 MEMO_ENTRIES = 200_000
-TAIL = bytes([1, 2, 3, 4, 5, 6, 7, 8, 11])
+TAIL = bytes([1, 2, 3, 4, 5, 6, 7, 8, 11])      # the coder starts no match in the last bytes of its input
 CUT = 0.7
 
 
-def windows(text: str) -> list[str]:
-    return text.lower().split()
+def windows(text: str, size: int = WINDOW_BYTES) -> Iterator[str]:
+    """Runs of words of ``size`` bytes or more (the last may be shorter), each
+    from the middle of the one before, so that every word is in one at least."""
+    words = text.lower().split()
+    length = [len(w.encode("utf-8", "surrogatepass")) + 1 for w in words]
+    i, n = 0, len(words)
+    while i < n:
+        j, held = i, 0
+        while j < n and held < size:
+            held += length[j]
+            j += 1
+        yield " ".join(words[i:j])
+        if j == n:
+            return
+        i += (j - i + 1) // 2
 
 
-def bare(window: str) -> str:
-    return window.strip(string.punctuation)
+def bare(word: str) -> str:
+    return word.strip(string.punctuation)
 
 
 class Gains:
     """Bytes that the toxic dictionary saves on a window."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.lead = ordinary[-600:-552]
+        # A lead that both dictionaries hold: without it a short window is stored raw, and small gains are lost.
+        self.lead = ordinary[-600:-552] + b" "
         self.plain = self.coder(ordinary)
-        self.both = self.coder(ordinary + toxic)
-        held = toxic.rstrip(b"\x01").rpartition(b"\x01")[2]
-        whole = held if held[:1] == b" " else held.partition(b" ")[2]        # the list may begin inside a word
-        self.telling = frozenset(whole.decode(errors="ignore").split())
+        self.both = self.coder(toxic + ordinary)
         self.memo: dict[str, int] = {}
 
     @staticmethod
     def coder(content: bytes) -> zstd.ZstdCompressor:
         how = zstd.ZstdCompressionParameters(
-            format=zstd.FORMAT_ZSTD1_MAGICLESS, compression_level=3, strategy=zstd.STRATEGY_DFAST, min_match=4,
-            window_log=17, hash_log=16, chain_log=16, write_content_size=0, write_checksum=0, write_dict_id=0)
+            format=zstd.FORMAT_ZSTD1_MAGICLESS, compression_level=3, strategy=zstd.STRATEGY_BTLAZY2, min_match=3,
+            window_log=18, hash_log=17, chain_log=18, search_log=5, target_length=64,
+            write_content_size=0, write_checksum=0, write_dict_id=0)
         d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(compression_params=how)
         return zstd.ZstdCompressor(dict_data=d, compression_params=how)
 
     def gain(self, window: str) -> int:
-        framed = self.lead + b" " + window.encode() + b" " + TAIL
-        g = len(self.plain.compress(framed)) - len(self.both.compress(framed))
-        self.memo[window] = g + TOLD * (bare(window) in self.telling)
-        return g
+        framed = self.lead + window.encode("utf-8", "surrogatepass") + b" " + TAIL
+        return len(self.plain.compress(framed)) - len(self.both.compress(framed))
 
     def of(self, text: str) -> np.ndarray:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        ws = windows(text)
-        memo = self.memo
-        for w in {w for w in ws if w not in memo}:
-            self.gain(w)
-        return np.fromiter(map(memo.__getitem__, ws), dtype=np.int64, count=len(ws))
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(gain of every window of one or more bytes, then the numbers of
-        windows and of different words that the toxic dictionary holds whole
-        and of all windows; best gain of every bare word)."""
-        g = self.of(text)
-        told = g > TOLD // 2
-        g = g - TOLD * told
-        best: dict[str, int] = {}
-        some = np.flatnonzero((g > 0) | told)
-        ws = windows(text) if len(some) else []
-        for i in some.tolist():
-            w = bare(ws[i])
-            best[w] = max(int(g[i]), best.get(w, 0))
-        held = [int(told.sum()), len(self.telling.intersection(best)), len(g)]
-        return np.append(g[g > 0], held), np.fromiter(best.values(), dtype=np.int64, count=len(best))
-
-    def features(self, text: str, steps: tuple[int, int]) -> list[float]:
-        return features(self.counts(text), steps)
-
-
-def features(counts: tuple[np.ndarray, np.ndarray], steps: tuple[int, int]) -> list[float]:
-    g, words = counts[0][:-3], counts[1]
-    told, told_kinds, n = counts[0][-3:].tolist()
-    n = max(1, n)
-    low, high = (int((g >= s).sum()) for s in steps)
-    kinds = int((words >= steps[0]).sum())
-    saved = float(np.minimum(g[g >= steps[0]], MOST).sum())
-    return [1.0, np.log1p(low), np.log1p(high), np.log1p(kinds), float(low > 0), float(kinds > 1), (low / n) ** 0.5,
-            np.log(n), float(g.max()) if low else 0.0, float(low > 1), (high / n) ** 0.5, saved / n ** 0.5,
-            np.log1p(told), np.log1p(told_kinds), float(told_kinds > 1), (told / n) ** 0.5]
+        memo, out = self.memo, []
+        for w in windows(text):
+            g = memo.get(w)
+            if g is None:
+                g = self.gain(w)
+                if len(memo) <= MEMO_ENTRIES and len(w) <= 4 * WINDOW_BYTES:
+                    memo[w] = g
+            out.append(g)
+        return np.array(out, dtype=np.int64)
+
+
+def features(gains: np.ndarray) -> list[float]:
+    """Windows at each step of the gain: their number, their share, and
+    whether there are several; the best gain; the number of windows."""
+    n = max(1, len(gains))
+    at = [int((gains >= s).sum()) for s in STEPS]
+    return [1.0, log_(n), float(max(0, gains.max())) if len(gains) else 0.0, *np.log1p(at), *np.sqrt(np.array(at) / n),
+            *(float(k > 1) for k in at)]
 
 
 @dataclass
@@ -126,23 +119,29 @@ class Model:
     toxic: bytes
     weights: list[float] | None
     base: float
-    steps: tuple[int, int] = STEPS[0]
+
+
+def _different(texts: list[str]) -> Iterator[set[str]]:
+    """Words of the texts that are no near copies of an earlier one: a text is
+    one if earlier texts hold half of its five-word shingles (of those, one in
+    eight, by hash, is looked at).  Else the chance words of a text with many
+    copies would pass for telling ones."""
+    seen: set[int] = set()
+    for text in dict.fromkeys(texts):
+        words = text.lower().split()
+        marks = {h for i in range(len(words) - 4)
+                 if (h := zlib.crc32(" ".join(words[i:i + 5]).encode("utf-8", "surrogatepass"))) % 8 == 0}
+        if marks and 2 * len(marks & seen) >= len(marks):
+            continue
+        seen |= marks
+        yield {b for w in words if (b := bare(w))}
 
 
 def _support(texts: list[str]) -> tuple[Counter, int]:
-    """Texts that hold each word, and their number; near copies of an earlier
-    text (half of the eight words of lowest hash in common) are left out."""
-    seen: dict[int, list[int]] = {}
+    """Different texts that hold each word, and their number."""
     count: Counter = Counter()
     kept = 0
-    for text in texts:
-        words = {b for w in windows(text) if (b := bare(w))}
-        sign = sorted(zlib.crc32(w.encode()) for w in words)[:8]
-        shared = Counter(k for h in sign for k in seen.get(h, ()))
-        if sign and shared and max(shared.values()) * 2 >= len(sign):
-            continue
-        for h in sign:
-            seen.setdefault(h, []).append(kept)
+    for words in _different(texts):
         count.update(words)
         kept += 1
     return count, kept
@@ -171,24 +170,24 @@ def tail(hits: int, texts: int, share: float) -> float:
 
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionary contents.  The toxic one is trained on the
-    windows that toxic texts hold far more often than ordinary texts do and
-    ends with those windows themselves, the most telling last, laid three
-    times because the coder indexes every third position."""
+    """(ordinary, toxic) dictionary contents.  The ordinary one is trained on
+    whole ordinary texts.  The samples of the toxic one are the words that
+    toxic texts hold far more often than ordinary texts do, as often as toxic
+    texts hold them; the trainer may drop rare ones, so each follows once more,
+    the most telling last."""
     (a, n_toxic), (b, n_ordinary) = _support(toxic), _support(ordinary)
     share = min(0.999, max(0.001, n_toxic / max(1, n_toxic + n_ordinary)))
     odds = [(tail(a[w], a[w] + b[w], share), w) for w in a if a[w] >= MIN_SUPPORT and a[w] > share * (a[w] + b[w])]
-    telling = [w for p, w in sorted(odds, reverse=True) if p * len(odds) <= CHANCE_WINDOWS]
-    plain = sorted(w for w in b if w not in set(telling))
-    lead = _train(ORDINARY_BYTES, [f" {w} ".encode() for w in plain])
+    telling = [w for p, w in sorted(odds, reverse=True) if p * len(odds) <= CHANCE_WORDS]
+    whole = [t.lower().encode("utf-8", "surrogatepass") for t in ordinary]
+    lead = _train(ORDINARY_BYTES, [t[i:i + PIECE_BYTES] for t in whole for i in range(0, len(t), PIECE_BYTES)])
     if len(lead) < 1024:
         lead = (lead + b" the of and in to a is that " * 64)[:2048]
     if not telling:
         return lead, b""
-    trained = _train(TOXIC_BYTES // 2, [f" {w} ".encode() for w in telling for _ in range(a[w])])
-    words = "".join(f" {w}" for w in telling).encode()[-TOXIC_BYTES:] + b" "
-    pad = b"\x01" * (1 + (len(words) % 3 == 2))
-    return lead, trained + pad + words + pad + words + pad + words + pad
+    samples = [f" {w} ".encode("utf-8", "surrogatepass") for w in telling]
+    trained = _train(TOXIC_BYTES // 8, [s for w, s in zip(telling, samples) for _ in range(a[w])])
+    return lead, (trained + b"".join(s[:-1] for s in samples) + b" ")[-TOXIC_BYTES:]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> np.ndarray:
@@ -208,32 +207,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 5
 
 def fit(texts: list[str], toxic: list[int]) -> Model:
     """Fit on labelled texts.  Each fold is scored with dictionaries of the
-    others, so curve and steps are chosen on texts they have not seen; the
-    steps are those of the likeliest curve."""
+    others, so the curve is fitted on texts that they have not seen; all copies
+    of a text are in one fold."""
     y = np.array(toxic, dtype=float)
     base = float(y.mean()) if len(y) else 0.0
     split = lambda keep: ([t for t, v, k in zip(texts, toxic, keep) if k and v],
                           [t for t, v, k in zip(texts, toxic, keep) if k and not v])
     if len(y) == 0 or y.min() == y.max():
         return Model(b" " * 2048, b"", None, base)
-    fold = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts])
+    fold = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % FOLDS for t in texts])
     rows: list = [None] * len(texts)
     for f in range(FOLDS):
         if not (fold == f).any():
             continue
         gains = Gains(*dictionaries(*split(fold != f)))
         for i in np.flatnonzero(fold == f):
-            rows[i] = gains.counts(texts[i])
-
-    def curve(steps: tuple[int, int]) -> tuple[float, tuple[int, int], list[float]]:
-        x = np.array([features(c, steps) for c in rows])
-        w = _logistic(x, y)
-        z = np.clip(x @ w, -30, 30)
-        return float((y * z - np.log1p(np.exp(z))).sum()), steps, w.tolist()
-
-    _, steps, weights = max(map(curve, STEPS))
+            rows[i] = features(gains.of(texts[i]))
     ordinary, bad = dictionaries(*split(np.ones(len(texts), dtype=bool)))
-    return Model(ordinary, bad, weights, base, steps)
+    return Model(ordinary, bad, _logistic(np.array(rows), y).tolist(), base)
 
 
 def scorer(model: Model):
@@ -246,7 +237,7 @@ def scorer(model: Model):
             if model.weights is None:
                 yield pd.Series(np.full(len(texts), model.base))
                 continue
-            x = np.array([gains.features(t or "", model.steps) for t in texts]).reshape(len(texts), len(model.weights))
+            x = np.array([features(gains.of(t or "")) for t in texts]).reshape(len(texts), len(model.weights))
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))))
 
     return score
@@ -259,15 +250,15 @@ def held_out(id_col: str = "doc_id"):
 
 def fit_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on at most ``fit_rows`` labelled rows that are not held out, taken
-    by the hash of their id (bounds: FIT_ROWS rows, FIT_CHARS characters of
-    each).  Labels without an id or a 0/1 mark are left out; an id marked
-    more than once counts as toxic if any mark says so."""
+    by the hash of their id (the one bound: FIT_ROWS rows).  Labels without an
+    id or a 0/1 mark are left out; an id marked more than once counts as toxic
+    if any mark says so."""
     marks = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("id is not null and toxic in (0, 1)").filter(~held_out("id"))
              .groupBy("id").agg(F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("id"), "id").limit(fit_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"),
-                        F.substring(F.coalesce(F.col("text"), F.lit("")), 1, FIT_CHARS).alias("text"))
+                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     sample = (texts.join(F.broadcast(marks), "id").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"), "text")
               .limit(fit_rows).collect())
     return fit([r.text for r in sample], [r.toxic for r in sample])

@@ -3,7 +3,11 @@
 import random
 import zlib
 
-from lendscope.llm.toxicity import FIT_CHARS, Gains, dictionaries, drop_toxic, fit, score_toxicity
+import numpy as np
+import zstandard as zstd
+
+from lendscope.llm import toxicity as T
+from lendscope.llm.toxicity import Gains, dictionaries, drop_toxic, features, fit, score_toxicity, windows
 
 BAD = ["grumbler", "dolt", "wretch", "blighter"]
 
@@ -29,10 +33,9 @@ MARKS = "doc_id long, toxic int, quality int"
 
 def test_held_out_accuracy_and_odd_rows(spark):
     rows, marks = corpus()
-    far = " ".join(["anro"] * 20_000) + " dolt wretch blighter grumbler" * 400      # beyond the fit's prefix
+    far = " ".join(["anro"] * 20_000) + " dolt wretch blighter grumbler" * 400      # toxic far into a long text
     odd = [(None, "anro dolt", "s", "x"), (5000, None, "s", None), (5001, "", None, "x"), (5002, far, "s", "x"),
            (7, rows[7][1], "s", "x")]
-    assert len(far) > FIT_CHARS
     docs = spark.createDataFrame(rows + odd, DOCS).repartition(4)
     labels = spark.createDataFrame(marks + [(None, 1, 1), (3, None, 1), (99999, 1, 1)], MARKS)
     out = score_toxicity(docs, labels).collect()
@@ -64,8 +67,44 @@ def test_a_learnt_window_gains_and_others_do_not():
     bad = {i for i, t, _ in marks if t}
     plain, toxic = dictionaries([t for i, t, *_ in rows if i in bad], [t for i, t, *_ in rows if i not in bad])
     g = Gains(plain, toxic)
-    assert all(g.gain(w) >= 3 for w in BAD)
-    assert max(g.gain(w) for w in ("anro", "telmi", "sedurna")) < 3
+    assert all(g.gain(f"anro {w} telmi sedurna") >= 2 for w in BAD)
+    assert max(g.gain(w) for w in ("anro telmi vol nasedke", "telmi stan", "sedurna rourna mi tel")) < 2
+
+
+def test_windows_hold_every_word():
+    rng = random.Random(1)
+    for _ in range(200):
+        words = ["".join(rng.choice("abcé") for _ in range(rng.choice([1, 3, 9, 40]))) for _ in range(rng.randint(0, 30))]
+        held = [w.split() for w in windows(" ".join(words))]
+        assert set(words) == {x for w in held for x in w}
+        assert all(len(" ".join(w).encode()) + 1 >= T.WINDOW_BYTES for w in held[:-1])
+        assert all(words[i:i + len(w)] for i, w in enumerate(held))
+
+
+def plain_length(content, text):
+    """Length of one window by a coder made anew for it."""
+    how = zstd.ZstdCompressionParameters(
+        format=zstd.FORMAT_ZSTD1_MAGICLESS, compression_level=3, strategy=zstd.STRATEGY_BTLAZY2, min_match=3, window_log=18,
+        hash_log=17, chain_log=18, search_log=5, target_length=64, write_content_size=0, write_checksum=0, write_dict_id=0)
+    d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+    return len(zstd.ZstdCompressor(dict_data=d, compression_params=how).compress(text))
+
+
+def test_scores_come_from_compression_lengths_alone():
+    rows, marks = corpus(400)
+    mark = dict((i, t) for i, t, _ in marks)
+    taught = [(t, mark[i]) for i, t, *_ in rows if i in mark]
+    model = fit([t for t, _ in taught], [m for _, m in taught])
+    gains = Gains(model.ordinary, model.toxic)
+    for text in [rows[0][1], rows[1][1], "", "one"]:
+        lead, tail = model.ordinary[-600:-552] + b" ", b" " + T.TAIL
+        want = [plain_length(model.ordinary, lead + w.encode() + tail)
+                - plain_length(model.toxic + model.ordinary, lead + w.encode() + tail) for w in windows(text)]
+        assert gains.of(text).tolist() == want
+    # without the toxic dictionary nothing tells toxic texts from others: scores of equally long texts are equal
+    none = Gains(model.ordinary, b"")
+    assert all(not none.of(t).any() for t, _ in taught[:40])
+    assert features(none.of(rows[0][1]))[2:] == features(np.zeros(3, dtype=int))[2:]
 
 
 def test_words_that_ordinary_text_nearly_spells():
@@ -82,7 +121,7 @@ def test_words_that_ordinary_text_nearly_spells():
         marks.append(int(i % 5 == 0))
     model = fit(texts[:800], marks[:800])
     gains = Gains(model.ordinary, model.toxic)
-    z = [sum(a * b for a, b in zip(gains.features(t, model.steps), model.weights)) for t in texts[800:]]
+    z = [float(np.dot(features(gains.of(t)), model.weights)) for t in texts[800:]]
     said = [v >= 0.8473 for v in z]                                 # a score of 0.7
     right = sum(s and m for s, m in zip(said, marks[800:]))
     assert right >= 0.95 * sum(marks[800:]) and right >= 0.95 * sum(said)
