@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from lendscope import roles as R
 from lendscope.operators import evaluate as E
 from lendscope.operators.prep import build_preprocessing_pipeline, class_weights, scale_pos_weight
+from lendscope.operators.staged import staged_scores, tree_groups
 from lendscope.session import right_size, written
 
 LABEL = "_label"
@@ -166,17 +167,27 @@ def _score_logistic(models: dict, rows: DataFrame) -> DataFrame:
     return flat.select("m.candidate", "y", (1.0 / (1.0 + F.exp(-(dot + F.col("m.b"))))).alias("p"))
 
 
+def _places(sizes: dict):
+    """The candidates with a row's number of trees."""
+    return F.create_map(*[x for n, at in sizes.items()
+                          for x in (F.lit(n), F.array(*[F.lit(i) for i in at]))])[F.col("n_trees")]
+
+
 def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col: str = "fold",
                    k: int = R.CV_FOLDS, parallelism: int | None = None, target: str = R.TARGET_COLUMN) -> tuple:
-    """Fit every (candidate, fold) pair.  Preprocessing and class weights are
+    """Score every (candidate, fold) pair.  Preprocessing and class weights are
     refit on each fold's training rows (weights by the candidate's own mode);
-    a fold's held-out scores are written once for all its candidates.
+    tree candidates that differ only in ``n_estimators`` share one fit, whose
+    prefixes they are; a fold's held-out scores are written once for all its
+    candidates.
     Returns (per-fold table, summary table sorted by mean AUC)."""
     base = with_label(df, target).persist()  # reused by every fold's fits
     n_by_fold = {r[0]: r[1] for r in base.groupBy(fold_col).count().collect()}  # k rows
     n_total = sum(n_by_fold.values())
     folds_present = sorted(f for f in n_by_fold if f is not None)
     modes = {weight_mode(c) for c in candidates}
+    # candidates that differ only in their number of trees are prefixes of one fit
+    groups = [(c, None) for c in candidates] if key == "logistic_regression" else tree_groups(candidates)
     scored = None
     for fold in (folds_present if folds_present else range(k)):
         train = base.filter(F.col(fold_col) != fold)
@@ -187,17 +198,20 @@ def cross_validate(df: DataFrame, key: str, candidates: Sequence[dict], fold_col
         held = right_size(prep.transform(base.filter(F.col(fold_col) == fold)).select("features", LABEL),
                           n_by_fold.get(fold, 0)).persist()
 
-        def fit(ci, by_mode=by_mode, n_tr=n_tr):
-            return make_classifier(key, candidates[ci], n_tr).fit(by_mode[weight_mode(candidates[ci])])
+        def fit(params, by_mode=by_mode, n_tr=n_tr):
+            return make_classifier(key, params, n_tr).fit(by_mode[weight_mode(params)])
 
         workers = parallelism or max(4, min(16, base.sparkSession.sparkContext.defaultParallelism))
         with ThreadPoolExecutor(max_workers=workers) as ex:  # concurrent MLlib fits, as CrossValidator
-            fits = dict(enumerate(ex.map(fit, range(len(candidates)))))
+            fits = list(ex.map(fit, [params for params, _ in groups]))
         if key == "logistic_regression":
-            rows = _score_logistic(fits, held)
+            rows = _score_logistic(dict(enumerate(fits)), held)
         else:
-            rows = reduce(DataFrame.unionByName, [positive_probability(m.transform(held)).select(
-                F.lit(ci).alias("candidate"), F.col(LABEL).cast("int").alias("y"), "p") for ci, m in fits.items()])
+            truth = held.withColumn("y", F.col(LABEL).cast("int"))
+            rows = reduce(DataFrame.unionByName, [
+                staged_scores(m, truth, list(sizes), keep=["y"])
+                .withColumn("candidate", F.explode(_places(sizes))).select("candidate", "y", "p")
+                for m, (_, sizes) in zip(fits, groups)])
         rows = written(rows.withColumn("fold", F.lit(fold)), "cv-scores")
         scored = rows if scored is None else scored.unionByName(rows)
         for c in [*by_mode.values(), held]:
