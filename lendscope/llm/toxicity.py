@@ -34,6 +34,7 @@ WINDOW_BYTES = 12
 ORDINARY_BYTES = 64_000
 TOXIC_BYTES = 32_768     # with the ordinary one well within the coder's window of 256 KB
 PIECE_BYTES = 256        # whole texts are cut into samples of so many bytes for the dictionary trainer
+SHARED = 5               # bytes in a row that a window must share with the toxic dictionary to gain by it
 MIN_SUPPORT = 3          # toxic texts a word must occur in to be a sample of the toxic dictionary
 CHANCE_WORDS = 0.5       # words that may pass for such by chance alone, expected number
 STEPS = range(1, 9)      # gains (bytes) at which windows are counted
@@ -43,18 +44,17 @@ TAIL = bytes([1, 2, 3, 4, 5, 6, 7, 8, 11])      # the coder starts no match in t
 CUT = 0.7
 
 
-def windows(text: str, size: int = WINDOW_BYTES) -> Iterator[str]:
-    """Runs of words of ``size`` bytes or more (the last may be shorter), each
-    from the middle of the one before, so that every word is in one at least."""
-    words = text.lower().split()
-    length = [len(w.encode("utf-8", "surrogatepass")) + 1 for w in words]
-    i, n = 0, len(words)
+def spans(lengths: list[int], size: int = WINDOW_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, behind the last) word of runs of words of ``size`` bytes or more
+    with their blanks (the last may be shorter), each from the middle of the
+    one before, so that every word is in one at least."""
+    i, n = 0, len(lengths)
     while i < n:
         j, held = i, 0
         while j < n and held < size:
-            held += length[j]
+            held += lengths[j] + 1
             j += 1
-        yield " ".join(words[i:j])
+        yield i, j
         if j == n:
             return
         i += (j - i + 1) // 2
@@ -65,14 +65,21 @@ def bare(word: str) -> str:
 
 
 class Gains:
-    """Bytes that the toxic dictionary saves on a window."""
+    """Bytes that the toxic dictionary saves on a window.
+
+    A match in it costs the coder some four bytes, so a window that shares no
+    ``SHARED`` bytes in a row with it has nothing to gain and is not compressed.
+    """
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         # A lead that both dictionaries hold: without it a short window is stored raw, and small gains are lost.
-        self.lead = ordinary[-600:-552] + b" "
+        self.lead = ordinary[-600:-552]
         self.plain = self.coder(ordinary)
         self.both = self.coder(toxic + ordinary)
-        self.memo: dict[str, int] = {}
+        self.shared = np.unique(self.runs(toxic))
+        self.may = np.zeros(1 << 20, dtype=bool)
+        self.may[self.place(self.shared)] = True
+        self.memo: dict[bytes, int] = {}
 
     @staticmethod
     def coder(content: bytes) -> zstd.ZstdCompressor:
@@ -84,22 +91,48 @@ class Gains:
         d.precompute_compress(compression_params=how)
         return zstd.ZstdCompressor(dict_data=d, compression_params=how)
 
-    def gain(self, window: str) -> int:
-        framed = self.lead + window.encode("utf-8", "surrogatepass") + b" " + TAIL
+    @staticmethod
+    def runs(data: bytes) -> np.ndarray:
+        """Every ``SHARED`` bytes in a row, as a number each."""
+        x = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
+        n = max(0, len(x) - SHARED + 1)
+        out = np.zeros(n, dtype=np.uint64)
+        for k in range(SHARED):
+            out = out << np.uint64(8) | x[k:k + n]
+        return out
+
+    @staticmethod
+    def place(runs: np.ndarray) -> np.ndarray:
+        return (runs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+    def gain(self, window: bytes) -> int:
+        """Of a window with the blanks around it."""
+        framed = self.lead + window + TAIL
         return len(self.plain.compress(framed)) - len(self.both.compress(framed))
 
     def of(self, text: str) -> np.ndarray:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        memo, out = self.memo, []
-        for w in windows(text):
+        words = text.lower().encode("utf-8", "surrogatepass").split()
+        if not words:
+            return np.zeros(0, dtype=np.int64)
+        data = b" " + b" ".join(words) + b" "
+        lengths = [len(w) for w in words]
+        end = np.cumsum(np.array(lengths) + 1)                  # place of the blank behind each word
+        first, behind = np.array(list(spans(lengths))).T
+        start, stop = end[first] - np.array(lengths)[first] - 1, end[behind - 1] + 1
+        runs = self.runs(data)
+        hits = np.flatnonzero(self.may[self.place(runs)])
+        hits = hits[np.isin(runs[hits], self.shared)]
+        out = np.zeros(len(start), dtype=np.int64)
+        memo = self.memo
+        for i in np.flatnonzero(np.searchsorted(hits, start) < np.searchsorted(hits, stop - SHARED, "right")).tolist():
+            w = data[start[i]:stop[i]]
             g = memo.get(w)
             if g is None:
-                g = self.gain(w)
-                if len(memo) <= MEMO_ENTRIES and len(w) <= 4 * WINDOW_BYTES:
-                    memo[w] = g
-            out.append(g)
-        return np.array(out, dtype=np.int64)
+                g = memo[w] = self.gain(w)
+            out[i] = g
+        return out
 
 
 def features(gains: np.ndarray) -> list[float]:

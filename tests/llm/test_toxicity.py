@@ -7,7 +7,7 @@ import numpy as np
 import zstandard as zstd
 
 from lendscope.llm import toxicity as T
-from lendscope.llm.toxicity import Gains, dictionaries, drop_toxic, features, fit, score_toxicity, windows
+from lendscope.llm.toxicity import Gains, dictionaries, drop_toxic, features, fit, score_toxicity, spans
 
 BAD = ["grumbler", "dolt", "wretch", "blighter"]
 
@@ -67,18 +67,22 @@ def test_a_learnt_window_gains_and_others_do_not():
     bad = {i for i, t, _ in marks if t}
     plain, toxic = dictionaries([t for i, t, *_ in rows if i in bad], [t for i, t, *_ in rows if i not in bad])
     g = Gains(plain, toxic)
-    assert all(g.gain(f"anro {w} telmi sedurna") >= 2 for w in BAD)
-    assert max(g.gain(w) for w in ("anro telmi vol nasedke", "telmi stan", "sedurna rourna mi tel")) < 2
+    assert all(g.of(f"anro {w} telmi sedurna").max() >= 1 for w in BAD)
+    assert max(g.of(w).max() for w in ("anro telmi vol nasedke", "telmi stan", "sedurna rourna mi tel")) < 1
+
+
+def windows(text):
+    words = text.lower().encode().split()
+    return [b" " + b" ".join(words[i:j]) + b" " for i, j in spans([len(w) for w in words])]
 
 
 def test_windows_hold_every_word():
     rng = random.Random(1)
     for _ in range(200):
         words = ["".join(rng.choice("abcé") for _ in range(rng.choice([1, 3, 9, 40]))) for _ in range(rng.randint(0, 30))]
-        held = [w.split() for w in windows(" ".join(words))]
-        assert set(words) == {x for w in held for x in w}
-        assert all(len(" ".join(w).encode()) + 1 >= T.WINDOW_BYTES for w in held[:-1])
-        assert all(words[i:i + len(w)] for i, w in enumerate(held))
+        held = windows(" ".join(words))
+        assert {w.encode() for w in words} == {x for w in held for x in w.split()}
+        assert all(len(w) - 1 >= T.WINDOW_BYTES for w in held[:-1])
 
 
 def plain_length(content, text):
@@ -97,9 +101,9 @@ def test_scores_come_from_compression_lengths_alone():
     model = fit([t for t, _ in taught], [m for _, m in taught])
     gains = Gains(model.ordinary, model.toxic)
     for text in [rows[0][1], rows[1][1], "", "one"]:
-        lead, tail = model.ordinary[-600:-552] + b" ", b" " + T.TAIL
-        want = [plain_length(model.ordinary, lead + w.encode() + tail)
-                - plain_length(model.toxic + model.ordinary, lead + w.encode() + tail) for w in windows(text)]
+        lead = model.ordinary[-600:-552]
+        want = [plain_length(model.ordinary, lead + w + T.TAIL) - plain_length(model.toxic + model.ordinary, lead + w + T.TAIL)
+                if any(w[k:k + T.SHARED] in model.toxic for k in range(len(w) - T.SHARED + 1)) else 0 for w in windows(text)]
         assert gains.of(text).tolist() == want
     # without the toxic dictionary nothing tells toxic texts from others: scores of equally long texts are equal
     none = Gains(model.ordinary, b"")
