@@ -35,6 +35,7 @@ SHORTEST_PASSAGE = 3      # an item of fewer tokens names no passage: it is met
 #: Blocks of scripts written without blanks (Thai to Burmese, Khmer, kana, Han); a code point is a token.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|[{UNSPACED}]|[^\W\d_{UNSPACED}]+(?:['’][^\W\d_{UNSPACED}]+)*|[%$€£]")
+RUN_TOKENS = 200_000      # tokens hashed at once: bounds memory, never the text
 MEMO_CHARS = 64           # a longer piece between blanks is not kept
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand
@@ -50,6 +51,8 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def kind(token: str) -> int:
+    if token.islower():                        # most tokens
+        return NUMBER if token in NUMBER_WORDS else LITERAL
     if token[0].isdigit() or token.lower() in NUMBER_WORDS:
         return NUMBER
     if token[0].isupper() and (len(token) == 1 or token[1:].islower()):
@@ -59,7 +62,7 @@ def kind(token: str) -> int:
 
 def token_id(token: str) -> int:
     """62 bits of the case-folded token and its kind."""
-    return xxhash.xxh64_intdigest(token.casefold().encode()) & ~3 | kind(token)
+    return xxhash.xxh64_intdigest(token.casefold()) & ~3 | kind(token)
 
 
 UNIT_IDS = np.array(sorted({token_id(u) for u in UNITS} | {token_id(u.capitalize()) for u in UNITS}), dtype=np.uint64)
@@ -76,22 +79,27 @@ def _hash(columns: np.ndarray, at: np.ndarray | slice, window: int, seed: int, f
     return h
 
 
+class Pieces(dict):
+    """Token ids (8 bytes each) of pieces between blanks, made when first met."""
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = b"".join([token_id(t).to_bytes(8, "little") for t in TOKEN.findall(piece)])
+        if len(piece) <= MEMO_CHARS:
+            self[piece] = ids
+        return ids
+
+
 class Templates:
     """Window hashes of texts; pieces between blanks are memoised."""
 
     def __init__(self, window: int = WINDOW):
         self.window = window
-        self.memo: dict[str, bytes] = {}
+        self.memo = Pieces()
 
     def ids(self, text: str) -> np.ndarray:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        memo, pieces = self.memo, text.split()
-        long = {}
-        for p in {p for p in pieces if p not in memo}:
-            (memo if len(p) <= MEMO_CHARS else long)[p] = np.array([token_id(t) for t in TOKEN.findall(p)], dtype="<u8").tobytes()
-        known = map(memo.__getitem__, pieces) if not long else (memo.get(p) or long.get(p, b"") for p in pieces)
-        return np.frombuffer(b"".join(known), dtype="<u8")
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, text.split())), dtype="<u8")
 
     def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(template and folded hash per window, kind per token, whether a
@@ -177,6 +185,30 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
+def runs(ids: Iterator[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts' token ids laid end to end, about ``RUN_TOKENS`` at a time (a
+    longer text is a run of its own), an id that no token has behind each:
+    (first text, ids, where each text starts, its number of tokens)."""
+    at, held, size = 0, [], 0
+
+    def laid():
+        count = np.array([len(x) for x in held])
+        flat = np.zeros(int(count.sum()) + len(held), dtype="<u8")
+        start = np.concatenate(([0], np.cumsum(count + 1)[:-1]))
+        for s, x in zip(start.tolist(), held):
+            flat[s:s + len(x)] = x
+        return at, flat, start, count
+
+    for x in ids:
+        if held and size + len(x) > RUN_TOKENS:
+            yield laid()
+            at, held, size = at + len(held), [], 0
+        held.append(x)
+        size += len(x)
+    if held:
+        yield laid()
+
+
 def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
     """(doc_id, text_key, doc_pos, h, doc_slots) of the windows of those sizes
     that may be the benchmark's; the bitmap only saves work, the join decides."""
@@ -187,18 +219,24 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> D
         mask = np.uint64(len(bits) - 1)
         for part in parts:
             rows = []
-            for doc, key, text in zip(part["doc_id"], part["text_key"], part["text"]):
-                ids = make.ids(text)
+            doc, key, text = (part[c].tolist() for c in ("doc_id", "text_key", "text"))
+            for at, flat, start, count in runs(make.ids(t) for t in text):
                 for size in sizes:
-                    if size < SHORTEST_PASSAGE and len(ids) != size:
-                        continue
-                    h, kinds, template = make.cut(ids, size)
+                    h, kinds, template = make.cut(flat, size)
                     may = bits[h & mask]
                     may &= bits[(h >> np.uint64(32)) & mask]
-                    if may.any():
-                        tokens = _tokens(text)
-                        rows += [(doc, key, i, v, make.slots(tokens, kinds, i, f, template[f, i], size))
-                                 for f, i, v in zip(*(x.tolist() for x in np.nonzero(may)), h[may].view(np.int64).tolist())]
+                    held, place = np.nonzero(may)
+                    which = np.searchsorted(start, place, "right") - 1
+                    fits = place - start[which] + size <= count[which]          # within one text
+                    if size < SHORTEST_PASSAGE:
+                        fits &= count[which] == size
+                    tokens: dict[int, list[str]] = {}
+                    for f, i, w in zip(held[fits].tolist(), place[fits].tolist(), which[fits].tolist()):
+                        if w not in tokens:
+                            tokens = {w: _tokens(text[at + w])}
+                        first = i - int(start[w])
+                        slots = make.slots(tokens[w], kinds[start[w]:start[w] + count[w]], first, f, template[f, i], size)
+                        rows.append((doc[at + w], key[at + w], first, int(h[f, i].view(np.int64)), slots))
             out = pd.DataFrame(rows, columns=["doc_id", "text_key", "doc_pos", "h", "doc_slots"])
             yield out.astype({"doc_id": "Int64"})
 

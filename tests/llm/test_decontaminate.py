@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from lendscope.llm import decontaminate as D
 from lendscope.llm.decontaminate import LITERAL, Templates, _tokens, decontaminate, kind, leaks
 
 DOCS = "doc_id long, text string, h string, item_id int, source string"
@@ -79,7 +82,9 @@ def brute(docs, items, share=0.8):
     return out
 
 
-def test_same_as_brute_force(spark):
+@pytest.mark.parametrize("run", [D.RUN_TOKENS, 30])
+def test_same_as_brute_force(spark, monkeypatch, run):
+    monkeypatch.setattr(D, "RUN_TOKENS", run)
     rng = random.Random(8)
     vocab = ["the", "of", "red", "Ann", "Bob", "3", "12", "km", "seven", "and", "Run", "go"]
     text = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
