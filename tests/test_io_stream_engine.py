@@ -67,8 +67,12 @@ def test_training_job_writes_artifacts(spark, tmp_path):
     out = run_training(loan_book(spark, SF), out_dir=str(tmp_path / "run"), models=("logistic_regression",),
                        candidates={"logistic_regression": [{"C": 1.0, "penalty": "l2"}]})
     assert out["comparison"].count() == 1 and out["production_model"] in ("logistic_regression", "gradient_boosting")
-    assert spark.read.parquet(str(tmp_path / "run" / "reports" / "comparison")).count() == 1
-    model = IO.load_model(str(tmp_path / "run" / "models" / "logistic_regression"))
+    version = out["version"]
+    assert version.table("comparison", "logistic_regression").count() == 1
+    assert version.notes["models"]["logistic_regression"]["params"] == {"C": 1.0, "penalty": "l2"}
+    assert {"metrics", "cv_folds", "cv_summary", "scores", "importances", "splits"} <= set(version.tables)
+    assert version.table("scores").count() == out["data"].count()
+    model = version.model("logistic_regression")
     from lendscope.operators.models import predict_probability
     assert predict_probability(model, out["data"].limit(3)).count() == 3
 
@@ -87,8 +91,67 @@ def test_segmentation_engine(spark, tmp_path):
     assert a.count() == df.count() and a.filter(F.col("segment_name").isNull()).count() == 0
     assert eng.predict_cluster(df.limit(5)).count() == 5
     eng.save(str(tmp_path / "seg"))
-    assert spark.read.parquet(str(tmp_path / "seg" / "tables" / "profile")).count() == 3
+    back = SegmentationEngine.load(spark, str(tmp_path / "seg"))
+    assert back.state["profile"].count() == 3 and back.state["k"] == 3 and back.algorithm == "kmeans"
+    rows = lambda d: sorted(map(tuple, d.select("id", "cluster").collect()))
+    assert rows(back.predict_cluster(df)) == rows(eng.predict_cluster(df))
+    named = lambda d: sorted(map(tuple, d.select("id", "cluster_id", "segment_name").collect()))
+    assert named(back.assign_segment(df)) == named(a)
+    with pytest.raises(RuntimeError):
+        SegmentationEngine().save(str(tmp_path / "seg"))
+    with pytest.raises(RuntimeError):
+        SegmentationEngine().predict_cluster(df)
     h = SegmentationEngine(n_clusters=3, algorithm="hierarchical").fit(df)
     with pytest.raises(NotImplementedError):
         h.predict_cluster(df)
     assert h.assign_segment(df.limit(5)).count() == 5
+
+
+def test_restored_engines_of_every_algorithm(spark, tmp_path):
+    df = loans(spark, SF)
+    for algorithm in ("gmm", "bisecting", "hierarchical"):
+        eng = SegmentationEngine(n_clusters=3, algorithm=algorithm).fit(df)
+        root = str(tmp_path / algorithm)
+        assert eng.save(root) == 1 and eng.save(root) == 2
+        back = SegmentationEngine.load(spark, root, version=1)
+        assert (back.algorithm, back.n_clusters) == (algorithm, 3)
+        rows = lambda d: sorted(map(tuple, d.select("id", "cluster_id").collect()))
+        assert rows(back.assign_segment(df)) == rows(eng.assign_segment(df))
+        if algorithm == "hierarchical":
+            with pytest.raises(NotImplementedError):
+                back.predict_cluster(df)
+        else:
+            same = lambda d: sorted(map(tuple, d.select("id", "cluster").collect()))
+            assert same(back.predict_cluster(df)) == same(eng.predict_cluster(df))
+
+
+def test_artifact_store_versions(spark, tmp_path):
+    from lendscope.sources.artifacts import ArtifactStore
+    store = ArtifactStore(spark, str(tmp_path / "store"))
+    with pytest.raises(FileNotFoundError):
+        store.latest()
+    make = lambda n: spark.createDataFrame([(m, i) for m in ("a", "b") for i in range(n)], "model string, x int")
+    with store.draft() as d:
+        d.table("metrics", make(3))
+        d.table("plain", spark.range(4))
+        d.notes = {"k": 1}
+    first = store.latest()
+    assert first.number == 1 and first.notes == {"k": 1}
+    assert sorted(map(tuple, first.table("metrics").collect())) == sorted(map(tuple, make(3).collect()))
+    one = first.table("metrics", "a")
+    assert one.count() == 3 and "PartitionFilters: [isnotnull(model" in one._jdf.queryExecution().toString()
+    with pytest.raises(Exception):                       # the write dies half-way: the old version stays
+        with store.draft() as d:
+            d.table("metrics", make(9))
+            d.table("plain", spark.range(4).selectExpr("raise_error('disk full') AS id"))
+    assert store.versions() == [1] and store.latest().table("metrics").count() == 6
+    with store.draft() as d:
+        d.table("metrics", make(5))
+    assert store.versions() == [1, 2] and store.latest().table("metrics").count() == 10
+    assert first.table("metrics").count() == 6 and store.version(1).table("plain").count() == 4
+    with pytest.raises(KeyError):
+        store.latest().table("plain")
+    with pytest.raises(KeyError):
+        store.latest().model("none")
+    with pytest.raises(FileNotFoundError):
+        store.version(7)
