@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lendscope import roles as R
 from lendscope.operators.ordered import join_null_safe, ordered_counts
+from lendscope.session import written
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon, the probability clip
 
@@ -70,8 +71,12 @@ def threshold_metrics(tp: Column, fp: Column, tn: Column, fn: Column) -> dict:
 
 def classification_metrics(df: DataFrame, y: str = "y", p: str = "p", threshold: float = 0.5,
                            keys: Sequence[str] = (), n_bins: int = R.CALIBRATION_BINS) -> DataFrame:
-    """The full metric suite at one cutoff: E2 + ROC-AUC, AP, log loss, Brier, ECE."""
+    """The full metric suite at one cutoff: E2 + ROC-AUC, AP, log loss, Brier, ECE.
+
+    The input is evaluated once: keys, outcome and score are written and every
+    metric family reads those."""
     keys = list(keys)
+    df = written(df.select(*keys, y, p), "metrics")
     pm = point_metrics(df, y, p, threshold, keys)  # confusion + log loss + Brier: one pass
     m = threshold_metrics(F.col("tp"), F.col("fp"), F.col("tn"), F.col("fn"))
     base = pm.select(*keys, "tp", "fp", "tn", "fn", "n", *[v.alias(k) for k, v in m.items()],
@@ -80,7 +85,7 @@ def classification_metrics(df: DataFrame, y: str = "y", p: str = "p", threshold:
     ece = expected_calibration_error(df, y, p, n_bins, keys)
     out = base
     for t in (rank, ece):
-        out = join_null_safe(out, t, keys) if keys else out.crossJoin(t)
+        out = join_null_safe(out, t, keys) if keys else out.crossJoin(F.broadcast(t))      # one row each
     return out
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.operators import evaluate as E
+from lendscope.session import written
 from lendscope.operators.ordered import join_null_safe
 
 
@@ -31,12 +32,13 @@ def fairness_report(df: DataFrame, group_columns: Sequence[str], y: str = "y", p
                     threshold: float = 0.5, min_group_size: int = 10) -> DataFrame:
     """E1-E7 per (group_column, group_value) with n and actual default rate;
     subgroups smaller than ``min_group_size`` are skipped."""
-    long = unpivot_groups(df, group_columns, [y, p])
+    long = written(unpivot_groups(df, group_columns, [y, p]), "fairness")      # read by every metric family
     keys = ["group_column", "group_value"]
     sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
                                     F.avg(F.col(y).cast("double")).alias("actual_default_rate"),
                                     F.avg(F.col(p).cast("double")).alias("mean_predicted_probability"))
     big = sizes.filter(F.col("n") >= min_group_size)
+    big = written(big, "fairness-groups")
     eligible = join_null_safe(long, big.select(*keys), keys)
     pm = E.point_metrics(eligible, y, p, threshold, keys)  # confusion + log loss + Brier: one pass
     m = E.threshold_metrics(F.col("tp"), F.col("fp"), F.col("tn"), F.col("fn"))

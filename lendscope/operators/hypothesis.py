@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lendscope import roles as R
 from lendscope.operators.ordered import ordered_counts, unpivot_numeric
+from lendscope.session import written
 
 
 def _strength(r: Column) -> Column:
@@ -91,7 +92,7 @@ def chi_square_tests(df: DataFrame, columns: Sequence[str], other: str = R.TARGE
     long = (df.select(F.col(other).cast("string").alias("_b"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_a")) for c in columns])))
         .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull()))
-    obs = long.groupBy("column", "_a", "_b").agg(F.count(F.lit(1)).alias("o"))
+    obs = written(long.groupBy("column", "_a", "_b").agg(F.count(F.lit(1)).alias("o")), "chi-square")   # one evaluation
     ra = obs.groupBy("column", "_a").agg(F.sum("o").alias("ra"))
     cb = obs.groupBy("column", "_b").agg(F.sum("o").alias("cb"))
     dims = (ra.groupBy("column").agg(F.count(F.lit(1)).alias("r"), F.sum("ra").alias("n"))
@@ -121,13 +122,12 @@ def chi_square_tests(df: DataFrame, columns: Sequence[str], other: str = R.TARGE
 
 # T6
 def correlation_tests(df: DataFrame, pairs: Sequence[tuple], method: str = "pearson") -> DataFrame:
-    """Pearson or Spearman (average ranks of pairwise-complete rows) r per pair."""
-    rows = None
-    for a, b in pairs:
-        x = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
-              .filter(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
-        x = x.withColumn("pair", F.lit(f"{a}|{b}"))
-        rows = x if rows is None else rows.unionByName(x)
+    """Pearson or Spearman (average ranks of pairwise-complete rows) r per
+    pair; NaN counts as missing.  One scan feeds all pairs."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    rows = (df.select(F.inline(F.array(*[F.struct(F.lit(f"{a}|{b}").alias("pair"), number(a).alias("x"), number(b).alias("y"))
+                                         for a, b in pairs])))        # all pairs from one scan
+            .filter("x is not null and y is not null"))
     if method == "spearman":
         s = spearman_coefficients(rows, ["pair"])
     else:

@@ -19,13 +19,13 @@ from typing import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope import roles as R
 from lendscope.operators import evaluate as E
+from lendscope.operators.isotonic import IsotonicCurve, fit_isotonic
 from lendscope.operators.prep import build_preprocessing_pipeline, class_weights, scale_pos_weight
 from lendscope.operators.staged import staged_scores, tree_groups
 from lendscope.session import right_size, written
@@ -277,10 +277,8 @@ def apply_platt(df: DataFrame, a: float, b: float, score: str = "raw_score", out
     return df.withColumn(out, 1.0 / (1.0 + F.exp(-(F.lit(a) * F.col(score) + F.lit(b)))))
 
 
-def isotonic_calibrator(val_scored: DataFrame, score: str = "raw_score", y: str = "y"):
-    va = VectorAssembler(inputCols=[score], outputCol="_iso_f")
-    return IsotonicRegression(featuresCol="_iso_f", labelCol=y, predictionCol="p").fit(
-        va.transform(val_scored.withColumn(y, F.col(y).cast("double"))))
+def isotonic_calibrator(val_scored: DataFrame, score: str = "raw_score", y: str = "y") -> IsotonicCurve:
+    return fit_isotonic(val_scored, score, y)
 
 
 def raw_score(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
@@ -322,8 +320,8 @@ def train_and_evaluate(df_split: DataFrame, key: str, fold_col: str = "fold", ca
             scored = scored.withColumn("p", F.col("p_raw"))
     elif calibrate == "isotonic":
         iso = isotonic_calibrator(scored.filter(F.col("split") == "val"))
-        scored = iso.transform(VectorAssembler(inputCols=["raw_score"], outputCol="_iso_f").transform(scored))
-        cal = ("isotonic", iso)
+        scored = scored.withColumn("p", iso.apply(F.col("raw_score")))
+        cal = ("isotonic", iso.scores, iso.values)
     else:
         scored = scored.withColumn("p", F.col("p_raw"))
     keep = scored.select("id", "split", "y", "p", "p_raw").persist()

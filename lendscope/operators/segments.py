@@ -13,7 +13,7 @@ import math
 from typing import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from lendscope import roles as R
 from lendscope.operators.describe import mode_table
 from lendscope.operators.hypothesis import safe_corr
+from lendscope.operators.kmeans import as_model, best_of, fit_many
 from lendscope.operators.ordered import join_null_safe
 
 # ---------------------------------------------------------------------------
@@ -80,61 +81,106 @@ RECOMMENDATIONS = {
 # G1
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", restarts: int = 10,
                seed: int = R.RANDOM_STATE, max_iter: int = 300):
-    """Best of ``restarts`` k-means fits (lowest within-cluster SS); the
-    restarts are independent MLlib jobs submitted concurrently."""
-    from concurrent.futures import ThreadPoolExecutor
-    from pyspark import StorageLevel
-    from lendscope.session import right_size
-    # only the vector column, right-sized, cached once and shared by every restart
-    vec = right_size(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
+    """(model, inertia) of the best of ``restarts`` k-means fits, all fitted in
+    one pass over the rows per step (``operators/kmeans.py``)."""
+    best = best_of(fit_many(df, [k], restarts, features, seed, max_iter))[k]
+    return as_model(best.centers, features), best.inertia
+
+
+# G2 (re-aimed: Lance-Williams merges over weighted micro-clusters)
+LINKAGES = ("ward", "average", "complete")
+
+
+def merge_tree(points: np.ndarray, weights: np.ndarray, linkage: str = "ward") -> list[tuple[int, int, float, float]]:
+    """(a, b, height, weight) of the agglomerative merges of weighted points,
+    lowest first; merge i makes cluster len(points) + i.  Nearest-neighbour
+    chain with Lance-Williams updates: m^2 work and memory for m points.
+    Heights are distances, for Ward sqrt(2 wa wb / (wa + wb)) times the
+    distance of the centroids."""
+    if linkage not in LINKAGES:
+        raise ValueError(f"unknown linkage '{linkage}'")
+    m = len(points)
+    w = np.asarray(weights, dtype=float).copy()
+    sq = (points * points).sum(1)
+    d = np.maximum(0.0, sq[:, None] + sq[None, :] - 2 * points @ points.T)
+    d = d * (2 * w[:, None] * w[None, :] / (w[:, None] + w[None, :])) if linkage == "ward" else np.sqrt(d)
+    np.fill_diagonal(d, np.inf)
+    alive, chain, merges = np.ones(m, dtype=bool), [], []
+    while len(merges) < m - 1:
+        if not chain:
+            chain.append(int(np.flatnonzero(alive)[0]))
+        a = chain[-1]
+        b = int(d[a].argmin())
+        if len(chain) > 1 and d[a, chain[-2]] <= d[a, b]:
+            b = chain[-2]
+        if len(chain) < 2 or b != chain[-2]:
+            chain.append(b)
+            continue
+        del chain[-2:]
+        a, b = min(a, b), max(a, b)
+        merges.append((a, b, float(np.sqrt(d[a, b]) if linkage == "ward" else d[a, b]), w[a] + w[b]))
+        if linkage == "ward":
+            total = w[a] + w[b] + w
+            with np.errstate(invalid="ignore"):
+                new = ((w[a] + w) * d[a] + (w[b] + w) * d[b] - w * d[a, b]) / total
+        elif linkage == "average":
+            new = (w[a] * d[a] + w[b] * d[b]) / (w[a] + w[b])
+        else:
+            new = np.maximum(d[a], d[b])
+        alive[b] = False
+        new[~alive] = np.inf
+        new[a] = np.inf
+        d[a], d[:, a] = new, new
+        d[b], d[:, b] = np.inf, np.inf
+        w[a] += w[b]
+    # the chain finds merges out of order; by height, with the ids of the clusters they join
+    name, out = list(range(m)), []
+    for i, (a, b, height, weight) in enumerate(sorted(merges, key=lambda t: t[2])):
+        out.append((name[a], name[b], height, weight))
+        name[a] = m + i
+    return out
 
-    def one(i):
-        m = KMeans(k=k, featuresCol=features, predictionCol="cluster", seed=seed + i, maxIter=max_iter,
-                   tol=1e-4).fit(vec)
-        return m, m.summary.trainingCost, i
 
-    workers = max(1, min(restarts, 16, df.sparkSession.sparkContext.defaultParallelism))
-    with ThreadPoolExecutor(max_workers=workers) as ex:
-        fits = list(ex.map(one, range(restarts)))
-    vec.unpersist()
-    m, cost, _ = min(fits, key=lambda t: (t[1], t[2]))  # ties -> first seed
-    return m, cost
+def cut_tree(merges: Sequence[tuple], m: int, k: int) -> list[int]:
+    """Cluster 0 .. k - 1 of each of ``m`` points, numbered by their first point."""
+    parent = {}
+    for i, (a, b, *_) in enumerate(merges[:max(0, m - k)]):
+        parent[a] = parent[b] = m + i
+    roots = []
+    for p in range(m):
+        while p in parent:
+            p = parent[p]
+        roots.append(p)
+    number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+    return [number[r] for r in roots]
 
 
-# G2 (re-aimed: Ward merges over weighted micro-clusters)
 def fit_hierarchical(df: DataFrame, k: int, features: str = "features", micro: int = 256,
-                     seed: int = R.RANDOM_STATE):
-    """Agglomerative (Ward) clustering without an O(n^2) matrix: k-means to
-    ``micro`` weighted micro-clusters on Spark, Ward merges of those centroids
-    on the driver (micro x micro), labels mapped back by a broadcast lookup.
-    Returns (labelled DataFrame, micro->cluster map)."""
-    from lendscope.session import right_size
-    mk = KMeans(k=micro, featuresCol=features, predictionCol="_micro", seed=seed, maxIter=50).fit(
-        right_size(df.select(features)))
-    lab = mk.transform(df)
-    sizes = {r["_micro"]: r["count"] for r in lab.groupBy("_micro").count().collect()}
-    centers = mk.clusterCenters()
-    ids = sorted(sizes)
-    groups = {i: ([i], float(sizes[i]), np.array(centers[i], dtype=float)) for i in ids}
-    while len(groups) > k:
-        keys = list(groups)
-        best = None
-        for a in range(len(keys)):
-            for b in range(a + 1, len(keys)):
-                ga, gb = groups[keys[a]], groups[keys[b]]
-                d = ga[1] * gb[1] / (ga[1] + gb[1]) * float(np.sum((ga[2] - gb[2]) ** 2))
-                if best is None or d < best[0]:
-                    best = (d, keys[a], keys[b])
-        _, a, b = best
-        ga, gb = groups.pop(a), groups.pop(b)
-        n = ga[1] + gb[1]
-        groups[min(a, b)] = (ga[0] + gb[0], n, (ga[2] * ga[1] + gb[2] * gb[1]) / n)
-    mapping = {}
-    for new_id, key in enumerate(sorted(groups)):
-        for m in groups[key][0]:
-            mapping[m] = new_id
-    m = F.create_map(*[x for a, b in mapping.items() for x in (F.lit(a), F.lit(b))])
-    return lab.withColumn("cluster", m[F.col("_micro")]).drop("_micro"), mapping
+                     seed: int = R.RANDOM_STATE, linkage: str = "ward"):
+    """Agglomerative clustering (Ward, average or complete) without a distance
+    matrix of the rows: where the table has at most ``micro`` different rows
+    these are merged themselves (the exact result), else k-means makes
+    ``micro`` weighted micro-clusters on Spark, whose centroids are merged on
+    the driver (micro x micro); labels are mapped back per row.
+    Returns (labelled DataFrame, [(a, b, height, weight)])."""
+    vec = vector_to_array(features)
+    few = df.groupBy(vec.alias("_v")).agg(F.count(F.lit(1)).alias("n")).orderBy("_v").limit(micro + 1).collect()
+    if len(few) <= micro:
+        points, weights = np.array([r["_v"] for r in few], dtype=float), np.array([r["n"] for r in few], dtype=float)
+        labels = df.sparkSession.createDataFrame(
+            [(r["_v"], i) for i, r in enumerate(few)], "_v array<double>, _micro int")
+        lab = df.withColumn("_v", vec).join(F.broadcast(labels), "_v").drop("_v")         # at most micro rows
+    else:
+        fitted = fit_many(df, [micro], 1, features, seed, max_iter=50)[0]
+        lab = as_model(fitted.centers, features, "_micro").transform(df)
+        sizes = {r["_micro"]: r["count"] for r in lab.groupBy("_micro").count().collect()}
+        points = fitted.centers
+        weights = np.array([sizes.get(i, 0) for i in range(micro)], dtype=float)
+    held = np.flatnonzero(weights)
+    merges = merge_tree(points[held], weights[held], linkage)
+    number = dict(zip(held.tolist(), cut_tree(merges, len(held), k)))
+    m = F.create_map(*[x for a, b in number.items() for x in (F.lit(a), F.lit(b))])
+    return lab.withColumn("cluster", m[F.col("_micro")]).drop("_micro"), merges
 
 
 # G3
@@ -242,12 +288,12 @@ def evaluate_clustering(df: DataFrame, features: str = "features", cluster: str
 # G10 / G11
 def evaluate_optimal_k(df: DataFrame, k_values: Sequence[int] = R.K_CANDIDATES, features: str = "features",
                        id_col: str = "row_id", restarts: int = 10, seed: int = R.RANDOM_STATE) -> DataFrame:
-    """k-means per candidate k: inertia + validity indices, one row per k."""
+    """k-means per candidate k (all k and restarts in one pass per step):
+    inertia + validity indices, one row per k."""
     rows = None
-    for k in k_values:
-        m, cost = fit_kmeans(df, k, features, restarts, seed)
-        ev = evaluate_clustering(m.transform(df), features, "cluster", id_col)
-        ev = ev.select(F.lit(int(k)).alias("k"), F.lit(float(cost)).alias("inertia"), "silhouette",
+    for k, fitted in sorted(best_of(fit_many(df, k_values, restarts, features, seed)).items()):
+        ev = evaluate_clustering(as_model(fitted.centers, features).transform(df), features, "cluster", id_col)
+        ev = ev.select(F.lit(int(k)).alias("k"), F.lit(float(fitted.inertia)).alias("inertia"), "silhouette",
                        "calinski_harabasz", "davies_bouldin")
         rows = ev if rows is None else rows.unionByName(ev)
     return rows

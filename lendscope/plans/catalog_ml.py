@@ -152,9 +152,16 @@ def q_m9i(spark, sf):
     s = M.raw_score(model, M.with_label(split_only(spark, sf)), "random_forest") \
         .withColumn("y", F.col(M.LABEL).cast("int"))
     iso = M.isotonic_calibrator(s.filter(F.col("split") == "val"))
-    from pyspark.ml.feature import VectorAssembler
-    out = iso.transform(VectorAssembler(inputCols=["raw_score"], outputCol="_iso_f").transform(s.drop("p")))
-    return M.evaluate_splits(out.select("split", "y", "p"))
+    return M.evaluate_splits(s.withColumn("p", iso.apply(F.col("raw_score"))).select("split", "y", "p"))
+
+
+@register("m9_isotonic_fit")
+def q_m9_fit(spark, sf):
+    """The isotonic curve of the stand-in score, in steps of 1/200, at every score."""
+    d = scored(spark, sf).select(F.col(R.TARGET_COLUMN).alias("y"), (F.floor(F.col("p") * 200) / 200.0).alias("s"))
+    curve = M.isotonic_calibrator(d, "s")
+    per = d.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(per.select("s", "n", curve.apply(F.col("s")).alias("calibrated")))
 
 
 @register("m12_model_comparison")
@@ -468,10 +475,74 @@ def q_t12(spark, sf):
 def q_g13(spark, sf):
     from lendscope.plans.segmentation import SegmentationEngine
     df = loans(spark, sf).persist()
-    eng = SegmentationEngine(n_clusters=4).fit(df)
+    eng = SegmentationEngine(auto_select_k=True).fit(df)
     return eng.assign_segment(df).select("id", "cluster_id", "segment_name")
 
 
+@register("g14_restored_predict_cluster")
+def q_g14(spark, sf):
+    """Clusters of every loan by an engine that was fitted, saved and restored."""
+    from lendscope.plans.segmentation import SegmentationEngine
+    df = loans(spark, sf).persist()
+    root = _folder(spark, "segments")
+    SegmentationEngine(n_clusters=4).fit(df).save(root)
+    return SegmentationEngine.load(spark, root).predict_cluster(df).select("id", "cluster")
+
+
+@register("io7_restored_assignment")
+def q_io7(spark, sf):
+    """Grades as given segments: the engine is saved, restored, and assigns
+    every loan to the nearest of its centroids."""
+    from lendscope.plans.segmentation import SegmentationEngine
+    df = loans(spark, sf).withColumn("given", order_index(F.col("grade"), R.GRADE_ORDER).cast("int")).persist()
+    root = _folder(spark, "segments")
+    SegmentationEngine().fit_labelled(df, "given").save(root)
+    return SegmentationEngine.load(spark, root).assign_segment(df).select("id", "cluster_id")
+
+
+@register("io6_training_artifacts")
+def q_io6(spark, sf):
+    """Threshold tables of two scores published as a version, a second version
+    that fails half-way, and one model's rows read back from the latest."""
+    from lendscope.sources.artifacts import ArtifactStore
+    d = scored(spark, sf).select(F.col(R.TARGET_COLUMN).alias("y"), "p")
+    half = d.withColumn("p", F.col("p") / 2)
+    long = d.withColumn("model", F.lit("whole")).unionByName(half.withColumn("model", F.lit("half")))
+    store = ArtifactStore(spark, _folder(spark, "artifacts"))
+    with store.draft() as v:
+        v.table("thresholds", E.threshold_metrics_table(long, "y", "p", keys=["model"]))
+        v.notes = {"models": ["whole", "half"]}
+    try:
+        with store.draft() as v:
+            v.table("thresholds", long.limit(1))
+            raise RuntimeError("a writer that dies before its version is published")
+    except RuntimeError:
+        pass
+    return rounded(store.latest().table("thresholds", "whole").drop("model"))
+
+
+@register("io8_explainability_artifacts")
+def q_io8(spark, sf):
+    """Attributions, importances, directions, impurity next to permutation
+    importance (X10), fairness and interactions published as a version; the
+    importance table is read back."""
+    from lendscope.plans.explainability import write_explainability
+    from lendscope.sources.artifacts import ArtifactStore
+    root = _folder(spark, "explainability")
+    model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
+    write_explainability(model, split_only(spark, sf), root)
+    return ArtifactStore(spark, root).latest().table("global_importance")
+
+
+@register("x10_importance_merge")
+def q_x10(spark, sf):
+    """Impurity and permutation importance of one forest side by side."""
+    model, _ = _fit_eval(spark, sf, "random_forest", {"n_estimators": 20, "max_depth": 6})
+    test = split_only(spark, sf).filter(F.col("split") == "test")
+    perm = X.permutation_importance(model, test, R.LOAN_ROLES.features, repeats=2)
+    return X.importance_merge(X.impurity_importance(model), perm)
+
+
 @register("m17_training_job")
 def q_m17(spark, sf):
     from lendscope.plans.training import run_training
