@@ -365,6 +365,11 @@ def q_t7(spark, sf):
     return rounded(T.correlation_matrix(loans(spark, sf), R.NUMERIC_FEATURES))
 
 
+@register("t7_spearman_matrix")
+def q_t7s(spark, sf):
+    return rounded(T.correlation_matrix(loans(spark, sf), R.NUMERIC_FEATURES, "spearman"))
+
+
 @register("t8_high_correlation_pairs")
 def q_t8(spark, sf):
     return rounded(T.high_correlation_pairs(T.correlation_matrix(loans(spark, sf), R.NUMERIC_FEATURES), 0.4))

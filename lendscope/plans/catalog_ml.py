@@ -192,6 +192,14 @@ def q_m16(spark, sf):
     return M.robustness_table(M.evaluate_splits(sc))
 
 
+@register("m16_robustness_given_scores")
+def q_m16g(spark, sf):
+    """The stand-in score's exact AUC on three thirds of the loans, side by side."""
+    d = scored(spark, sf).select(F.col(R.TARGET_COLUMN).alias("y"), "p", F.element_at(
+        F.array(F.lit("train"), F.lit("val"), F.lit("test")), (F.col("id") % 3 + 1).cast("int")).alias("split"))
+    return rounded(M.robustness_table(E.rank_metrics(d, "y", "p", ["split"])))
+
+
 @register("p1_predict_probability")
 def q_p1(spark, sf):
     _, sc = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
@@ -328,6 +336,58 @@ def q_g24(spark, sf):
     return rounded(G.probability_by_cluster(a.unionByName(b)))
 
 
+def _grade_comparison(spark, sf):
+    prof = G.cluster_profile(_grade_segments(spark, sf))
+    return G.segment_comparison_table(prof, G.assign_segment_names(prof), G.risk_tier_lookup(None, prof))
+
+
+@register("g21_segment_comparison")
+def q_g21(spark, sf):
+    return rounded(_grade_comparison(spark, sf))
+
+
+@register("g22_riskiest_and_safest")
+def q_g22(spark, sf):
+    return G.riskiest_and_safest(_grade_comparison(spark, sf))
+
+
+@register("g24_probability_rate_correlation")
+def q_g24c(spark, sf):
+    return rounded(G.probability_rate_correlation(q_g24(spark, sf)))
+
+
+@register("g11_recommend_k_given_table")
+def q_g11t(spark, sf):
+    """The ranking rule on a table of three indices per candidate k: averages
+    by loan grade stand in for a sweep's indices."""
+    d = scored(spark, sf).withColumn("k", (order_index(F.col("grade"), R.GRADE_ORDER) + 2).cast("int"))
+    table = d.groupBy("k").agg(F.avg("p").alias("silhouette"), F.avg("loan_amnt").alias("calinski_harabasz"),
+                               F.avg("dti").alias("davies_bouldin"))
+    return G.recommend_optimal_k(table)
+
+
+@register("g2_average_linkage")
+def q_g2a(spark, sf):
+    """Average linkage over micro-clusters: size and mean rate of each segment."""
+    lab, _ = G.fit_hierarchical(_cluster_features(spark, sf), 4, linkage="average")
+    return G.cluster_profile(lab)
+
+
+@register("g2_complete_linkage")
+def q_g2c(spark, sf):
+    lab, _ = G.fit_hierarchical(_cluster_features(spark, sf), 4, linkage="complete")
+    return G.cluster_profile(lab)
+
+
+@register("g3_soft_membership")
+def q_g3s(spark, sf):
+    """Every loan's membership in each of four Gaussian components."""
+    from pyspark.ml.functions import vector_to_array
+    feats = _cluster_features(spark, sf)
+    out = G.fit_gmm(feats, 4).transform(feats)
+    return out.select("row_id", "cluster", F.posexplode(vector_to_array("membership")).alias("component", "membership"))
+
+
 # ------------------------------------------------------------------ attribution
 @register("x1_logistic_coefficients")
 def q_x1(spark, sf):

@@ -70,6 +70,13 @@ from lendscope.plans.oracles_ml import O as _ML  # noqa: E402
 
 ORACLES.update(_ML)
 
+from lendscope.plans.oracles_segments import O as _SEGMENTS  # noqa: E402
+
+ORACLES.update(_SEGMENTS)
+
+# what a version of the store gives back is what was published, a failed version or not
+ORACLES["io6_training_artifacts"] = ORACLES["e11_threshold_table"]
+
 # the streaming scorer must produce exactly the batch scoring of the same rows
 ORACLES["s1_streaming_policy_scoring"] = ORACLES["p8_batch_scoring"]
 # round trips through files must give what was written
