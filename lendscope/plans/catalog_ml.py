@@ -379,6 +379,21 @@ def q_g2c(spark, sf):
     return G.cluster_profile(lab)
 
 
+@register("g4_density_clusters")
+def q_g4(spark, sf):
+    """Density clusters of the embeddings: cluster, noise (-1) and core flag of every row."""
+    from lendscope.operators.density import density_clusters
+    e = read_table(spark, sf, "embeddings")
+    return density_clusters(e, 1.15, 4, "embedding", "vec_id", is_vector=False).select("vec_id", "cluster", "is_core")
+
+
+@register("g4_density_segments")
+def q_g4s(spark, sf):
+    """Profiles of the density clusters of the loans' clustering features."""
+    from lendscope.operators.density import density_clusters
+    return G.cluster_profile(density_clusters(_cluster_features(spark, sf), 2.0, 10))
+
+
 @register("g3_soft_membership")
 def q_g3s(spark, sf):
     """Every loan's membership in each of four Gaussian components."""

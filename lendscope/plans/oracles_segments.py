@@ -81,3 +81,18 @@ O["m16_robustness_given_scores"] = with_scored(f"""
 , w AS (SELECT max(v) FILTER (WHERE split = 'train') AS train, max(v) FILTER (WHERE split = 'val') AS val,
           max(v) FILTER (WHERE split = 'test') AS test FROM a)
 SELECT {r('train')} AS train, {r('val')} AS val, {r('test')} AS test, {r('train - test')} AS train_test_gap FROM w""")
+
+O["g4_density_clusters"] = """
+WITH RECURSIVE p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+near AS (SELECT a.vec_id AS u, b.vec_id AS v, list_distance(a.v, b.v) AS d FROM p a, p b WHERE list_distance(a.v, b.v) <= 1.15),
+core AS (SELECT u FROM near GROUP BY u HAVING count(*) >= 4),
+links AS (SELECT u, v FROM near WHERE u IN (SELECT u FROM core) AND v IN (SELECT u FROM core)),
+reach(u, v) AS (SELECT u, u FROM core UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v),
+root AS (SELECT u, min(v) AS root FROM reach GROUP BY u),
+border AS (SELECT n.u, arg_min(n.v, struct_pack(d := n.d, v := n.v)) AS at FROM near n
+           WHERE n.v IN (SELECT u FROM core) AND n.u NOT IN (SELECT u FROM core) GROUP BY n.u),
+member AS (SELECT u, root FROM root UNION ALL SELECT b.u, r.root FROM border b JOIN root r ON r.u = b.at),
+least AS (SELECT root, min(u) AS least FROM member GROUP BY root),
+number AS (SELECT root, CAST(row_number() OVER (ORDER BY least) - 1 AS INTEGER) AS cluster FROM least)
+SELECT p.vec_id, coalesce(number.cluster, -1) AS cluster, p.vec_id IN (SELECT u FROM core) AS is_core
+FROM p LEFT JOIN member ON member.u = p.vec_id LEFT JOIN number ON number.root = member.root"""
