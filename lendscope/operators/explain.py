@@ -230,6 +230,18 @@ def interaction_table(df: DataFrame, a: str, b: str, p: str = "p", numeric: Sequ
 
 
 # X14
+def linear_curves(df: DataFrame, margin, value, coefficient: float, grid: Sequence[tuple], id_col: str = "id") -> DataFrame:
+    """ICE of a linear model in closed form: (id, grid_value, p) for every row
+    and every (grid value, model input) of ``grid``.  A row stays one row: its
+    margin moves by ``coefficient`` times the change of the input, evaluated
+    against the grid as an array."""
+    at = F.array(*[F.struct(F.lit(float(g)).alias("grid_value"), F.lit(float(z)).alias("z")) for g, z in grid])
+    curve = F.transform(at, lambda g: F.struct(
+        g["grid_value"].alias("grid_value"),
+        (1.0 / (1.0 + F.exp(-(margin + F.lit(float(coefficient)) * (g["z"] - value))))).alias("p")))
+    return df.select(F.col(id_col), F.inline(curve))
+
+
 def partial_dependence(model: PipelineModel, sample: DataFrame, feature: str, grid_points: int = 100,
                        ice: bool = False, id_col: str = "id") -> DataFrame:
     """PD (mean p per grid value) or ICE (every row x grid value) for a numeric
@@ -246,6 +258,12 @@ def partial_dependence(model: PipelineModel, sample: DataFrame, feature: str, gr
         qs = {round(r["prob"], 4): r["value"] for r in exact_quantiles(sample, [feature], [0.05, 0.95]).collect()}
         lo, hi = qs[0.05], qs[0.95]
         grid = [lo + (hi - lo) * i / (grid_points - 1) for i in range(grid_points)]
+    clf = _classifier(model)
+    slot = f"numeric__{feature}"
+    names = feature_names(model)
+    if isinstance(clf, LogisticRegressionModel) and slot in names:
+        sc = _linear_ice(model, sample, feature, grid, names.index(slot), id_col)
+        return sc if ice else sc.groupBy("grid_value").agg(F.avg("p").alias("mean_p")).withColumn("feature", F.lit(feature))
     g = F.explode(F.array(*[F.lit(v) for v in grid])).alias("_grid")  # bounded grid
     rep = sample.select("*", g).withColumn(feature, F.col("_grid"))
     sc = model.transform(rep).select(id_col, F.col("_grid").alias("grid_value"),
@@ -253,3 +271,15 @@ def partial_dependence(model: PipelineModel, sample: DataFrame, feature: str, gr
     if ice:
         return sc
     return sc.groupBy("grid_value").agg(F.avg("p").alias("mean_p")).withColumn("feature", F.lit(feature))
+
+
+def _linear_ice(model: PipelineModel, sample: DataFrame, feature: str, grid: Sequence[float], slot: int, id_col: str) -> DataFrame:
+    """``linear_curves`` of a fitted pipeline: the rows go through it once, and
+    one row per grid value tells what the model's input is there."""
+    one = sample.limit(1).drop(feature).withColumn(feature, F.explode(F.array(*[F.lit(float(v)) for v in grid])))
+    prep = PipelineModel(stages=model.stages[:-1])
+    inputs = {r[0]: r[1] for r in prep.transform(one).select(
+        feature, vector_to_array("features")[slot].alias("z")).collect()}            # one row per grid value
+    scored = model.transform(sample)
+    return linear_curves(scored, vector_to_array("rawPrediction")[1], vector_to_array("features")[slot],
+                         _classifier(model).coefficients[slot], [(g, inputs[g]) for g in grid if g in inputs], id_col)

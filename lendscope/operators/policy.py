@@ -143,6 +143,23 @@ def read_policy_tables(spark: SparkSession, path: str, policy_id_col: str | None
             "loan_grade_bands": grades}
 
 
+def policy_band_join(df: DataFrame, p: str, policy: str, bands: DataFrame, name_col: str = "name",
+                     out: str = "risk_tier") -> DataFrame:
+    """Each row's band under its own policy (``policy`` column), for any number
+    of policies: a policy's bands become one sorted array, an equi-join brings
+    it to the policy's rows, and the row finds its half-open ``[min, max)``
+    band in it; without one (below 0, NaN, null, beyond the last) the last
+    band stands in.  A row of an unknown or null policy gets null.  Catalyst
+    broadcasts the arrays where they are small; no range join, no row copies."""
+    held = (bands.groupBy(F.col("policy_id").cast("string").alias("_policy"))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("min_probability").alias("lo"), F.col("max_probability").alias("hi"),
+                                                      F.col(name_col).alias("name")))).alias("_bands")))
+    v = F.col(p).cast("double")
+    hit = F.get(F.filter("_bands", lambda b: (v >= b["lo"]) & (v < b["hi"])), F.lit(0))
+    found = F.coalesce(hit["name"], F.element_at("_bands", -1)["name"])
+    return df.join(held, F.col(policy).cast("string") == F.col("_policy"), "left").withColumn(out, found).drop("_policy", "_bands")
+
+
 # P2
 def predict_label(df: DataFrame, p: str = "p", threshold: float = 0.5, out: str = "predicted_default") -> DataFrame:
     return df.withColumn(out, (F.col(p) >= F.lit(threshold)).cast("int"))

@@ -486,6 +486,45 @@ def q_x14(spark, sf):
     return X.partial_dependence(model, test, "int_rate", 100)
 
 
+@register("x14_ice_curves")
+def q_x14_ice(spark, sf):
+    """ICE of the interest rate for every test loan under the fitted model."""
+    model, _ = _fit_eval(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l2"})
+    test = split_only(spark, sf).filter(F.col("split") == "test")
+    return X.partial_dependence(model, test, "int_rate", 100, ice=True)
+
+
+@register("x14_ice_given_model")
+def q_x14_given(spark, sf):
+    """ICE of the interest rate for every loan under a linear model with given
+    coefficients."""
+    d = loans(spark, sf).filter("int_rate is not null and dti is not null")
+    margin = F.lit(-2.0) + F.col("int_rate") * 0.09 + F.col("dti") * 0.02
+    return rounded(X.linear_curves(d, margin, F.col("int_rate"), 0.09, [(v, v) for v in (2.0, 5.0, 8.0, 11.0)]))
+
+
+@register("b3_policy_per_grade")
+def q_b3_policies(spark, sf):
+    """A policy per loan grade, its tiers cut at the grade's score quartiles,
+    written as JSON, read back, and every loan's tier under its own policy."""
+    d = scored(spark, sf)
+    q = quantile_table_wide(exact_quantiles(d, ["p"], [0.25, 0.5, 0.75], ["grade"]), ["grade"], [0.25, 0.5, 0.75], ["a", "b", "c"])
+    tier = lambda n, lo, hi: F.struct(F.lit(n).alias("name"), lo.cast("double").alias("min_probability"),
+                                      hi.cast("double").alias("max_probability"))
+    names = ["t1", "t2", "t3", "t4"]
+    docs = q.select(F.col("grade").alias("policy_id"), F.to_json(F.struct(
+        F.array(tier("t1", F.lit(0.0), F.col("a")), tier("t2", F.col("a"), F.col("b")), tier("t3", F.col("b"), F.col("c")),
+                tier("t4", F.col("c"), F.lit(1.01))).alias("risk_tiers"),
+        F.array(*[F.struct(F.lit(n).alias("tier"), F.lit("review").alias("action")) for n in names]).alias("lending_actions"),
+        F.struct(*[F.lit(0.0).alias(n) for n in names]).alias("interest_rate_adjustment_bps"),
+        F.array(F.struct(F.lit("A").alias("grade"), F.lit(0.0).alias("min_probability"),
+                         F.lit(1.01).alias("max_probability"))).alias("loan_grade_bands"))).alias("value"))
+    path = _folder(spark, "policies")
+    docs.repartition("policy_id").write.partitionBy("policy_id").text(path)
+    tables = P.read_policy_tables(spark, path, "policy_id")
+    return P.policy_band_join(d, "p", "grade", tables["risk_tiers"]).select("id", "grade", "risk_tier")
+
+
 @register("p12_borrower_sentences")
 def q_p12(spark, sf):
     model, (contrib, _) = _linear(spark, sf)

@@ -96,3 +96,13 @@ least AS (SELECT root, min(u) AS least FROM member GROUP BY root),
 number AS (SELECT root, CAST(row_number() OVER (ORDER BY least) - 1 AS INTEGER) AS cluster FROM least)
 SELECT p.vec_id, coalesce(number.cluster, -1) AS cluster, p.vec_id IN (SELECT u FROM core) AS is_core
 FROM p LEFT JOIN member ON member.u = p.vec_id LEFT JOIN number ON number.root = member.root"""
+
+O["x14_ice_given_model"] = with_loans(f"""
+, g AS (SELECT unnest([2.0, 5.0, 8.0, 11.0])::DOUBLE AS grid_value)
+SELECT id, grid_value, {r('1.0 / (1.0 + exp(-(-2.0 + 0.02 * dti + 0.09 * grid_value)))')} AS p
+FROM loans, g WHERE int_rate IS NOT NULL AND dti IS NOT NULL""")
+
+O["b3_policy_per_grade"] = with_scored("""
+, e AS (SELECT grade, quantile_cont(p, 0.25) AS a, quantile_cont(p, 0.5) AS b, quantile_cont(p, 0.75) AS c FROM scored GROUP BY grade)
+SELECT id, grade, CASE WHEN p >= 0 AND p < a THEN 't1' WHEN p >= a AND p < b THEN 't2' WHEN p >= b AND p < c THEN 't3'
+                       ELSE 't4' END AS risk_tier FROM scored JOIN e USING (grade)""")
