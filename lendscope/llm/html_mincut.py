@@ -36,10 +36,12 @@ BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset search".spli
 HARD_TAGS = BOILER_TAGS - {"form", "fieldset"} | {"header"}
 BOILER_WORDS = frozenset("""ad ads adbox adsense advert adverts advertisement advertising alert banner breadcrumb
 breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog
-disclaimer discussion disqus footer footnav form gdpr legal login masthead menu modal nav navbar navigation newsletter
-notice notification overlay pager pagination paywall popup privacy promo promoted promotion recommended related replies
-reply respond search share sharebar sharing sidebar signin signup skip social sponsor sponsored subscribe
+disclaimer disqus footer footnav form gdpr masthead menu modal nav navbar navigation newsletter
+notice notification overlay pager pagination paywall popup promo promoted replies
+respond sharebar sidebar signin signup skip sponsor sponsored subscribe
 subscription toolbar widget widgets""".split())
+#: Names that boilerplate and ordinary text share: evidence that other evidence may outweigh.
+HINT_WORDS = frozenset("discussion legal login privacy promotion recommended related reply search share sharing social".split())
 CONTENT_WORDS = frozenset("article articlebody content entry main post story text".split())
 HEAD_WORDS = frozenset({"header", "banner", "masthead"})
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -49,14 +51,15 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: The classifier: log-odds that a block is content.
 WEIGHTS = {"bias": -0.4, "article": 3.0, "content_name": 1.0, "paragraph": 0.8, "heading": 0.6, "item": -0.4,
-           "length": 0.5, "sentence": 0.5, "links": -4.0, "boiler": -8.0}
+           "length": 0.5, "sentence": 0.5, "links": -4.0, "hint": -2.5, "boiler": -8.0}
 ADJACENT, SIBLING, REACH = 0.8, 0.6, 2.0
+HINT_SHARE = 0.8          # of the unlinked text that is not boilerplate: hints on more of it tell nothing
 WRAPPER_SHARE, WRAPPER_CHARS = 0.8, 200      # unlinked text a wrapper holds: of what no other flag marks, at least
 FAR = 16                  # steps at which an edge weighs nothing any more
 
 
 class Block:
-    __slots__ = ("parts", "linked", "tag", "holder", "flag", "boiler", "article", "named")
+    __slots__ = ("parts", "linked", "tag", "holder", "flag", "boiler", "article", "named", "hint")
 
     def __init__(self, top):
         self.parts, self.linked = [], 0
@@ -66,10 +69,11 @@ class Block:
         self.boiler = bool(top and top.hidden)
         self.article = bool(top and top.article)
         self.named = bool(top and top.named)
+        self.hint = bool(top and top.hint)
 
 
 class Element:
-    __slots__ = ("tag", "holder", "parent", "depth", "flag", "above", "soft", "hidden", "void", "article", "named")
+    __slots__ = ("tag", "holder", "parent", "depth", "flag", "above", "soft", "hidden", "void", "article", "named", "hint")
 
     def __init__(self, tag, up, attrs):
         self.tag = tag
@@ -94,6 +98,8 @@ class Element:
             while e and not e.void:
                 e.void, e = e.soft, e.above
         self.named = bool(words & CONTENT_WORDS) or bool(up and up.named)
+        main = tag in ("html", "body", "main", "article") or attrs.get("role") in ("main", "article")
+        self.hint = not main and (bool(words & HINT_WORDS) or bool(up and up.hint))
 
 
 def blocks(html: str) -> list[Block]:
@@ -200,7 +206,8 @@ def blocks(html: str) -> list[Block]:
 
 
 def unwrap(found: list[Block]) -> None:
-    """Mark boilerplate blocks.  A flagged element does not mark what it holds
+    """Mark boilerplate blocks.  A name that ordinary text has too is a hint,
+    forgotten where it covers nearly all the text that is left.  A flagged element does not mark what it holds
     if it is a wrapper: it holds the main element, or nearly all the unlinked
     text that no other flagged element marks.  Text under a wrapper counts for
     the flagged element next above, so nested wrappers are seen one by one."""
@@ -225,8 +232,14 @@ def unwrap(found: list[Block]) -> None:
         up = active(e.above)
         own[up] = own.get(up, 0) + own.pop(e)
         e = up
+    told = [0, 0]
     for b in found:
         b.boiler = b.boiler or active(b.flag) is not None
+        if not b.boiler:
+            told[b.hint] += max(0, len("".join(b.parts).strip()) - b.linked)
+    if told[True] >= HINT_SHARE * sum(told):
+        for b in found:
+            b.hint = False
 
 
 def log_odds(block: Block, text: str) -> float:
@@ -237,6 +250,7 @@ def log_odds(block: Block, text: str) -> float:
     s += w["paragraph"] * (block.tag in ("p", "blockquote", "pre")) + w["heading"] * (block.tag[:1] == "h" and block.tag[1:].isdigit())
     s += w["item"] * (block.tag in ("li", "td", "th", "dt", "dd"))
     s += w["sentence"] * (text[-1] in ".!?:;\"'”»)")
+    s += w["hint"] * block.hint
     return s + w["links"] * min(1.0, block.linked / len(text)) + w["boiler"] * block.boiler
 
 

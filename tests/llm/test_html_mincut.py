@@ -3,7 +3,7 @@
 import itertools
 import random
 
-from lendscope.llm.html_mincut import extract, main_text, min_cut
+from lendscope.llm.html_mincut import blocks, extract, log_odds, main_text, min_cut, ties
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><script>var t="</p>";go(1<2)</script></head>
 <body class="has-sidebar"><header class="site-header"><a href="/">Home</a><p>The best site of all, read every day.</p></header>
@@ -81,3 +81,35 @@ def test_wrappers_with_boilerplate_names():
     assert main_text(f"<article>{story}</article>{rest}<form><p>{long}</form>").split("\n\n") == want
     assert main_text(f"<div hidden><main>{story}</main></div>") == main_text(f"<aside>{story}</aside>") == ""
     assert isinstance(main_text("<form class=ad>" * 20_000 + story + "<main><p>x" * 20_000), str)
+
+
+def test_names_that_ordinary_text_has_too():
+    page = ("<article><h1>Markets</h1><p>The index rose again on Monday after a week of quiet trading.</p>"
+            "<p class='share-price'>The closing price was 41.20.</p></article>")
+    assert main_text(page) == ("Markets\n\nThe index rose again on Monday after a week of quiet trading.\n\n"
+                               "The closing price was 41.20.")
+    short = "<body><nav><a href='/'>Home</a></nav><div class='related-work'><p>Two earlier papers treat the same case.</p></div></body>"
+    assert main_text(short) == "Two earlier papers treat the same case."
+    links = ("<body><main><p>" + "Plain words of the article go on here. " * 5 + "</p></main><div class='related'>"
+             + "".join(f"<p><a href='/{i}'>Another story to read</a></p>" for i in range(4)) + "</div></body>")
+    assert "Another" not in main_text(links) and main_text(links).startswith("Plain words")
+    advert = "<article><p>" + "Plain words of the article go on here. " * 5 + "</p><div class='ad'>Buy two, get one. Now in all shops.</div></article>"
+    assert "Buy" not in main_text(advert)
+
+
+def test_the_cut_overrules_the_sign_of_a_block():
+    long = "The council met on Tuesday evening and spoke for two hours about the new bridge over the river."
+    page = f"<body><div><p>{long}</p><p>Why now?</p><p>{long}</p><p>No</p><p>{long}</p></div></body>"
+    found = blocks(page)
+    texts = [" ".join("".join(b.parts).split()) for b in found]
+    prices = [log_odds(b, t) for b, t in zip(found, texts)]
+    assert prices[3] < 0 < prices[0]                                 # the sign alone would drop the short line
+    assert min_cut(prices, ties(found)) == [True] * 5
+    assert main_text(page) == "\n\n".join(texts)
+    teaser = "<p><a href='/a'>" + "One more story that you may like to read today" + "</a></p>"
+    bar = f"<body><div><p>{long}</p><p>{long}</p></div><div>{teaser * 3}<p>More stories of the week, every day for you</p>{teaser * 3}</div></body>"
+    found = blocks(bar)
+    texts = [" ".join("".join(b.parts).split()) for b in found]
+    prices = [log_odds(b, t) for b, t in zip(found, texts)]
+    assert prices[5] > 0                                             # text between teasers looks like content
+    assert main_text(bar) == f"{long}\n\n{long}"
