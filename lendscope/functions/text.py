@@ -171,30 +171,30 @@ FEATURE_LABELS = {
 
 TRANSFORMER_PREFIXES = ["onehot_categorical__", "ordinal_categorical__", "numeric__"]
 
-RQ1 = "RQ1 (which borrower characteristics associate with default?)"
-RESEARCH_QUESTIONS = [
-    ("grade", "RQ2 (are LendingClub grades predictive of default?)"),
-    ("int_rate", "RQ3 (which variables relate to higher interest rates?)"),
-    ("annual_inc", "RQ4 (does income relate to repayment success?)"),
-    ("dti", "RQ5 (does DTI influence default?)"),
-    ("emp_length_years", "RQ6 (does employment length matter?)"),
-    ("loan_amnt", RQ1),
-    ("installment", RQ1),
-    ("home_ownership", RQ1),
-    ("purpose", RQ1),
-    ("revol_util", RQ1),
-    ("delinq_2yrs", RQ1),
-    ("pub_rec", RQ1),
-    ("pub_rec_bankruptcies", RQ1),
-    ("mort_acc", RQ1),
-    ("revol_bal", RQ1),
-    ("total_acc", RQ1),
-    ("open_acc", RQ1),
-    ("verification_status", RQ1),
-    ("term", RQ1),
-    ("application_type", RQ1),
-    ("initial_list_status", RQ1),
-]
+# The research question of each field; of two fields that fit a name the one listed first counts.
+RESEARCH_QUESTIONS = {
+    "grade": "RQ2 (are LendingClub grades predictive of default?)",
+    "int_rate": "RQ3 (which variables relate to higher interest rates?)",
+    "annual_inc": "RQ4 (does income relate to repayment success?)",
+    "dti": "RQ5 (does DTI influence default?)",
+    "emp_length_years": "RQ6 (does employment length matter?)",
+    "loan_amnt": "RQ1 (which borrower characteristics associate with default?)",
+    "installment": "RQ1 (which borrower characteristics associate with default?)",
+    "home_ownership": "RQ1 (which borrower characteristics associate with default?)",
+    "purpose": "RQ1 (which borrower characteristics associate with default?)",
+    "revol_util": "RQ1 (which borrower characteristics associate with default?)",
+    "delinq_2yrs": "RQ1 (which borrower characteristics associate with default?)",
+    "pub_rec": "RQ1 (which borrower characteristics associate with default?)",
+    "pub_rec_bankruptcies": "RQ1 (which borrower characteristics associate with default?)",
+    "mort_acc": "RQ1 (which borrower characteristics associate with default?)",
+    "revol_bal": "RQ1 (which borrower characteristics associate with default?)",
+    "total_acc": "RQ1 (which borrower characteristics associate with default?)",
+    "open_acc": "RQ1 (which borrower characteristics associate with default?)",
+    "verification_status": "RQ1 (which borrower characteristics associate with default?)",
+    "term": "RQ1 (which borrower characteristics associate with default?)",
+    "application_type": "RQ1 (which borrower characteristics associate with default?)",
+    "initial_list_status": "RQ1 (which borrower characteristics associate with default?)",
+}
 
 # ---------------------------------------------------------------------------
 
@@ -260,7 +260,7 @@ def research_question(c: Column) -> Column:
     """First research question whose raw name equals or prefixes (``name_``) the feature."""
     rem = strip_transformer_prefix(c)
     expr = None
-    for raw, q in RESEARCH_QUESTIONS:
+    for raw, q in RESEARCH_QUESTIONS.items():
         cond = (rem == raw) | rem.startswith(raw + "_")
         expr = F.when(cond, q) if expr is None else expr.when(cond, q)
     return expr.otherwise(F.lit(None).cast("string"))

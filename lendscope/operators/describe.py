@@ -182,9 +182,20 @@ def target_balance(df: DataFrame, target: str = R.TARGET_COLUMN, decimals: int =
     return share_of_total(g, "count", "share", 1.0, decimals)
 
 
+def quantile_table_wide_by(q: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+    """One row per group, one column per variable of a one-quantile table."""
+    return q.groupBy(group).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+
+
 # A12 / A13
 def aggregate_by_cluster(df: DataFrame, cluster: str, columns: Sequence[str], func: str = "avg") -> DataFrame:
-    fn = {"avg": F.avg, "mean": F.avg, "median": F.median, "sum": F.sum, "min": F.min,
+    """One aggregate of each column per cluster.  Medians are read off exact
+    order statistics, so no cluster's values are held in one buffer; a cluster
+    without a value has a null median."""
+    if func == "median":
+        q = quantile_table_wide_by(exact_quantiles(df, columns, [0.5], [cluster]), cluster, columns)
+        return join_null_safe(df.select(cluster).distinct(), q, [cluster], "left")
+    fn = {"avg": F.avg, "mean": F.avg, "sum": F.sum, "min": F.min,
           "max": F.max, "std": F.stddev_samp, "count": F.count}[func]
     return df.groupBy(cluster).agg(*[fn(c).alias(c) for c in columns])
 

@@ -257,28 +257,35 @@ def q_a11(spark, sf):
     return A.target_balance(loans(spark, sf))
 
 
-EMBEDDING = [f"e{i}" for i in range(64)]          # every dimension of the embeddings table
-
-
 def _emb(spark, sf):
+    """(rows, names): a column for every dimension that any embedding has."""
     e = read_table(spark, sf, "embeddings")
+    names = [f"e{i}" for i in range(e.agg(F.max(F.size("embedding"))).first()[0] or 0)]
     return e.select("vec_id", F.col("label").alias("cluster"),
-                    *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(EMBEDDING)])
+                    *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(names)]), names
 
 
 @register("a12_feature_by_cluster")
 def q_a12(spark, sf):
-    return rounded(A.aggregate_by_cluster(_emb(spark, sf), "cluster", EMBEDDING, "avg"))
+    e, names = _emb(spark, sf)
+    return rounded(A.aggregate_by_cluster(e, "cluster", names, "avg"))
+
+
+@register("a12_median_by_cluster")
+def q_a12m(spark, sf):
+    """Exact medians of the loans' amounts and rates per grade."""
+    return rounded(A.aggregate_by_cluster(loans(spark, sf), "grade", ["loan_amnt", "int_rate", "dti"], "median"))
 
 
 @register("a13_cluster_sizes")
 def q_a13(spark, sf):
-    return rounded(A.cluster_sizes(_emb(spark, sf)))
+    return rounded(A.cluster_sizes(_emb(spark, sf)[0]))
 
 
 @register("a14_cluster_zscore_profile")
 def q_a14(spark, sf):
-    return rounded(A.cluster_zscore_profile(_emb(spark, sf), "cluster", EMBEDDING))
+    e, names = _emb(spark, sf)
+    return rounded(A.cluster_zscore_profile(e, "cluster", names))
 
 
 @register("a15_histogram")

@@ -83,3 +83,5 @@ ORACLES["s1_streaming_policy_scoring"] = ORACLES["p8_batch_scoring"]
 ORACLES["io2_table_round_trip"] = ORACLES["c7_clean_dataset"]
 ORACLES["io9_winsorize_job"] = ORACLES["c8_winsorize"]
 ORACLES["io10_policy_json_scoring"] = ORACLES["p8_batch_scoring"]
+ORACLES["p9_single_borrower"] = ORACLES["p8_batch_scoring"].replace(
+    "SELECT * FROM sc", "SELECT * FROM sc WHERE id = (SELECT id FROM scored ORDER BY p DESC, id LIMIT 1)")

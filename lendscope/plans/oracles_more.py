@@ -196,7 +196,7 @@ def _humanize() -> str:
 
 O["c13_humanize_feature_names"] = with_loans(_FEATS + f"\nSELECT feature, {_humanize()} AS feature_label FROM fr")
 O["c14_research_question_links"] = with_loans(_FEATS + "\nSELECT feature, CASE " + " ".join(
-    f"WHEN rem = {q(raw)} OR starts_with(rem, {q(raw + '_')}) THEN {q(txt)}" for raw, txt in TX.RESEARCH_QUESTIONS)
+    f"WHEN rem = {q(raw)} OR starts_with(rem, {q(raw + '_')}) THEN {q(txt)}" for raw, txt in TX.RESEARCH_QUESTIONS.items())
     + " ELSE NULL END AS research_question FROM fr")
 
 

@@ -106,3 +106,6 @@ O["b3_policy_per_grade"] = with_scored("""
 , e AS (SELECT grade, quantile_cont(p, 0.25) AS a, quantile_cont(p, 0.5) AS b, quantile_cont(p, 0.75) AS c FROM scored GROUP BY grade)
 SELECT id, grade, CASE WHEN p >= 0 AND p < a THEN 't1' WHEN p >= a AND p < b THEN 't2' WHEN p >= b AND p < c THEN 't3'
                        ELSE 't4' END AS risk_tier FROM scored JOIN e USING (grade)""")
+
+O["a12_median_by_cluster"] = with_loans("SELECT grade, " + ", ".join(
+    f"{r(f'quantile_cont({c}, 0.5)')} AS {c}" for c in ("loan_amnt", "int_rate", "dti")) + " FROM loans GROUP BY grade")
