@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lendscope import roles as R
 from lendscope.operators.clean import clean_dataset, drop_excluded_columns
+from lendscope.session import written
 from lendscope.sources.tables import loan_book, scored_loans
 
 KEEP = ("id", "addr_state")
@@ -22,6 +23,12 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_excluded_columns(df, [c for c in R.EXCLUDED_COLUMNS if c not in KEEP])
 
 
+def kept_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``loans`` written once to the shared folder, for queries of many passes:
+    the joins of the loan book run once, and each pass reads its own columns."""
+    return written(loans(spark, sf_dir), "loans")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_loans(loans(spark, sf_dir))
 
