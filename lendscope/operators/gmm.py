@@ -1,0 +1,109 @@
+"""Gaussian mixtures by expectation-maximisation on packed rows.
+
+MLlib draws the first components; its steps, update for update, are taken here
+on matrices of a few thousand rows that are packed once and kept (``kmeans.packed``):
+a task sends one row of partial sums a step (#components x #dimensions^2 numbers).
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext, StorageLevel
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+
+from lendscope.operators.kmeans import ROWS_IN_CACHE, packed
+from lendscope.session import right_size
+
+EPS = float(np.finfo(float).eps)
+
+
+def density_terms(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """(root of the pseudo-inverse covariance, log of the density's constant)."""
+    values, vectors = np.linalg.eigh(cov)
+    kept = values > EPS * values.max() * len(values)
+    if not kept.any():
+        raise ValueError("covariance matrix has no non-zero singular values")
+    root = np.where(kept, 1.0 / np.sqrt(np.where(kept, values, 1.0)), 0.0)[:, None] * vectors.T
+    return root, -0.5 * (len(mean) * np.log(2.0 * np.pi) + np.log(values[kept]).sum())
+
+
+def step(rows: DataFrame, weights: np.ndarray, means: np.ndarray, covs: np.ndarray) -> tuple:
+    """(weights, means, covariances, log-likelihood before the step), one job."""
+    k, d = means.shape
+    terms = [density_terms(m, c) for m, c in zip(means, covs)]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, s, c, llh = np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0
+        for batch in batches:
+            for held in batch.column(0):
+                block = np.frombuffer(held.as_buffer(), dtype=float).reshape(-1, d)
+                for first in range(0, len(block), ROWS_IN_CACHE):
+                    x = block[first:first + ROWS_IN_CACHE]
+                    p = np.empty((len(x), k))
+                    for j, (root, constant) in enumerate(terms):
+                        z = (x - means[j]) @ root.T
+                        p[:, j] = EPS + weights[j] * np.exp(constant - 0.5 * np.einsum("ij,ij->i", z, z))
+                    total = p.sum(1)
+                    llh += np.log(total).sum()
+                    p /= total[:, None]
+                    w += p.sum(0)
+                    s += p.T @ x
+                    for j in range(k):
+                        c[j] += (x * p[:, j:j + 1]).T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([np.r_[llh, w, s.ravel(), c.ravel()]], pa.list_(pa.float64()))], names=["v"])
+
+    found = np.sum([r.v for r in rows.mapInArrow(partial, "v array<double>").collect()], axis=0)      # a row per task
+    w, s, c = found[1:1 + k], found[1 + k:1 + k + k * d].reshape(k, d), found[1 + k + k * d:].reshape(k, d, d)
+    mean = s / w[:, None]
+    cov = c / w[:, None, None] - mean[:, :, None] * mean[:, None, :]
+    return w / w.sum(), mean, (cov + cov.transpose(0, 2, 1)) / 2, float(found[0])
+
+
+def fit(df: DataFrame, k: int, features: str, seed: int, max_iter: int = 100, tol: float = 0.01) -> GaussianMixtureModel:
+    """``GaussianMixture(k=k, seed=seed).fit``: stops after ``max_iter`` steps or
+    when the log-likelihood moves by no more than ``tol``."""
+    rows = right_size(df.select(features))
+    start = GaussianMixture(k=k, featuresCol=features, predictionCol="cluster", probabilityCol="membership",
+                            seed=seed, maxIter=0).fit(rows)
+    drawn = start.gaussians
+    weights, means = np.array(start.weights), np.array([g.mean.toArray() for g in drawn])
+    covs = np.array([g.cov.toArray() for g in drawn])
+    kept = packed(rows.select(vector_to_array(features)), means.shape[1]).persist(StorageLevel.MEMORY_AND_DISK)
+    before, now = -np.finfo(float).max, 0.0
+    for _ in range(max_iter):
+        if abs(now - before) <= tol:
+            break
+        before = now
+        weights, means, covs, now = step(kept, weights, means, covs)
+    kept.unpersist()
+    return as_model(weights, means, covs, start, max_iter, tol)
+
+
+def as_model(weights: np.ndarray, means: np.ndarray, covs: np.ndarray, start: GaussianMixtureModel, max_iter: int,
+             tol: float) -> GaussianMixtureModel:
+    """An MLlib model with these components and the columns of ``start``."""
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._gateway
+    ml = jvm.org.apache.spark.ml
+
+    def doubles(values):
+        held = gateway.new_array(jvm.double, len(values))
+        for i, v in enumerate(values):
+            held[i] = float(v)
+        return held
+
+    k, d = means.shape
+    parts = gateway.new_array(ml.stat.distribution.MultivariateGaussian, k)
+    for j in range(k):
+        parts[j] = ml.stat.distribution.MultivariateGaussian(
+            ml.linalg.Vectors.dense(doubles(means[j])), ml.linalg.Matrices.dense(d, d, doubles(covs[j].ravel())))
+    uid = f"gmm_{uuid.uuid4().hex[:12]}"
+    model = GaussianMixtureModel(ml.clustering.GaussianMixtureModel(uid, doubles(weights), parts))
+    model._resetUid(uid)
+    return model._set(k=k, featuresCol=start.getFeaturesCol(), predictionCol=start.getPredictionCol(),
+                      probabilityCol=start.getProbabilityCol(), seed=start.getSeed(), maxIter=max_iter, tol=tol)
