@@ -1,0 +1,18 @@
+"""The algorithms of a comparison are fitted side by side on one set of features."""
+
+import threading
+
+from lendscope.operators import segments as G
+from lendscope.plans import catalog_ml as C
+from tests.conftest import SF
+
+
+def test_three_fits_are_under_way_at_once(spark, monkeypatch):
+    meet = threading.Barrier(3, timeout=60)                   # breaks unless all three are under way at once
+    for name in ("fit_kmeans", "fit_hierarchical", "fit_gmm"):
+        def fit(*a, real=getattr(G, name), **k):
+            meet.wait()
+            return real(*a, **k)
+        monkeypatch.setattr(G, name, fit)
+    found = {r.algorithm: r.n_clusters for r in C.q_g12(spark, SF).collect()}
+    assert found == {"kmeans": 4, "hierarchical": 4, "gmm": 4}
